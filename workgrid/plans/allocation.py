@@ -82,7 +82,14 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
         "avg_remain_mins_per_remain_workday_without_leave", "avg_worked_mins_per_prior_days_with_leave",
         "avg_worked_mins_per_prior_days_without_leave", "is_task_within_allo_time_imp",
     )
-    kt = keys.join(jt, F.col("_jt_id") == F.col("job_task_staff_id")).where(F.col("start_date_adjusted").isNotNull())
+    j6 = jobs.select(F.col("job_id").alias("_j6_id"), "job_state")
+    # Per-task lookups (task details, job state) join before the days are
+    # exploded: the shuffle moves one row per task, not one per task-day.
+    kt = (
+        keys.join(jt, F.col("_jt_id") == F.col("job_task_staff_id"))
+        .where(F.col("start_date_adjusted").isNotNull())
+        .join(j6, F.col("_j6_id") == F.col("job_id"), "left")
+    )
     days = explode_days(kt, "start_date_adjusted", "due_date_adjusted", lo, hi)
     calb = bounded_broadcast(cal.select(*[F.col(c).alias(f"_c_{c}") for c in CALENDAR_COLUMNS]),
                              params.calendar_days, params.broadcast_row_limit)
@@ -92,13 +99,11 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
     )
     lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day",
                       "has_partial_leave")
-    j6 = jobs.select(F.col("job_id").alias("_j6_id"), "job_state")
     th = task_hours.select(F.col("job_task_staff_id").alias("_th_id"), F.col("date").alias("_th_date"), "recorded_hrs")
     df = (
         days.join(calb, F.col("date") == F.col("_c_date"))
         .join(wkd, (F.col("staff_name") == F.col("_w_staff")) & (F.col("_c_weekday") == F.col("_w_dow")), "left")
         .join(lv, (F.col("staff_name") == F.col("_lv_staff")) & (F.col("date") == F.col("_lv_date")), "left")
-        .join(j6, F.col("_j6_id") == F.col("job_id"), "left")
         .join(th, (F.col("_th_id") == F.col("job_task_staff_id")) & (F.col("_th_date") == F.col("date")), "left")
     )
     c = F.col

@@ -28,6 +28,10 @@ MATERIALISED = (
     "leave_status", "job_task_details", "timesheet", "job_task_staff", "allocation_by_day", "staff_performance",
 )
 
+# Intermediate results that several parts of one stage read; written too when
+# cutting lineage, so they are computed once.
+SHARED = ("task_base",)
+
 UNIQUE_KEYS = {
     "leave_status": ("staff_name", "date"),
     "job_task_details": ("job_task_staff_id",),
@@ -50,7 +54,7 @@ class GoldModel:
     def _get(self, name: str, build) -> DataFrame:
         if name not in self._memo:
             df = build()
-            if self.cut_lineage and name in MATERIALISED:
+            if self.cut_lineage and (name in MATERIALISED or name in SHARED):
                 path = scratch_path(self.spark, "stages", name)
                 df.write.mode("overwrite").parquet(path)
                 self.written[name] = path
@@ -133,6 +137,11 @@ class GoldModel:
     def allocation_hours_agg(self) -> DataFrame:
         return self._get("allocation_hours_agg", lambda: performance.allocation_hours_agg(self.allocation_by_day()))
 
+    def allocation_hours_nonnull(self) -> DataFrame:
+        """Only the (staff, date) groups with a non-NULL sum (what staff_performance needs)."""
+        return self._get("allocation_hours_nonnull", lambda: performance.allocation_hours_agg(
+            performance.contributing_rows(self.allocation_by_day())))
+
     def timesheet_hours_agg(self) -> DataFrame:
         return self._get("timesheet_hours_agg", lambda: performance.timesheet_hours_agg(self.timesheet()))
 
@@ -142,7 +151,7 @@ class GoldModel:
     def staff_performance(self) -> DataFrame:
         return self._get("staff_performance", lambda: performance.staff_performance(
             self.staff(), self.calendar(), self.leave_status(), self.t["workable_days"], self.t["staff_adjustment"],
-            self.t["incentive_targets"], self.allocation_hours_agg(), self.timesheet_hours_agg(), self.p))
+            self.t["incentive_targets"], self.allocation_hours_nonnull(), self.timesheet_hours_agg(), self.p))
 
     def refresh_all(self) -> dict[str, DataFrame]:
         """Build every materialised stage in dependency order."""

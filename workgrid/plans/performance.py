@@ -45,6 +45,26 @@ def allocation_hours_agg(alloc: DataFrame) -> DataFrame:
     )
 
 
+ALLOCATION_SUMMED = (
+    "allo_hrs_per_work_day_leave", "allo_hrs_per_workable_day_final_output", "allo_hrs_per_work_day_adj_leaves_fin01",
+)
+
+
+def contributing_rows(alloc: DataFrame) -> DataFrame:
+    """Allocation rows with at least one non-NULL summed value.
+
+    A (staff, date) group whose inputs are all NULL has only NULL sums, which
+    a left join reads exactly like a missing group, so dropping such rows
+    before the aggregate changes no staff-performance value. The predicate
+    reaches the Parquet scan of a stored allocation table.
+    """
+    cond = None
+    for c in ALLOCATION_SUMMED:
+        term = F.col(c).isNotNull()
+        cond = term if cond is None else cond | term
+    return alloc.where(cond)
+
+
 def timesheet_hours_agg(ts: DataFrame) -> DataFrame:
     """Recorded and invoiced minutes per (staff, date) by leave kind, category and invoicing, one pass."""
     name, cat, it = F.col("task_name"), F.col("task_category"), F.col("invoiced_time")
@@ -77,7 +97,10 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
     aggregates were reduced before the join.
     """
     lo, hi = params.calendar_start, params.calendar_end
-    grid = staff_dim.select(
+    # Every person has exactly one row per calendar day, so partitioning the
+    # (small) staff list by name before exploding gives evenly sized grid
+    # partitions without shuffling the grid itself.
+    grid = staff_dim.repartition("staff_name").select(
         "staff_uuid", "staff_name", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_g_date")
     )
     calb = bounded_broadcast(cal, params.calendar_days, params.broadcast_row_limit)

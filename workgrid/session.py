@@ -32,6 +32,9 @@ def local_session(cpus: int | str = 8, app: str = "workgrid", shuffle_partitions
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )
+    event_dir = os.environ.get("WORKGRID_EVENT_LOG")
+    if event_dir:  # profiling: Spark's event log in a scratch folder
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
