@@ -74,30 +74,45 @@ class TableStore:
             raise KeyError(f"table {name!r} has no published version under {self.root}")
         return self.spark.read.parquet(path)
 
-    def paths_upto(self, name: str, version: str) -> list[str]:
-        """Paths of every logged version <= ``version`` (one metadata row per batch)."""
-        rows = self.versions(name).where(F.col("version") <= version).select("path").collect()
-        return [r["path"] for r in rows]
+    def versions_upto(self, name: str, version: str) -> list[str]:
+        """Every logged version id <= ``version`` (one metadata row per publish)."""
+        rows = self.versions(name).where(F.col("version") <= version).select("version").collect()
+        return [r["version"] for r in rows]
+
+    def read_all(self, name: str) -> DataFrame:
+        """All written versions of ``name`` with a ``version`` column (filter by logged versions)."""
+        return self.spark.read.parquet(f"{self.root}/{name}")
 
     def publish(self, name: str, df: DataFrame, key: Sequence[str] | None = None,
                 partition_by: Sequence[str] | None = None, version: str | None = None) -> str:
-        """Write ``df`` as the next version of ``name``; refuse duplicate keys first."""
-        if key:
-            dup = duplicate_keys(df, key).limit(1).collect()
-            if dup:
-                raise DuplicateKeyError(f"{name}: key {tuple(key)} not unique, e.g. {dup[0].asDict()}")
+        """Write ``df`` as the next version of ``name``.
+
+        The data is written once; the key check then reads only the key
+        columns of the written files (the plan that produced ``df`` is not
+        run a second time). A version with duplicate keys is never logged,
+        so readers keep seeing the previous version.
+        """
         version = version or new_version()
-        path = f"{self.root}/{name}/v-{version}"
+        path = f"{self.root}/{name}/version={version}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        rows = self.spark.read.parquet(path).count()
+        written = self.spark.read.parquet(path)
+        if key:
+            dup = duplicate_keys(written.select(*key), key).limit(1).collect()
+            if dup:
+                raise DuplicateKeyError(f"{name}: key {tuple(key)} not unique, e.g. {dup[0].asDict()}")
+        rows = written.count()
+        self.log_version(name, version, path, rows)
+        return path
+
+    def log_version(self, name: str, version: str, path: str, rows: int | None) -> None:
+        """Append one row to the version log; this is the publish point."""
         log = self.spark.createDataFrame(
             [(version, path, rows, datetime.now(timezone.utc).replace(tzinfo=None))], _LOG_SCHEMA
         )
         log.coalesce(1).write.mode("append").parquet(self._log_path(name))
-        return path
 
     def register_view(self, name: str, view: str | None = None) -> DataFrame:
         df = self.read(name)

@@ -1,17 +1,16 @@
 """SCD2 tables kept in a TableStore, and the multi-table sync.
 
-Layout per table ``t``:
-
-* ``t`` — the current versions (source columns + SCD columns), one store
-  version per sync;
-* ``t__closed`` — versions closed by a sync, one appended folder per sync,
-  tagged with that sync's version id.
-
-A sync reads only the current versions (not the whole history), so its cost
-follows the size of the table, not the number of past syncs. The closed
-rows are written first and the new current version last, with the same
-version id; readers take closed folders up to the current version only, so
-a sync that dies half way leaves the published history unchanged.
+Each sync writes one store version of table ``t``, partitioned by
+``_scd_is_current``: the ``true`` part holds every current version after
+the sync, the ``false`` part the versions this sync closed. The current
+rows are the ``true`` part of the latest version; the full history is that
+plus the ``false`` parts of all versions up to it.
+
+A sync reads only the current rows (not the whole history), so its cost
+follows the size of the table, not the number of past syncs, and it writes
+its result in one pass. The version is logged only after its files are
+complete, so a sync that dies half way leaves the published history
+unchanged.
 """
 
 from __future__ import annotations
@@ -41,18 +40,25 @@ class Scd2Table:
     def __init__(self, store: TableStore, name: str):
         self.store = store
         self.name = name
-        self.closed_name = f"{name}__closed"
+
+    @staticmethod
+    def _typed(df: DataFrame) -> DataFrame:
+        # Partition values are read back as text; the partition filter still prunes folders.
+        return df.withColumn("_scd_is_current", F.col("_scd_is_current").cast("boolean"))
 
     def current_versions(self) -> DataFrame | None:
-        return self.store.read(self.name) if self.store.exists(self.name) else None
+        if not self.store.exists(self.name):
+            return None
+        return self._typed(self.store.read(self.name).where(F.col("_scd_is_current") == "true"))
 
     def history(self) -> DataFrame:
-        cur = self.store.read(self.name)
-        v = self.store.current_version(self.name)
-        paths = self.store.paths_upto(self.closed_name, v)
-        if not paths:
-            return cur
-        return cur.unionByName(self.store.spark.read.schema(cur.schema).parquet(*paths))
+        cur = self.current_versions()
+        logged = self.store.versions_upto(self.name, self.store.current_version(self.name))
+        # Both filters are on partition columns, so only the closed parts of
+        # logged versions are listed and read.
+        closed = self.store.read_all(self.name).where(
+            (F.col("_scd_is_current") == "false") & F.col("version").isin(*logged))
+        return cur.unionByName(self._typed(closed).select(*cur.columns))
 
     def sync(self, source: DataFrame, keys: Sequence[str], batch_ts: datetime) -> DataFrame:
         """Apply one source snapshot; return its one-row summary (new, changed, unchanged)."""
@@ -64,13 +70,10 @@ class Scd2Table:
         cls = scd2.classify(source, cur, keys).cache()
         try:
             counts = scd2.summary(cls).first()
+            # ``cur`` holds only current rows, so the rows of ``after`` that are
+            # not current are exactly the ones this sync closed.
             after = scd2.apply(cur, source, keys, batch_ts, batch_id=version, classified=cls)
-            if keys:
-                closed = after.where(~F.col("_scd_is_current") & (F.col("_scd_valid_to") == F.lit(batch_ts).cast("timestamp_ntz")))
-                self.store.publish(self.closed_name, closed, version=version)
-                after = after.where(F.col("_scd_is_current"))
-            # ``after`` reads the previous current version; publish writes a new folder.
-            self.store.publish(self.name, after, version=version)
+            self.store.publish(self.name, after, partition_by=["_scd_is_current"], version=version)
         finally:
             cls.unpersist()
         return spark.createDataFrame(
@@ -85,8 +88,7 @@ class Scd2Table:
             if other is not None and other != self.name:
                 raise ValueError(f"view {view!r} would serve both {other!r} and {self.name!r}")
             registered[view] = self.name
-        cur = self.store.read(self.name)
-        scd2.current(cur).createOrReplaceTempView(view)
+        scd2.current(self.current_versions()).createOrReplaceTempView(view)
         return view
 
 
