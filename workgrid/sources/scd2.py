@@ -59,7 +59,8 @@ def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
 
 
 def _batch_ts(batch_ts: datetime):
-    return F.lit(batch_ts).cast("timestamp_ntz")
+    # From text, so the wall-clock value does not depend on any time zone.
+    return F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _key_match(left_prefix: str, right_prefix: str, keys: Sequence[str]):

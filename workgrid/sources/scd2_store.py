@@ -16,6 +16,7 @@ unchanged.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -108,26 +109,36 @@ def resolve_keys(df: DataFrame, keys: Sequence[str] | None, default_key: str = "
 
 
 def sync_tables(spark: SparkSession, store: TableStore, tables: Sequence[SourceTable], batch_ts: datetime,
-                create_views: bool = True, default_key: str = "id") -> DataFrame:
+                create_views: bool = True, default_key: str = "id", max_parallel: int = 4) -> DataFrame:
     """Sync several tables; one failure is recorded and the others go on.
 
-    An empty source is reported as ``skipped`` and its view (if a version
-    exists) is still registered.
+    Tables are independent, so up to ``max_parallel`` syncs run as concurrent
+    Spark jobs (the scheduler shares the executors between them). An empty
+    source is reported as ``skipped``; its view is still registered when a
+    version exists. Views are registered afterwards, in input order, and a
+    second table mapping to an already used view name is refused.
     """
-    rows: list = []
-    views: dict[str, str] = {}
-    for t in tables:
+
+    def one(t: SourceTable):
         try:
             src = t.load()
             keys = resolve_keys(src, t.keys, default_key)
-            table = Scd2Table(store, t.name)
             if src.isEmpty():
-                rows.append((t.name, "skipped", 0, 0, 0, "empty source"))
-            else:
-                r = table.sync(src, keys, batch_ts).first()
-                rows.append((t.name, "ok", r["new"], r["changed"], r["unchanged"], None))
-            if create_views and store.exists(t.name):
-                table.register_current_view(views)
+                return (t.name, "skipped", 0, 0, 0, "empty source")
+            r = Scd2Table(store, t.name).sync(src, keys, batch_ts).first()
+            return (t.name, "ok", r["new"], r["changed"], r["unchanged"], None)
         except Exception as exc:
-            rows.append((t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}"[:500]))
+            return (t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}"[:500])
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        rows = list(pool.map(one, tables))
+    if create_views:
+        views: dict[str, str] = {}
+        for i, t in enumerate(tables):
+            if rows[i][1] == "failed" or not store.exists(t.name):
+                continue
+            try:
+                Scd2Table(store, t.name).register_current_view(views)
+            except Exception as exc:
+                rows[i] = (t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}"[:500])
     return spark.createDataFrame(rows, SYNC_SCHEMA)
