@@ -100,10 +100,12 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
     # Every person has exactly one row per calendar day, so partitioning the
     # (small) staff list by name before exploding gives evenly sized grid
     # partitions without shuffling the grid itself.
-    # An explicit partition count: AQE would merge the tiny staff shuffle into
-    # one partition and explode the whole grid in a single task.
+    # An explicit partition count on a hash expression: a repartition on the
+    # bare name would merge with the staff aggregate's own shuffle, which AQE
+    # coalesces to one partition for a small staff list, and the whole grid
+    # would then be exploded by a single task.
     n = int(staff_dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = staff_dim.repartition(n, "staff_name").select(
+    grid = staff_dim.repartition(n, F.xxhash64("staff_name")).select(
         "staff_uuid", "staff_name", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_g_date")
     )
     calb = bounded_broadcast(cal, params.calendar_days, params.broadcast_row_limit)
