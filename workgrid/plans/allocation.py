@@ -9,6 +9,7 @@ from ..config import BILLABLE, CATEGORY_BILLABLE, JOB_COMPLETED_STATE, NOT_BILLA
 from ..functions.rules import task_category
 from ..operators.lookup import bounded_broadcast, first_per_key
 from ..operators.ranges import explode_days
+from ..operators.staff_lookups import at_weekday, weekday_arrays
 from .dims import CALENDAR_COLUMNS, first_contained_type
 
 KEY_COLUMNS = (
@@ -70,9 +71,11 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
                       leave: DataFrame, jobs: DataFrame, task_hours: DataFrame, params: Params) -> DataFrame:
     """One row per task assignee and calendar day of its window, with the day's KPIs.
 
-    The window is exploded per task (narrow; output size = total window
-    days, never tasks x days), the calendar is a bounded broadcast, and the
-    per-person lookups are equi joins on (staff, weekday) and (staff, date).
+    Per-task lookups (task details, job state, the person's weekday flags)
+    join once per task; the window is then exploded per task (narrow; output
+    size = total window days, never tasks x days), the calendar is a bounded
+    broadcast, and only the day-keyed tables (leave status, recorded hours)
+    meet the day rows in equi joins.
     """
     lo, hi = params.calendar_start, params.calendar_end
     jt = details.select(
@@ -85,24 +88,22 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
     j6 = jobs.select(F.col("job_id").alias("_j6_id"), "job_state")
     # Per-task lookups (task details, job state) join before the days are
     # exploded: the shuffle moves one row per task, not one per task-day.
+    # The person's weekday flags (first sheet row per weekday) as one array.
+    wk = weekday_arrays(workable_days, ["working_day"])
     kt = (
         keys.join(jt, F.col("_jt_id") == F.col("job_task_staff_id"))
         .where(F.col("start_date_adjusted").isNotNull())
         .join(j6, F.col("_j6_id") == F.col("job_id"), "left")
+        .join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
     )
     days = explode_days(kt, "start_date_adjusted", "due_date_adjusted", lo, hi)
     calb = bounded_broadcast(cal.select(*[F.col(c).alias(f"_c_{c}") for c in CALENDAR_COLUMNS]),
                              params.calendar_days, params.broadcast_row_limit)
-    wkd = first_per_key(workable_days, ["staffname", "day_of_week"], ["working_day"]).select(
-        F.col("staffname").alias("_w_staff"), F.col("day_of_week").cast("int").alias("_w_dow"),
-        F.col("working_day").alias("_w_working"),
-    )
     lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day",
                       "has_partial_leave")
     th = task_hours.select(F.col("job_task_staff_id").alias("_th_id"), F.col("date").alias("_th_date"), "recorded_hrs")
     df = (
         days.join(calb, F.col("date") == F.col("_c_date"))
-        .join(wkd, (F.col("staff_name") == F.col("_w_staff")) & (F.col("_c_weekday") == F.col("_w_dow")), "left")
         .join(lv, (F.col("staff_name") == F.col("_lv_staff")) & (F.col("date") == F.col("_lv_date")), "left")
         .join(th, (F.col("_th_id") == F.col("job_task_staff_id")) & (F.col("_th_date") == F.col("date")), "left")
     )
@@ -113,7 +114,7 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
     ph = c("_c_public_holiday")
     workable = ~wk & ~ph
     between = (d >= c("start_date_adjusted")) & (d <= c("due_date_adjusted"))
-    working = F.coalesce(c("_w_working"), F.lit(False))
+    working = F.coalesce(at_weekday("_wk_working_day", c("_c_weekday")), F.lit(False))
     full = F.coalesce(c("is_full_day"), F.lit(False))
     part = F.coalesce(c("has_partial_leave"), F.lit(False))
     leave_task = F.coalesce(c("_jt_leave"), F.lit(False))

@@ -9,41 +9,35 @@ from ..config import FULL_DAY_MINUTES, Params
 from ..functions.rules import is_leave_name, window_end, window_start
 from ..operators.lookup import bounded_broadcast
 from ..operators.ranges import explode_days
+from ..operators.staff_lookups import at_weekday, working_weekday_mask
 from .dims import workday_calendar
 
 LEAVE_COLUMNS = ("staff_name", "date", "is_full_day", "has_partial_leave", "partial_leave_hrs_per_day")
 
 
-def working_weekdays(workable_days: DataFrame) -> DataFrame:
-    """Distinct (staff, weekday) pairs flagged as a working day: the EXISTS rule.
+def with_working_mask(rows: DataFrame, workable_days: DataFrame, staff_col: str = "staff_name") -> DataFrame:
+    """Attach the person's working-weekday mask to each (task or window) row, before any explode.
 
-    With duplicate sheet rows any TRUE counts, unlike the first-row lookup
-    used for display columns.
+    The EXISTS rule: with duplicate sheet rows any TRUE counts, unlike the
+    first-row lookup used for display columns.
     """
-    return (
-        workable_days.where(F.col("working_day") == True)  # noqa: E712
-        .select(F.col("staffname").alias("_ww_staff"), F.col("day_of_week").cast("int").alias("_ww_dow"))
-        .distinct()
-    )
+    mask = working_weekday_mask(workable_days)
+    return rows.join(mask, F.col(staff_col) == F.col("_ww_staff"), "left").drop("_ww_staff")
 
 
-def workable_day_rows(days: DataFrame, cal: DataFrame, workable_days: DataFrame, params: Params,
-                      staff_col: str = "staff_name") -> DataFrame:
-    """Keep the day rows that are workable for that person.
+def keep_workable_days(days: DataFrame, cal: DataFrame, params: Params) -> DataFrame:
+    """Keep the exploded day rows that are workable for that person.
 
-    Workable = not weekend, not public holiday (broadcast calendar, its size
-    is fixed by the date range) and a working weekday of that person (left
-    semi join on (staff, weekday); Spark broadcasts the pair list when it is
-    small and shuffles otherwise).
+    Workable = not weekend, not public holiday (inner join with the workday
+    calendar, a broadcast whose size is fixed by the date range) and a
+    working weekday in the person's mask (an array lookup, no join).
     """
     wcal = workday_calendar(cal).select(F.col("date").alias("_wd_date"), F.col("weekday").alias("_wd_dow"))
     with_dow = days.join(
         bounded_broadcast(wcal, params.calendar_days, params.broadcast_row_limit), F.col("date") == F.col("_wd_date")
-    ).drop("_wd_date")
-    ww = working_weekdays(workable_days)
-    return with_dow.join(
-        ww, (F.col(staff_col) == F.col("_ww_staff")) & (F.col("_wd_dow") == F.col("_ww_dow")), "left_semi"
-    ).drop("_wd_dow")
+    )
+    works = F.coalesce(at_weekday("_ww_mask", F.col("_wd_dow")), F.lit(False))
+    return with_dow.where(works).drop("_wd_date", "_wd_dow", "_ww_mask")
 
 
 def leave_rows(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFrame) -> DataFrame:
@@ -81,8 +75,8 @@ def leave_status(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: Dat
     """
     lo, hi = params.calendar_start, params.calendar_end
     rows = leave_rows(jobtask, jobtaskassignee, jobdetails)
-    wins = rows.select("staff_name", "win_start", "win_end").distinct()
-    wdays = workable_day_rows(explode_days(wins, "win_start", "win_end", lo, hi), cal, workable_days, params)
+    wins = with_working_mask(rows.select("staff_name", "win_start", "win_end").distinct(), workable_days)
+    wdays = keep_workable_days(explode_days(wins, "win_start", "win_end", lo, hi), cal, params)
     counts = wdays.groupBy("staff_name", "win_start", "win_end").agg(F.count(F.lit(1)).alias("_n_workable"))
     mpd_rows = rows.join(counts, ["staff_name", "win_start", "win_end"], "left").withColumn(
         "mpd", F.col("allocated_minutes").cast("double") / F.nullif(F.col("_n_workable"), F.lit(0)).cast("double")

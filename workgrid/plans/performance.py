@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import CATEGORY_ADMIN, CATEGORY_BILLABLE, HOURS_PER_DAY, INVOICED, UN_INVOICED, Params
 from ..functions.rules import is_holiday_name, is_other_leave_name, week_of_month
 from ..operators.lookup import bounded_broadcast, first_per_key
+from ..operators.staff_lookups import at_key, at_weekday, month_map, weekday_arrays
 from .dims import CALENDAR_COLUMNS
 
 TARGET_COLUMNS = (
@@ -92,37 +93,34 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
 
     The grid is each staff row exploded over the calendar's days (a
     generator, not a cross join; the day list is fixed by the date range).
-    Every per-person input is a one-row-per-key lookup joined on
-    (staff, date), (staff, weekday) or (staff, month); the two per-day
-    aggregates were reduced before the join.
+    Weekday and monthly sheet values arrive as per-person arrays and maps
+    joined before the explode; only the day-keyed inputs (leave status and
+    the two per-day aggregates, reduced before the join) meet the grid in
+    equi joins on (staff, date).
     """
     lo, hi = params.calendar_start, params.calendar_end
+    # Per-person lookups bounded by 7 weekdays or by the calendar's months
+    # join once per person, before the grid exists.
+    wk = weekday_arrays(workable_days, ["working_day", "adjustment_factor"])
+    adj = month_map(staff_adjustment, "staffname", "month", ["adjustmentfactor"], lo, hi, "_adj_map")
+    tg = month_map(incentive_targets, "staff_name", "month_year", list(TARGET_COLUMNS), lo, hi, "_tg_map")
+    people = (
+        staff_dim.join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
+        .join(adj.withColumnRenamed("_mm_staff", "_adj_staff"), F.col("_adj_staff") == F.col("staff_name"), "left")
+        .join(tg.withColumnRenamed("_mm_staff", "_tg_staff"), F.col("_tg_staff") == F.col("staff_name"), "left")
+    )
     # Every person has exactly one row per calendar day, so partitioning the
-    # (small) staff list by name before exploding gives evenly sized grid
-    # partitions without shuffling the grid itself.
-    # An explicit partition count on a hash expression: a repartition on the
-    # bare name would merge with the staff aggregate's own shuffle, which AQE
-    # coalesces to one partition for a small staff list, and the whole grid
-    # would then be exploded by a single task.
+    # (small) per-person rows before exploding gives evenly sized grid
+    # partitions without shuffling the grid itself. The count is explicit and
+    # the key a hash expression: a repartition on the bare name would merge
+    # with the staff aggregate's own shuffle, which AQE coalesces to one
+    # partition for a small staff list, and one task would explode the grid.
     n = int(staff_dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = staff_dim.repartition(n, F.xxhash64("staff_name")).select(
-        "staff_uuid", "staff_name", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_g_date")
+    grid = people.repartition(n, F.xxhash64("staff_name")).select(
+        "*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_g_date")
     )
     calb = bounded_broadcast(cal, params.calendar_days, params.broadcast_row_limit)
     lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day")
-    wd = first_per_key(workable_days, ["staffname", "day_of_week"], ["working_day", "adjustment_factor"]).select(
-        F.col("staffname").alias("_wd_staff"), F.col("day_of_week").cast("int").alias("_wd_dow"),
-        F.col("working_day").alias("_wd_working"), F.col("adjustment_factor").alias("_wd_factor"),
-    )
-    adj = first_per_key(
-        staff_adjustment.select("staffname", F.col("month").cast("date").alias("month_date"), "adjustmentfactor"),
-        ["staffname", "month_date"], ["adjustmentfactor"],
-    ).select(F.col("staffname").alias("_adj_staff"), F.col("month_date").alias("_adj_month"), "adjustmentfactor")
-    tg = targets_lookup(incentive_targets)
-    itgt = tg.select(F.col("staff_name").alias("_it_staff"), F.col("month_date").alias("_it_month"),
-                     *[F.col(x).alias(f"_it_{x}") for x in TARGET_COLUMNS])
-    pitgt = tg.select(F.col("staff_name").alias("_pt_staff"), F.col("month_date").alias("_pt_month"),
-                      *[F.col(x).alias(f"_pt_{x}") for x in TARGET_COLUMNS])
     aa = alloc_agg.withColumnRenamed("staff_name", "_aa_staff").withColumnRenamed("date", "_aa_date")
     ta = ts_agg.withColumnRenamed("staff_name", "_ta_staff").withColumnRenamed("date", "_ta_date")
     c = F.col
@@ -130,13 +128,17 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
     df = (
         grid.join(calb, c("_g_date") == d)
         .join(lv, (s == c("_lv_staff")) & (d == c("_lv_date")), "left")
-        .join(wd, (s == c("_wd_staff")) & (c("weekday") == c("_wd_dow")), "left")
-        .join(adj, (s == c("_adj_staff")) & (c("start_of_month") == c("_adj_month")), "left")
         .join(aa, (s == c("_aa_staff")) & (d == c("_aa_date")), "left")
-        .join(itgt, (s == c("_it_staff")) & (c("start_of_month") == c("_it_month")), "left")
-        .join(pitgt, (s == c("_pt_staff")) & (d == c("_pt_month")), "left")
         .join(ta, (s == c("_ta_staff")) & (d == c("_ta_date")), "left")
     )
+    df = df.select(
+        "*",
+        at_weekday("_wk_working_day", c("weekday")).alias("_wd_working"),
+        at_weekday("_wk_adjustment_factor", c("weekday")).alias("_wd_factor"),
+        at_key("_adj_map", c("start_of_month"))["adjustmentfactor"].alias("adjustmentfactor"),
+        *[at_key("_tg_map", c("start_of_month"))[x].alias(f"_it_{x}") for x in TARGET_COLUMNS],
+        *[at_key("_tg_map", d)[x].alias(f"_pt_{x}") for x in TARGET_COLUMNS],
+    )
     as_of = F.lit(params.as_of)
     full = F.coalesce(c("is_full_day"), F.lit(False))
     factor = F.coalesce(c("adjustmentfactor"), F.lit(0.0))

@@ -9,7 +9,7 @@ from ..config import FULL_DAY_MINUTES, HOURS_PER_DAY, Params
 from ..functions.keys import composite_id
 from ..functions.rules import is_admin, is_leave_name, window_end, window_start
 from ..operators.ranges import explode_days
-from .leave import workable_day_rows
+from .leave import keep_workable_days, with_working_mask
 
 COUNT_COLUMNS = ("wdb_cnt", "tlh_hrs", "ttl_cnt", "wdl_cnt", "arwd_cnt", "rttl_cnt", "pwdl_cnt", "pttl_cnt")
 
@@ -59,18 +59,22 @@ def calendar_counts(base: DataFrame, cal: DataFrame, workable_days: DataFrame, l
                     params: Params) -> DataFrame:
     """Eight day counts per task over its workable days, in one pass.
 
-    Each task's window is exploded into its days (narrow), kept to the
-    person's workable days, tagged with that day's leave status by an equi
-    join on (staff, date), and reduced by one ``groupBy`` with conditional
-    aggregates (partial aggregation before the shuffle). Tasks without a
-    workable day get zeros from the left join back to ``base``.
+    The person's working-weekday mask joins once per task; each task's
+    window is then exploded into its days (narrow), kept to the person's
+    workable days (calendar broadcast + mask lookup), tagged with that day's
+    leave status by an equi join on (staff, date), and reduced by one
+    ``groupBy`` with conditional aggregates (partial aggregation before the
+    shuffle). Tasks without a workable day get zeros from the left join back
+    to ``base``.
     """
     lo, hi = params.calendar_start, params.calendar_end
-    days = explode_days(
+    rows = with_working_mask(
         base.select("job_task_staff_id", "staff_name", "task_name", "start_date_adjusted", "due_date_adjusted"),
-        "start_date_adjusted", "due_date_adjusted", lo, hi,
-    ).drop("start_date_adjusted", "due_date_adjusted")
-    work = workable_day_rows(days, cal, workable_days, params)
+        workable_days,
+    )
+    days = explode_days(rows, "start_date_adjusted", "due_date_adjusted", lo, hi).drop(
+        "start_date_adjusted", "due_date_adjusted")
+    work = keep_workable_days(days, cal, params)
     lv = leave.select(
         F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"),
         "is_full_day", "has_partial_leave", "partial_leave_hrs_per_day",
