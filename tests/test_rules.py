@@ -97,3 +97,36 @@ def test_broadcast_and_qgram_containment_keep_duplicate_type_rows(spark):
     types = spark.createDataFrame([("beta",), ("beta",)], "t string")
     for limit in (100, 0):
         assert containment_pairs(names, "n", types, "t", broadcast_limit=limit).count() == 2
+
+
+def test_weekday_mask_is_exists_and_arrays_take_first_row(spark):
+    from workgrid.operators.staff_lookups import weekday_arrays, working_weekday_mask
+
+    wd = spark.createDataFrame(
+        [("a", 2, False, 0.5), ("a", 2, True, 0.25), ("a", 3, None, 1.0), ("b", 7, True, 0.75)],
+        "staffname string, day_of_week int, working_day boolean, adjustment_factor double",
+    )
+    mask = {r._ww_staff: r._ww_mask for r in working_weekday_mask(wd).collect()}
+    assert mask["a"] == [False, True, False, False, False, False, False]  # any TRUE counts
+    assert mask["b"][6] is True
+    arr = {r._wk_staff: (r._wk_working_day, r._wk_adjustment_factor)
+           for r in weekday_arrays(wd, ["working_day", "adjustment_factor"]).collect()}
+    work, factor = arr["a"]
+    assert work[1] is False and factor[1] == 0.5  # first row of (a, Monday): smallest payload
+    assert work[2] is None and factor[2] == 1.0
+    assert work[0] is None and factor[0] is None
+
+
+def test_month_map_keeps_calendar_months_and_first_row(spark):
+    from workgrid.operators.staff_lookups import at_key, month_map
+
+    df = spark.createDataFrame(
+        [("a", date(2024, 1, 1), 0.5), ("a", date(2024, 1, 1), 0.25), ("a", date(2023, 6, 1), 9.0),
+         ("a", None, 1.0), ("a", date(2024, 2, 15), 2.0)],
+        "staffname string, month date, f double",
+    )
+    m = month_map(df, "staffname", "month", ["f"], date(2024, 1, 10), date(2024, 3, 31), "_m")
+    row = m.first()
+    assert {k: v.f for k, v in row._m.items()} == {date(2024, 1, 1): 0.25, date(2024, 2, 15): 2.0}
+    got = m.select(at_key("_m", F.lit(date(2024, 3, 1))).alias("x")).first().x
+    assert got is None

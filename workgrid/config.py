@@ -87,6 +87,9 @@ class Params:
     calendar_months_ahead: int = 3
     # Upper bound (rows) for sides this library broadcasts explicitly.
     broadcast_row_limit: int = 200_000
+    # Type names up to this count are matched by a broadcast nested loop
+    # (cost: names x types); more use the exact q-gram equi join.
+    containment_loop_limit: int = 1_000
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property

@@ -85,7 +85,7 @@ def task_name(jobtask: DataFrame, task_types: DataFrame, params: Params) -> Data
     """Distinct task names with every contained type name (sorted, space-joined)."""
     names = jobtask.select(F.col("name").alias("task_name")).distinct()
     pairs = containment_pairs(names, "task_name", task_types.select(F.col("name").alias("type_name")), "type_name",
-                              params.broadcast_row_limit)
+                              params.containment_loop_limit)
     joined = pairs.groupBy("task_name").agg(
         F.array_join(F.array_sort(F.collect_list("type_name")), " ").alias("_types")
     )
@@ -105,7 +105,7 @@ def task_name(jobtask: DataFrame, task_types: DataFrame, params: Params) -> Data
 def first_contained_type(names: DataFrame, name_col: str, task_types: DataFrame, params: Params) -> DataFrame:
     """(name, type1): the smallest contained type name, else the name itself."""
     pairs = containment_pairs(names.select(name_col).distinct(), name_col,
-                              task_types.select(F.col("name").alias("_type")), "_type", params.broadcast_row_limit)
+                              task_types.select(F.col("name").alias("_type")), "_type", params.containment_loop_limit)
     first = pairs.groupBy(name_col).agg(F.min("_type").alias("_t1"))
     return names.select(name_col).distinct().join(first, name_col, "left").select(
         name_col, F.coalesce(F.col("_t1"), F.col(name_col)).alias("task_type1")
