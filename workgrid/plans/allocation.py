@@ -31,7 +31,7 @@ ALLOCATION_COLUMNS = CALENDAR_COLUMNS + KEY_COLUMNS + (
 
 
 def job_task_staff(details: DataFrame, keys_time: DataFrame, jobs: DataFrame, task_types: DataFrame,
-                   params: Params) -> DataFrame:
+                   params: Params, details_unique: bool = False) -> DataFrame:
     """Every (task assignee id, job, staff) seen in task details or timesheets, with labels.
 
     Task name comes from task details, client and job name from the one-row-
@@ -43,7 +43,9 @@ def job_task_staff(details: DataFrame, keys_time: DataFrame, jobs: DataFrame, ta
         .unionByName(keys_time.select("job_task_staff_id", "job_id", "staff_name"))
         .distinct()
     )
-    jt = first_per_key(details, ["job_task_staff_id"], ["task_name"]).select(
+    jt_src = details.select("job_task_staff_id", "task_name") if details_unique else first_per_key(
+        details, ["job_task_staff_id"], ["task_name"])
+    jt = jt_src.select(
         F.col("job_task_staff_id").alias("_jt_id"), "task_name"
     )
     j = jobs.select(F.col("job_id").alias("_j_id"), "client_name", "job_name")

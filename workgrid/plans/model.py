@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Params
 from ..session import scratch_path
+from ..sinks.store import DuplicateKeyError, duplicate_keys
 from . import allocation, dims, leave, performance, tasks, timesheet
 
 # Stages the source materialises, in refresh (dependency) order.
@@ -32,6 +33,11 @@ MATERIALISED = (
 # cutting lineage, so they are computed once.
 SHARED = ("task_base",)
 
+# Stages whose key is checked right after writing when cutting lineage,
+# because later lookups on that key then skip deduplication. (Publishing
+# through TableStore checks every stage's key.)
+CHECKED_KEYS = ("job_task_details",)
+
 UNIQUE_KEYS = {
     "leave_status": ("staff_name", "date"),
     "job_task_details": ("job_task_staff_id",),
@@ -50,6 +56,9 @@ class GoldModel:
         self.cut_lineage = cut_lineage
         self._memo: dict[str, DataFrame] = {}
         self.written: dict[str, str] = {}
+        # Stages whose unique key was checked on their written files; lookups on
+        # that key can then read them directly instead of deduplicating.
+        self.unique: set[str] = set()
 
     def _get(self, name: str, build) -> DataFrame:
         if name not in self._memo:
@@ -59,6 +68,12 @@ class GoldModel:
                 df.write.mode("overwrite").parquet(path)
                 self.written[name] = path
                 df = self.spark.read.parquet(path)
+                key = UNIQUE_KEYS.get(name) if name in CHECKED_KEYS else None
+                if key:
+                    dup = duplicate_keys(df.select(*key), key).limit(1).collect()
+                    if dup:
+                        raise DuplicateKeyError(f"{name}: key {key} not unique, e.g. {dup[0].asDict()}")
+                    self.unique.add(name)
             self._memo[name] = df
         return self._memo[name]
 
@@ -112,7 +127,8 @@ class GoldModel:
     def timesheet(self) -> DataFrame:
         return self._get("timesheet", lambda: timesheet.timesheet(
             self.t["time_entries"], self.staff(), self.job_task_details(), self.t["recorded_invoiced_hours"],
-            self.t["invoicetask"], self.t["invoice"], self.job_lookup(), self.p))
+            self.t["invoicetask"], self.t["invoice"], self.job_lookup(), self.p,
+            details_unique="job_task_details" in self.unique))
 
     def keys_time(self) -> DataFrame:
         return self._get("keys_time", lambda: timesheet.keys_time(self.timesheet()))
@@ -120,7 +136,8 @@ class GoldModel:
     # -- allocation --------------------------------------------------------------
     def job_task_staff(self) -> DataFrame:
         return self._get("job_task_staff", lambda: allocation.job_task_staff(
-            self.job_task_details(), self.keys_time(), self.job_lookup(), self.task_type(), self.p))
+            self.job_task_details(), self.keys_time(), self.job_lookup(), self.task_type(), self.p,
+            details_unique="job_task_details" in self.unique))
 
     def recorded_task_hours(self) -> DataFrame:
         return self._get("recorded_task_hours", lambda: allocation.recorded_task_hours(self.timesheet()))

@@ -48,13 +48,16 @@ def month_invoiced_on(invoice_number, rec_month, inv_month):
 
 
 def timesheet(time_entries: DataFrame, staff_dim: DataFrame, details: DataFrame, sheet_hours: DataFrame,
-              invoicetask: DataFrame, invoice: DataFrame, jobs: DataFrame, params: Params) -> DataFrame:
+              invoicetask: DataFrame, invoice: DataFrame, jobs: DataFrame, params: Params,
+              details_unique: bool = False) -> DataFrame:
     """One row per time entry since the cut-off whose staff member is known.
 
     Lookups are equi joins against one-row-per-key frames: task details per
     id, sheet hours per timesheet id, invoice per invoice task, job per job
     id. The job lookup is one row per job (the job table itself repeats a
-    job per assignee and would multiply timesheet rows).
+    job per assignee and would multiply timesheet rows). ``details_unique``
+    says the task details were checked unique on their id, so they are read
+    directly instead of deduplicated.
     """
     t = time_entries.where(F.col("date") >= F.lit(params.timesheet_cutoff)).select(
         composite_id("job_id", "task_uuid", "staff_uuid").alias("job_task_staff_id"),
@@ -70,7 +73,10 @@ def timesheet(time_entries: DataFrame, staff_dim: DataFrame, details: DataFrame,
         F.col("minutes").alias("recorded_minutes"),
     )
     s = staff_dim.select(F.col("staff_uuid").alias("_s_uuid"), "staff_name")
-    jt = first_per_key(details, ["job_task_staff_id"], ["task_name", "client_name", "task_type", "task_completed"]).select(
+    jt_cols = ["task_name", "client_name", "task_type", "task_completed"]
+    jt_src = details.select("job_task_staff_id", *jt_cols) if details_unique else first_per_key(
+        details, ["job_task_staff_id"], jt_cols)
+    jt = jt_src.select(
         F.col("job_task_staff_id").alias("_jt_id"), F.col("task_name").alias("_jt_name"),
         F.col("client_name").alias("_jt_client"), F.col("task_type").alias("_jt_type"), "task_completed",
     )
