@@ -9,7 +9,7 @@ from ..config import BILLABLE, CATEGORY_BILLABLE, JOB_COMPLETED_STATE, NOT_BILLA
 from ..functions.rules import task_category
 from ..operators.lookup import bounded_broadcast, first_per_key
 from ..operators.ranges import explode_days
-from ..operators.staff_lookups import at_weekday, weekday_arrays
+from ..operators.staff_lookups import at_key, at_weekday, weekday_arrays
 from .dims import CALENDAR_COLUMNS, first_contained_type
 
 KEY_COLUMNS = (
@@ -69,6 +69,19 @@ def recorded_task_hours(ts: DataFrame) -> DataFrame:
     )
 
 
+def hours_by_task(task_hours: DataFrame, lo, hi) -> DataFrame:
+    """(``_th_id``, map date -> recorded hours) for the calendar's days.
+
+    Recorded days per task are sparse and bounded by the calendar length, so
+    they travel with the task row and the exploded days read them by key
+    instead of joining on (task, date).
+    """
+    th = task_hours.where(F.col("date").between(F.lit(lo), F.lit(hi)) & F.col("recorded_hrs").isNotNull())
+    return th.groupBy(F.col("job_task_staff_id").alias("_th_id")).agg(
+        F.map_from_entries(F.collect_list(F.struct("date", "recorded_hrs"))).alias("_th_hours")
+    )
+
+
 def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, workable_days: DataFrame,
                       leave: DataFrame, jobs: DataFrame, task_hours: DataFrame, params: Params) -> DataFrame:
     """One row per task assignee and calendar day of its window, with the day's KPIs.
@@ -76,8 +89,8 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
     Per-task lookups (task details, job state, the person's weekday flags)
     join once per task; the window is then exploded per task (narrow; output
     size = total window days, never tasks x days), the calendar is a bounded
-    broadcast, and only the day-keyed tables (leave status, recorded hours)
-    meet the day rows in equi joins.
+    broadcast, recorded hours come as a per-task map, and only leave status
+    meets the day rows in an equi join on (staff, date).
     """
     lo, hi = params.calendar_start, params.calendar_end
     jt = details.select(
@@ -97,17 +110,16 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
         .where(F.col("start_date_adjusted").isNotNull())
         .join(j6, F.col("_j6_id") == F.col("job_id"), "left")
         .join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
+        .join(hours_by_task(task_hours, lo, hi), F.col("_th_id") == F.col("job_task_staff_id"), "left")
     )
     days = explode_days(kt, "start_date_adjusted", "due_date_adjusted", lo, hi)
     calb = bounded_broadcast(cal.select(*[F.col(c).alias(f"_c_{c}") for c in CALENDAR_COLUMNS]),
                              params.calendar_days, params.broadcast_row_limit)
     lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day",
                       "has_partial_leave")
-    th = task_hours.select(F.col("job_task_staff_id").alias("_th_id"), F.col("date").alias("_th_date"), "recorded_hrs")
     df = (
         days.join(calb, F.col("date") == F.col("_c_date"))
         .join(lv, (F.col("staff_name") == F.col("_lv_staff")) & (F.col("date") == F.col("_lv_date")), "left")
-        .join(th, (F.col("_th_id") == F.col("job_task_staff_id")) & (F.col("_th_date") == F.col("date")), "left")
     )
     c = F.col
     d = c("date")
@@ -161,7 +173,7 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
             "act_allo_hrs_per_prior_work_days_without_leave_kpi07"),
         c("is_task_within_allo_time_imp").alias("is_task_within_allo_time"),
         (F.coalesce(c("job_state"), F.lit("")) == JOB_COMPLETED_STATE).alias("is_job_complete"),
-        c("recorded_hrs").alias("recorded_task_hours"),
+        at_key("_th_hours", d).alias("recorded_task_hours"),
         F.when(leave_task & workable & working, per_hour("initial_avg_mins_per_work_day")).alias(
             "allo_hrs_per_work_day_leave"),
         null_d.alias("allo_hrs_per_work_day_adj_leaves_remain_days_fin02"),
