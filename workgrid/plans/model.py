@@ -121,7 +121,7 @@ class GoldModel:
 
     def job_task_details(self) -> DataFrame:
         return self._get("job_task_details", lambda: tasks.job_task_details(
-            self.task_base(), self.calendar_counts(), self.recorded_minutes(), self.p))
+            self.task_base(), self.calendar_counts(), tasks.minutes_by_task(self.t["time_entries"], self.p), self.p))
 
     # -- timesheet -------------------------------------------------------------
     def timesheet(self) -> DataFrame:

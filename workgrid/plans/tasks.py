@@ -100,18 +100,28 @@ def calendar_counts(base: DataFrame, cal: DataFrame, workable_days: DataFrame, l
     return base.select("job_task_staff_id").join(agg, "job_task_staff_id", "left").select("job_task_staff_id", *fill)
 
 
-def recorded_minutes(base: DataFrame, time_entries: DataFrame, params: Params) -> DataFrame:
-    """Minutes recorded against each task assignee since the timesheet cut-off (0 when none)."""
-    rec = (
+def minutes_by_task(time_entries: DataFrame, params: Params) -> DataFrame:
+    """Minutes recorded since the cut-off per (job, task, staff), keyed like the task rows."""
+    return (
         time_entries.where(F.col("date") >= F.lit(params.timesheet_cutoff))
         .groupBy(F.col("job_id").alias("_t_job"), F.col("task_uuid").alias("_t_task"), F.col("staff_uuid").alias("_t_staff"))
         .agg(F.sum("minutes").alias("_rec"))
     )
-    b = base.select("job_task_staff_id", "job_id", "task_uuid", "staff_uuid")
-    cond = (F.col("job_id") == F.col("_t_job")) & (F.col("task_uuid") == F.col("_t_task")) & (F.col("staff_uuid") == F.col("_t_staff"))
-    return b.join(rec, cond, "left").select(
-        "job_task_staff_id", F.coalesce(F.col("_rec"), F.lit(0).cast("bigint")).alias("recorded_mins")
-    )
+
+
+def _with_minutes(rows: DataFrame, minutes: DataFrame) -> DataFrame:
+    """Left join on the three columns (not the concatenated id); 0 when nothing was recorded."""
+    cond = (F.col("job_id") == F.col("_t_job")) & (F.col("task_uuid") == F.col("_t_task")) & (
+        F.col("staff_uuid") == F.col("_t_staff"))
+    return rows.join(minutes, cond, "left").withColumn(
+        "recorded_mins", F.coalesce(F.col("_rec"), F.lit(0).cast("bigint"))
+    ).drop("_t_job", "_t_task", "_t_staff", "_rec")
+
+
+def recorded_minutes(base: DataFrame, time_entries: DataFrame, params: Params) -> DataFrame:
+    """Minutes recorded against each task assignee since the timesheet cut-off (0 when none)."""
+    rows = base.select("job_task_staff_id", "job_id", "task_uuid", "staff_uuid")
+    return _with_minutes(rows, minutes_by_task(time_entries, params)).select("job_task_staff_id", "recorded_mins")
 
 
 def _nl(leave: Column, value: Column) -> Column:
@@ -119,9 +129,14 @@ def _nl(leave: Column, value: Column) -> Column:
     return F.when(~leave, value)
 
 
-def job_task_details(base: DataFrame, counts: DataFrame, rec: DataFrame, params: Params) -> DataFrame:
-    """The 46-column task details table."""
-    df = base.join(counts, "job_task_staff_id", "left").join(rec, "job_task_staff_id", "left")
+def job_task_details(base: DataFrame, counts: DataFrame, minutes: DataFrame, params: Params) -> DataFrame:
+    """The 46-column task details table.
+
+    ``minutes`` is ``minutes_by_task``: it joins the task rows directly on
+    their three key columns, so the task rows are shuffled once for it and
+    once for the day counts.
+    """
+    df = _with_minutes(base, minutes).join(counts, "job_task_staff_id", "left")
     c = F.col
     L = c("is_task_a_leave")
     A = is_admin(c("task_name"), c("client_name"), params)
