@@ -96,3 +96,23 @@ def test_cut_lineage_chain_equals_lazy_chain(spark, params, model):
         cols = [c for c in b.columns if c != "row_id"]
         assert _rows(a.select(cols)) == _rows(b.select(cols)), name
     assert "job_task_details" in stored.unique
+
+
+def _plan(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+@pytest.mark.parametrize("name", MATERIALISED)
+def test_plans_have_no_cross_products(model, name):
+    """Range joins are exploded + equi joins; the only nested loop is the bounded type containment."""
+    plan = _plan(getattr(model, name)())
+    assert "CartesianProduct" not in plan
+    for line in plan.splitlines():
+        if "BroadcastNestedLoopJoin" in line:
+            assert "Contains(" in line, line

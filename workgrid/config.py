@@ -8,7 +8,7 @@ People and company labels are configuration, never code.
 from __future__ import annotations
 
 import calendar as _calendar
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import date
 
 # ---------------------------------------------------------------------------
@@ -90,7 +90,6 @@ class Params:
     # Type names up to this count are matched by a broadcast nested loop
     # (cost: names x types); more use the exact q-gram equi join.
     containment_loop_limit: int = 1_000
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
     def calendar_end(self) -> date:
