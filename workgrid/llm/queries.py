@@ -11,6 +11,12 @@ from workgrid.sources.driver import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from workgrid.llm.toxicity import toxicity
+
+    return toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from workgrid.llm.simhash import near_duplicates
 
@@ -19,6 +25,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
