@@ -17,6 +17,29 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from workgrid.llm.bpe import encoding_digests
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encoding_digests(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from workgrid.llm.line_dedup import remove_repeated_lines
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_lines(docs)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from workgrid.llm.decontaminate import contained_items
+
+    found = contained_items(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("row")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from workgrid.llm.simhash import near_duplicates
 
@@ -26,9 +49,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op4_bpe": op4_bpe,
+        "op5_line_dedup": op5_line_dedup,
+        "op8_decontamination": op8_decontamination,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    from workgrid.llm import decontaminate, line_dedup
+
+    return {
+        "op5_line_dedup": line_dedup.ORACLE,
+        "op8_decontamination": decontaminate.ORACLE,
+    }

@@ -212,3 +212,10 @@ def near_duplicates(
     return fps.join(by_fp, "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_per_group(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` without the rows whose id is not the smallest of its near-duplicate group; rows without an id stay."""
+    found = near_duplicates(spark, docs, shingle, max_bits)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == F.col("_gone"), "left_anti")

@@ -329,3 +329,21 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     """Fit on ``labels(doc_id, toxic)`` and score every row: ``(doc_id, held_out, score, predicted)``."""
     model = fit(spark, docs, labels)
     return score(spark, docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the rows that a model fitted on ``labels`` predicts as toxic; columns unchanged, no shuffle of texts."""
+    model = fit(spark, docs, labels)
+    if model is None:
+        return docs
+    at = spark.sparkContext.broadcast(model)
+    limit = -model.offset / model.slope  # the margin of score 0.5
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(at.value)
+        for batch in batches:
+            margins = scorer.margins([None if t is None else str(t) for t in batch.column(text).to_pylist()])
+            yield batch.filter(pa.array(margins < limit))
+
+    return docs.mapInArrow(run, docs.schema)
