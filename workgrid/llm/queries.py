@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from workgrid.sources.driver import read_table
 
+#: Key of the registered query; a deployment passes its own secret.
+PII_KEY = "registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -46,9 +49,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from workgrid.llm.pii import pseudonymise
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PII_KEY)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op10_pii": op10_pii,
         "op4_bpe": op4_bpe,
         "op5_line_dedup": op5_line_dedup,
         "op8_decontamination": op8_decontamination,
