@@ -49,6 +49,12 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from workgrid.llm.licenses import scan
+
+    return scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from workgrid.llm.pii import pseudonymise
 
@@ -62,6 +68,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_pii": op10_pii,
         "op4_bpe": op4_bpe,
         "op5_line_dedup": op5_line_dedup,
+        "op7_licenses": op7_licenses,
         "op8_decontamination": op8_decontamination,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
@@ -72,5 +79,6 @@ def llm_oracle_sql() -> dict[str, str]:
 
     return {
         "op5_line_dedup": line_dedup.ORACLE,
+        "op7_licenses": op7_licenses,
         "op8_decontamination": decontaminate.ORACLE,
     }
