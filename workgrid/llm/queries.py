@@ -49,6 +49,14 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from workgrid.llm.topk import top_k
+
+    return top_k(spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from workgrid.llm.licenses import scan
 
@@ -68,6 +76,7 @@ def llm_queries() -> dict[str, Query]:
         "op10_pii": op10_pii,
         "op4_bpe": op4_bpe,
         "op5_line_dedup": op5_line_dedup,
+        "op6_topk": op6_topk,
         "op7_licenses": op7_licenses,
         "op8_decontamination": op8_decontamination,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
@@ -75,10 +84,12 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    from workgrid.llm import decontaminate, line_dedup
+    from workgrid.llm import decontaminate, line_dedup, topk
 
     return {
         "op5_line_dedup": line_dedup.ORACLE,
+        "op6_topk": op6_topk,
         "op7_licenses": op7_licenses,
+        "op6_topk": topk.ORACLE,
         "op8_decontamination": decontaminate.ORACLE,
     }

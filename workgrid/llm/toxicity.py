@@ -155,12 +155,11 @@ def _worst_units(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(0).to_pylist():
-                if units := sorted(_units(text)):
-                    margins = model.margins(units)
-                    if (best := int(margins.argmax())) >= 0 and margins[best] > 0:
-                        found.append(units[best])
+            bags = [_units(text) for text in batch.column(0).to_pylist()]
+            every = sorted(set().union(*bags))
+            margin = dict(zip(every, model.margins(every).tolist()))
+            best = (max(bag, key=lambda u: (margin[u], u)) for bag in bags if bag)
+            found = [u for u in best if margin[u] > 0]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["unit"])
 
     return run
