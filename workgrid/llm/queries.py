@@ -20,6 +20,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from workgrid.llm.quality import quality
+
+    return quality(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +80,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op10_pii": op10_pii,
+        "op3_quality": op3_quality,
         "op4_bpe": op4_bpe,
         "op5_line_dedup": op5_line_dedup,
         "op6_topk": op6_topk,
