@@ -20,6 +20,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from workgrid.llm.token_files import read_token_files, write_token_files
+    from workgrid.session import scratch_path
+
+    folder = scratch_path(spark, "llm", "token_files")
+    docs = read_table(spark, sf_dir, "documents")
+    write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    return read_token_files(spark, folder)
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from workgrid.llm.quality import quality
 
@@ -80,6 +92,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op10_pii": op10_pii,
+        "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
         "op4_bpe": op4_bpe,
         "op5_line_dedup": op5_line_dedup,
