@@ -130,19 +130,22 @@ FROM (
          coalesce(l.is_full_day, false) AS f, coalesce(l.has_partial_leave, false) AS pt,
          l.partial_leave_hrs_per_day AS ph,
          (b.task_name = {admin_task} AND c.date >= date '{p.admin_cutoff.isoformat()}') AS ac
-  FROM o_base b
-  JOIN o_cal c ON c.date BETWEEN b.start_date_adjusted AND b.due_date_adjusted
+  FROM (SELECT job_task_staff_id, staff_name, task_name,
+               unnest(generate_series(greatest(start_date_adjusted, date '{p.calendar_start.isoformat()}'),
+                                      least(due_date_adjusted, date '{p.calendar_end.isoformat()}'), INTERVAL 1 DAY)) AS on_day
+        FROM o_base WHERE start_date_adjusted IS NOT NULL AND due_date_adjusted IS NOT NULL) b
+  JOIN o_cal c ON c.date = cast(b.on_day AS date)
+  JOIN o_workdays w ON w.staffname = b.staff_name AND w.day_of_week = c.weekday
   LEFT JOIN o_leave l ON l.staff_name = b.staff_name AND l.date = c.date
   WHERE NOT c.weekend AND NOT c.public_holiday
-    AND EXISTS (SELECT 1 FROM o_workdays w WHERE w.staffname = b.staff_name AND w.day_of_week = c.weekday)
 ) b
 GROUP BY b.job_task_staff_id"""),
         ("o_rec", f"""
-SELECT b.job_task_staff_id,
-       cast(coalesce((SELECT sum(te.minutes) FROM time_entries te
-                      WHERE te.job_id = b.job_id AND te.task_uuid = b.task_uuid AND te.staff_uuid = b.staff_uuid
-                        AND te.date >= date '{p.timesheet_cutoff.isoformat()}'), 0) AS BIGINT) AS recorded_mins
-FROM o_base b"""),
+SELECT b.job_task_staff_id, cast(coalesce(m.mins, 0) AS BIGINT) AS recorded_mins
+FROM o_base b
+LEFT JOIN (SELECT job_id, task_uuid, staff_uuid, sum(minutes) AS mins FROM time_entries
+           WHERE date >= date '{p.timesheet_cutoff.isoformat()}' GROUP BY job_id, task_uuid, staff_uuid) m
+  ON m.job_id = b.job_id AND m.task_uuid = b.task_uuid AND m.staff_uuid = b.staff_uuid"""),
         ("o_jt1", f"""
 SELECT b.*,
        coalesce(k.wdb_cnt, 0) AS wdb, coalesce(k.tlh_hrs, 0) AS tlh, coalesce(k.ttl_cnt, 0) AS ttl,

@@ -85,11 +85,6 @@ class Params:
     excluded_task_staff: tuple[str, ...] = ()
     # Months after as_of's month that the calendar still covers.
     calendar_months_ahead: int = 3
-    # Upper bound (rows) for sides this library broadcasts explicitly.
-    broadcast_row_limit: int = 200_000
-    # Type names up to this count are matched by a broadcast nested loop
-    # (cost: names x types); more use the exact q-gram equi join.
-    containment_loop_limit: int = 1_000
 
     @property
     def calendar_end(self) -> date:
@@ -111,7 +106,8 @@ class Params:
 def fixture_params() -> Params:
     """Parameters that go with the fixture tables derived from the driver data."""
     return Params(
-        as_of=date(1998, 7, 1),
+        # The calendar then ends on 2001-09-30, after the latest task window.
+        as_of=date(2001, 6, 1),
         calendar_start=date(1995, 1, 1),
         timesheet_cutoff=date(1995, 1, 1),
         admin_cutoff=date(1997, 2, 1),

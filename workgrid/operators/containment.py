@@ -1,18 +1,15 @@
 """Containment join: which type names occur inside which task names.
 
-SQL writes this as ``name ILIKE '%' || type || '%'``, a theta join. Two
-plans, chosen by a measured size check of the type side:
-
-* small type table (the normal case, a curated list): broadcast it and let
-  Spark evaluate ``contains`` per name in a broadcast nested-loop join;
-* large type table: an exact q-gram equi join. Every occurrence of a type
-  inside a name starts with the type's first q characters, so joining each
-  type's first q-gram to the distinct q-grams of each name finds every
-  candidate pair; ``contains`` then verifies it. Types shorter than q have
-  at most ``alphabet**(q-1)`` distinct values and are broadcast.
+SQL writes this as ``name ILIKE '%' || type || '%'``, a theta join. Here it
+is an exact equi join on character grams: a name that contains a type holds
+every gram of the type. Each type is looked up under the one of its
+three-character grams that the fewest names hold, so types that share a
+common beginning do not meet under one hot key; ``contains`` then verifies
+the pair. A type shorter than three characters is its own gram.
 
 The comparison is literal and case-insensitive (``lower`` on both sides),
-so ``%``, ``_`` and ``\\`` in a type name are ordinary characters.
+so ``%``, ``_`` and ``\\`` in a type name are ordinary characters. An empty
+type name is in every name.
 """
 
 from __future__ import annotations
@@ -23,14 +20,13 @@ from pyspark.sql import functions as F
 QGRAM = 3
 
 
-def containment_pairs(
-    names: DataFrame,
-    name_col: str,
-    types: DataFrame,
-    type_col: str,
-    broadcast_limit: int,
-    type_count: int | None = None,
-) -> DataFrame:
+def _grams(col: str, size: int):
+    """All substrings of ``size`` characters (none in a shorter text)."""
+    at = f"transform(sequence(1, length({col}) - {size} + 1), i -> substring({col}, i, {size}))"
+    return F.expr(f"CASE WHEN length({col}) >= {size} THEN {at} ELSE array() END")
+
+
+def containment_pairs(names: DataFrame, name_col: str, types: DataFrame, type_col: str) -> DataFrame:
     """Rows (name_col, type_col) for every type row contained in each distinct non-NULL name.
 
     ``names`` should already be distinct on ``name_col``. Duplicate type rows
@@ -38,19 +34,16 @@ def containment_pairs(
     """
     n = names.select(F.col(name_col)).where(F.col(name_col).isNotNull()).withColumn("_lname", F.lower(name_col))
     t = types.select(F.col(type_col)).where(F.col(type_col).isNotNull()).withColumn("_ltype", F.lower(type_col))
-    if type_count is None:
-        type_count = t.count()
-    if type_count <= broadcast_limit:
-        pairs = n.join(F.broadcast(t), F.col("_lname").contains(F.col("_ltype")))
-        return pairs.select(name_col, type_col)
-
-    long_t = t.where(F.length("_ltype") >= QGRAM).withColumn("_g", F.substring("_ltype", 1, QGRAM))
-    short_t = t.where(F.length("_ltype") < QGRAM)
-    grams = F.expr(
-        f"array_distinct(transform(sequence(1, greatest(length(_lname) - {QGRAM} + 1, 1)), "
-        f"i -> substring(_lname, i, {QGRAM})))"
+    every = F.array_distinct(F.concat(F.array(F.lit("")), *[_grams("_lname", k) for k in range(1, QGRAM + 1)]))
+    held = n.withColumn("_g", F.explode(every))
+    own = F.when(F.length("_ltype") < QGRAM, F.array("_ltype")).otherwise(_grams("_ltype", QGRAM))
+    offered = t.select("_ltype").distinct().withColumn("_g", F.explode(own))
+    spread = held.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (
+        offered.join(spread, "_g", "left")
+        .groupBy("_ltype")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_g")).alias("_r"))
+        .select("_ltype", F.col("_r._g").alias("_g"))
     )
-    n_grams = n.withColumn("_g", F.explode(grams)).where(F.length("_g") == QGRAM)
-    long_pairs = n_grams.join(long_t, "_g").where(F.col("_lname").contains(F.col("_ltype")))
-    short_pairs = n.join(F.broadcast(short_t), F.col("_lname").contains(F.col("_ltype")))
-    return long_pairs.select(name_col, type_col).unionByName(short_pairs.select(name_col, type_col))
+    keyed = t.join(rarest, "_ltype")
+    return held.join(keyed, "_g").where(F.col("_lname").contains(F.col("_ltype"))).select(name_col, type_col)

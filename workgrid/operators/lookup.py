@@ -1,12 +1,14 @@
-"""Lookup-side helpers: deterministic DISTINCT ON and bounded broadcasts."""
+"""Lookup-side helpers: deterministic DISTINCT ON, and left joins on keys that are often NULL."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+NULL_SPREAD = 1024
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """One row per key: the smallest payload tuple, NULL fields first.
@@ -21,12 +23,17 @@ def first_per_key(df: DataFrame, keys: Sequence[str], payload: Sequence[str]) ->
     return agg.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload])
 
 
-def bounded_broadcast(df: DataFrame, row_bound: int, limit: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is bounded by construction below ``limit``.
+def left_join_sparse(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on a key that may be NULL for many left rows.
 
-    ``row_bound`` must be a proven upper bound (from parameters such as a
-    date range), not an estimate. Beyond the limit the frame is returned
-    unchanged and Spark plans a shuffle join (or AQE converts it at run
-    time from the measured shuffle size).
+    NULL matches nothing, but all NULL keys would shuffle to one task. Those
+    rows get a second join key of ``NULL_SPREAD`` values (from ``spread_by``)
+    instead, which spreads them; rows with a key have the value 0 on both
+    sides. The result is that of the plain join.
     """
-    return F.broadcast(df) if row_bound <= limit else df
+    spread: Column = F.when(F.col(left_key).isNotNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("int") + 1
+    )
+    keyed = right.withColumn("_spread_r", F.lit(0))
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_spread_l") == F.col("_spread_r"))
+    return left.withColumn("_spread_l", spread).join(keyed, same, "left").drop("_spread_l", "_spread_r")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..config import BILLABLE, CATEGORY_BILLABLE, JOB_COMPLETED_STATE, NOT_BILLABLE, Params
 from ..functions.rules import task_category
-from ..operators.lookup import bounded_broadcast, first_per_key
-from ..operators.ranges import explode_days
+from ..operators.lookup import first_per_key
+from ..operators.person_days import leave_code_arrays
+from ..operators.ranges import window_index
 from ..operators.staff_lookups import at_key, at_weekday, weekday_arrays
 from .dims import CALENDAR_COLUMNS, first_contained_type
 
@@ -30,13 +31,13 @@ ALLOCATION_COLUMNS = CALENDAR_COLUMNS + KEY_COLUMNS + (
 )
 
 
-def job_task_staff(details: DataFrame, keys_time: DataFrame, jobs: DataFrame, task_types: DataFrame,
+def job_task_staff(details: DataFrame, keys_time: DataFrame, jobs: DataFrame, type_pairs: DataFrame,
                    params: Params, details_unique: bool = False) -> DataFrame:
     """Every (task assignee id, job, staff) seen in task details or timesheets, with labels.
 
     Task name comes from task details, client and job name from the one-row-
-    per-job lookup, and the first contained task type from a containment
-    join over the distinct task names only.
+    per-job lookup, and the first contained task type from the containment
+    pairs of the distinct task names.
     """
     keys = (
         details.select("job_task_staff_id", "job_id", "staff_name")
@@ -52,8 +53,7 @@ def job_task_staff(details: DataFrame, keys_time: DataFrame, jobs: DataFrame, ta
     df = keys.join(jt, F.col("_jt_id") == F.col("job_task_staff_id"), "left").join(
         j, F.col("_j_id") == F.col("job_id"), "left"
     )
-    t1 = first_contained_type(details.select("task_name").where(F.col("task_name").isNotNull()), "task_name",
-                              task_types, params).select(F.col("task_name").alias("_t1_name"), "task_type1")
+    t1 = first_contained_type(type_pairs).select(F.col("task_name").alias("_t1_name"), "task_type1")
     df = df.join(t1, F.col("_t1_name") == F.col("task_name"), "left")
     return df.select(
         "job_task_staff_id", "job_id", "staff_name", "task_name", "client_name", "job_name",
@@ -64,7 +64,7 @@ def job_task_staff(details: DataFrame, keys_time: DataFrame, jobs: DataFrame, ta
 
 def recorded_task_hours(ts: DataFrame) -> DataFrame:
     """Recorded hours per (task assignee id, date)."""
-    return ts.groupBy("job_task_staff_id", "date").agg(
+    return ts.groupBy("job_task_staff_id", F.col("date").cast("date").alias("date")).agg(
         (F.sum("recorded_minutes").cast("double") / F.lit(60.0)).alias("recorded_hrs")
     )
 
@@ -89,8 +89,9 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
     Per-task lookups (task details, job state, the person's weekday flags)
     join once per task; the window is then exploded per task (narrow; output
     size = total window days, never tasks x days), the calendar is a bounded
-    broadcast, recorded hours come as a per-task map, and only leave status
-    meets the day rows in an equi join on (staff, date).
+    broadcast, recorded hours come as a per-task map and leave status as the
+    person's per-day array, both read while the window is exploded: no
+    day row is shuffled.
     """
     lo, hi = params.calendar_start, params.calendar_end
     jt = details.select(
@@ -112,15 +113,19 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
         .join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
         .join(hours_by_task(task_hours, lo, hi), F.col("_th_id") == F.col("job_task_staff_id"), "left")
     )
-    days = explode_days(kt, "start_date_adjusted", "due_date_adjusted", lo, hi)
-    calb = bounded_broadcast(cal.select(*[F.col(c).alias(f"_c_{c}") for c in CALENDAR_COLUMNS]),
-                             params.calendar_days, params.broadcast_row_limit)
-    lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day",
-                      "has_partial_leave")
-    df = (
-        days.join(calb, F.col("date") == F.col("_c_date"))
-        .join(lv, (F.col("staff_name") == F.col("_lv_staff")) & (F.col("date") == F.col("_lv_date")), "left")
-    )
+    kt = kt.join(leave_code_arrays(leave, params), F.col("_lc_staff") == F.col("staff_name"), "left")
+    # The window's days are put together with their leave code and recorded
+    # hours before the explode, so a day row carries scalars, not arrays.
+    first, last = window_index("start_date_adjusted", "due_date_adjusted", lo, hi)
+
+    def one_day(i):
+        on = F.date_add(F.lit(lo), i)
+        return F.struct(on.alias("date"), F.get("_lc_codes", i).alias("leave"), at_key("_th_hours", on).alias("hours"))
+
+    window = F.when(last >= first, F.transform(F.sequence(first, last), one_day))
+    days = kt.withColumn("_day", F.explode(window)).withColumn("date", F.col("_day.date"))
+    calb = F.broadcast(cal.select(*[F.col(c).alias(f"_c_{c}") for c in CALENDAR_COLUMNS]))
+    df = days.join(calb, F.col("date") == F.col("_c_date"))
     c = F.col
     d = c("date")
     as_of = F.lit(params.as_of)
@@ -129,8 +134,8 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
     workable = ~wk & ~ph
     between = (d >= c("start_date_adjusted")) & (d <= c("due_date_adjusted"))
     working = F.coalesce(at_weekday("_wk_working_day", c("_c_weekday")), F.lit(False))
-    full = F.coalesce(c("is_full_day"), F.lit(False))
-    part = F.coalesce(c("has_partial_leave"), F.lit(False))
+    code = F.coalesce(c("_day.leave"), F.lit(0))
+    full, part = code >= 2, code % 2 == 1
     leave_task = F.coalesce(c("_jt_leave"), F.lit(False))
     admin = (c("task_type1") == params.admin_task) | (c("client_name") == params.admin_client)
     billable_cat = c("task_category") == CATEGORY_BILLABLE
@@ -173,7 +178,7 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
             "act_allo_hrs_per_prior_work_days_without_leave_kpi07"),
         c("is_task_within_allo_time_imp").alias("is_task_within_allo_time"),
         (F.coalesce(c("job_state"), F.lit("")) == JOB_COMPLETED_STATE).alias("is_job_complete"),
-        at_key("_th_hours", d).alias("recorded_task_hours"),
+        c("_day.hours").alias("recorded_task_hours"),
         F.when(leave_task & workable & working, per_hour("initial_avg_mins_per_work_day")).alias(
             "allo_hrs_per_work_day_leave"),
         null_d.alias("allo_hrs_per_work_day_adj_leaves_remain_days_fin02"),

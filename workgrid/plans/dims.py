@@ -15,7 +15,7 @@ from ..config import (
     Params,
 )
 from ..operators.containment import containment_pairs
-from ..operators.lookup import bounded_broadcast, first_per_key
+from ..operators.lookup import first_per_key, left_join_sparse
 
 CALENDAR_COLUMNS = (
     "date", "public_holiday", "weekday", "weekend", "start_of_month", "end_of_month", "is_range_for_invoicing",
@@ -38,7 +38,7 @@ def calendar(spark: SparkSession, params: Params, public_holidays: DataFrame) ->
     )
     d = F.col("date")
     eom = F.last_day(d)
-    return days.join(bounded_broadcast(hol, params.calendar_days, params.broadcast_row_limit), d == F.col("_h"), "left").select(
+    return days.join(F.broadcast(hol), d == F.col("_h"), "left").select(
         d,
         F.col("_h").isNotNull().alias("public_holiday"),
         F.dayofweek(d).alias("weekday"),
@@ -64,7 +64,7 @@ def metric_display(spark: SparkSession) -> DataFrame:
     )
     lits = F.array(*[F.lit(x) for x in DISPLAY_METRICS])
     return spark.range(1).select(F.explode(lits).alias("metric")).select(
-        m, F.concat(F.lit(METRIC_NAME_PREFIX), F.substring(m, 4, 1 << 20)).alias("name"), target.alias("target_metric")
+        m, F.concat(F.lit(METRIC_NAME_PREFIX), F.expr("substring(metric, 4)")).alias("name"), target.alias("target_metric")
     )
 
 
@@ -81,11 +81,15 @@ def task_type(task: DataFrame) -> DataFrame:
     return task.select(F.col("uuid").alias("tasktype_uuid"), F.col("name"))
 
 
-def task_name(jobtask: DataFrame, task_types: DataFrame, params: Params) -> DataFrame:
+def type_pairs(jobtask: DataFrame, task_types: DataFrame) -> DataFrame:
+    """(task_name, type_name): every type row whose name a distinct task name contains."""
+    names = jobtask.select(F.col("name").alias("task_name")).distinct()
+    return containment_pairs(names, "task_name", task_types.select(F.col("name").alias("type_name")), "type_name")
+
+
+def task_name(jobtask: DataFrame, pairs: DataFrame) -> DataFrame:
     """Distinct task names with every contained type name (sorted, space-joined)."""
     names = jobtask.select(F.col("name").alias("task_name")).distinct()
-    pairs = containment_pairs(names, "task_name", task_types.select(F.col("name").alias("type_name")), "type_name",
-                              params.containment_loop_limit)
     joined = pairs.groupBy("task_name").agg(
         F.array_join(F.array_sort(F.collect_list("type_name")), " ").alias("_types")
     )
@@ -102,37 +106,32 @@ def task_name(jobtask: DataFrame, task_types: DataFrame, params: Params) -> Data
     )
 
 
-def first_contained_type(names: DataFrame, name_col: str, task_types: DataFrame, params: Params) -> DataFrame:
-    """(name, type1): the smallest contained type name, else the name itself."""
-    pairs = containment_pairs(names.select(name_col).distinct(), name_col,
-                              task_types.select(F.col("name").alias("_type")), "_type", params.containment_loop_limit)
-    first = pairs.groupBy(name_col).agg(F.min("_type").alias("_t1"))
-    return names.select(name_col).distinct().join(first, name_col, "left").select(
-        name_col, F.coalesce(F.col("_t1"), F.col(name_col)).alias("task_type1")
-    )
+def first_contained_type(pairs: DataFrame) -> DataFrame:
+    """(task_name, task_type1): the smallest contained type name of the names that have one."""
+    return pairs.groupBy("task_name").agg(F.min("type_name").alias("task_type1"))
 
 
 def job(jobdetails: DataFrame, clientdetails: DataFrame, jobassignee: DataFrame) -> DataFrame:
     """Job table: one row per job assignee (jobs without assignees keep one row)."""
-    jd = jobdetails.alias("jd")
     cd = clientdetails.select(F.col("uuid").alias("_cd_uuid"), F.col("name").alias("client_name"))
     ja = jobassignee.select(F.col("uuid").alias("staff_uuid"), F.col("name").alias("staff_name"), F.col("job_id").alias("_ja_job"))
+    jd = left_join_sparse(jobdetails, cd, "client_uuid", "_cd_uuid", "uuid").withColumnsRenamed(
+        {c: f"_jd_{c}" for c in jobdetails.columns})
     return (
-        jd.join(cd, F.col("jd.client_uuid") == F.col("_cd_uuid"), "left")
-        .join(ja, F.col("_ja_job") == F.col("jd.remote_id"), "left")
+        jd.join(ja, F.col("_ja_job") == F.col("_jd_remote_id"), "left")
         .select(
-            F.col("jd.uuid").alias("job_uuid"),
-            F.col("jd.id").alias("job_id"),
-            F.col("jd.name").alias("job_name"),
-            F.col("jd.description").alias("job_description"),
-            F.col("jd.client_uuid").alias("client_uuid"),
+            F.col("_jd_uuid").alias("job_uuid"),
+            F.col("_jd_id").alias("job_id"),
+            F.col("_jd_name").alias("job_name"),
+            F.col("_jd_description").alias("job_description"),
+            F.col("_jd_client_uuid").alias("client_uuid"),
             "client_name",
             "staff_uuid",
             "staff_name",
-            F.col("jd.state").alias("job_state"),
-            F.col("jd.start_date").alias("start_date"),
-            F.col("jd.due_date").alias("due_date"),
-            F.col("jd.completed_date").alias("completed_date"),
+            F.col("_jd_state").alias("job_state"),
+            F.col("_jd_start_date").alias("start_date"),
+            F.col("_jd_due_date").alias("due_date"),
+            F.col("_jd_completed_date").alias("completed_date"),
         )
     )
 
@@ -145,7 +144,7 @@ def job_lookup(jobdetails: DataFrame, clientdetails: DataFrame) -> DataFrame:
     directly gives the same values without building the repeats first.
     """
     cd = clientdetails.select(F.col("uuid").alias("_cd_uuid"), F.col("name").alias("client_name"))
-    rows = jobdetails.join(cd, jobdetails.client_uuid == cd._cd_uuid, "left").select(
+    rows = left_join_sparse(jobdetails.select("id", "name", "state", "client_uuid"), cd, "client_uuid", "_cd_uuid", "id").select(
         F.col("id").alias("job_id"), F.col("name").alias("job_name"), "client_name", F.col("state").alias("job_state")
     )
     return first_per_key(rows, ["job_id"], ["job_name", "client_name", "job_state"])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..config import FULL_DAY_MINUTES, Params
 from ..functions.rules import is_leave_name, window_end, window_start
-from ..operators.lookup import bounded_broadcast
 from ..operators.ranges import explode_days
 from ..operators.staff_lookups import at_weekday, working_weekday_mask
 from .dims import workday_calendar
@@ -34,7 +33,7 @@ def keep_workable_days(days: DataFrame, cal: DataFrame, params: Params) -> DataF
     """
     wcal = workday_calendar(cal).select(F.col("date").alias("_wd_date"), F.col("weekday").alias("_wd_dow"))
     with_dow = days.join(
-        bounded_broadcast(wcal, params.calendar_days, params.broadcast_row_limit), F.col("date") == F.col("_wd_date")
+        F.broadcast(wcal), F.col("date") == F.col("_wd_date")
     )
     works = F.coalesce(at_weekday("_ww_mask", F.col("_wd_dow")), F.lit(False))
     return with_dow.where(works).drop("_wd_date", "_wd_dow", "_ww_mask")

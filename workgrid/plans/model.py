@@ -31,7 +31,7 @@ MATERIALISED = (
 
 # Intermediate results that several parts of one stage read; written too when
 # cutting lineage, so they are computed once.
-SHARED = ("task_base",)
+SHARED = ("type_pairs", "task_base")
 
 # Stages whose key is checked right after writing when cutting lineage,
 # because later lookups on that key then skip deduplication. (Publishing
@@ -41,7 +41,7 @@ CHECKED_KEYS = ("job_task_details",)
 UNIQUE_KEYS = {
     "leave_status": ("staff_name", "date"),
     "job_task_details": ("job_task_staff_id",),
-    "timesheet": ("row_id",),
+    "timesheet": ("timesheet_uuid",),
     "job_task_staff": ("job_task_staff_id",),
     "allocation_by_day": ("job_task_staff_id", "date"),
     "staff_performance": ("staff_name", "date"),
@@ -90,8 +90,11 @@ class GoldModel:
     def task_type(self) -> DataFrame:
         return self._get("task_type", lambda: dims.task_type(self.t["task"]))
 
+    def type_pairs(self) -> DataFrame:
+        return self._get("type_pairs", lambda: dims.type_pairs(self.t["jobtask"], self.task_type()))
+
     def task_name(self) -> DataFrame:
-        return self._get("task_name", lambda: dims.task_name(self.t["jobtask"], self.task_type(), self.p))
+        return self._get("task_name", lambda: dims.task_name(self.t["jobtask"], self.type_pairs()))
 
     def job(self) -> DataFrame:
         return self._get("job", lambda: dims.job(self.t["jobdetails"], self.t["clientdetails"], self.t["jobassignee"]))
@@ -136,7 +139,7 @@ class GoldModel:
     # -- allocation --------------------------------------------------------------
     def job_task_staff(self) -> DataFrame:
         return self._get("job_task_staff", lambda: allocation.job_task_staff(
-            self.job_task_details(), self.keys_time(), self.job_lookup(), self.task_type(), self.p,
+            self.job_task_details(), self.keys_time(), self.job_lookup(), self.type_pairs(), self.p,
             details_unique="job_task_details" in self.unique))
 
     def recorded_task_hours(self) -> DataFrame:

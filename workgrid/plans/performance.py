@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import CATEGORY_ADMIN, CATEGORY_BILLABLE, HOURS_PER_DAY, INVOICED, UN_INVOICED, Params
 from ..functions.rules import is_holiday_name, is_other_leave_name, week_of_month
-from ..operators.lookup import bounded_broadcast, first_per_key
+from ..operators.lookup import first_per_key
 from ..operators.staff_lookups import at_key, at_weekday, month_map, weekday_arrays
 from .dims import CALENDAR_COLUMNS
 
@@ -32,6 +32,10 @@ PERFORMANCE_COLUMNS = CALENDAR_COLUMNS + ("staff_uuid", "staff_name") + (
 )
 
 
+# Tasks of the staff grid per core of the cluster.
+GRID_TASKS_PER_CORE = 2
+
+
 def allocation_hours_agg(alloc: DataFrame) -> DataFrame:
     """Allocated hours per (staff, date) by leave kind and task category, one pass."""
     name, cat = F.col("task_name"), F.col("task_category")
@@ -71,7 +75,7 @@ def timesheet_hours_agg(ts: DataFrame) -> DataFrame:
     name, cat, it = F.col("task_name"), F.col("task_category"), F.col("invoiced_time")
     m = F.col("recorded_minutes")
     bill = cat == CATEGORY_BILLABLE
-    return ts.groupBy("staff_name", "date").agg(
+    return ts.groupBy("staff_name", F.col("date").cast("date").alias("date")).agg(
         F.sum(F.when(is_holiday_name(name), m)).alias("alr_mins"),
         F.sum(F.when(is_other_leave_name(name), m)).alias("olr_mins"),
         F.sum(F.when(cat == CATEGORY_ADMIN, m)).alias("dar_mins"),
@@ -111,15 +115,15 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
     )
     # Every person has exactly one row per calendar day, so partitioning the
     # (small) per-person rows before exploding gives evenly sized grid
-    # partitions without shuffling the grid itself. The count is explicit and
-    # the key a hash expression: a repartition on the bare name would merge
-    # with the staff aggregate's own shuffle, which AQE coalesces to one
-    # partition for a small staff list, and one task would explode the grid.
-    n = int(staff_dim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # partitions without shuffling the grid itself. The number of buckets is
+    # explicit and the key a hash expression: a repartition on the bare name
+    # would merge with the staff aggregate's own shuffle, which AQE coalesces
+    # to one partition for a small staff list, and one task would explode the grid.
+    n = staff_dim.sparkSession.sparkContext.defaultParallelism * GRID_TASKS_PER_CORE
     grid = people.repartition(n, F.xxhash64("staff_name")).select(
         "*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_g_date")
     )
-    calb = bounded_broadcast(cal, params.calendar_days, params.broadcast_row_limit)
+    calb = F.broadcast(cal)
     lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day")
     aa = alloc_agg.withColumnRenamed("staff_name", "_aa_staff").withColumnRenamed("date", "_aa_date")
     ta = ts_agg.withColumnRenamed("staff_name", "_ta_staff").withColumnRenamed("date", "_ta_date")

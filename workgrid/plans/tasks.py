@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from ..config import FULL_DAY_MINUTES, HOURS_PER_DAY, Params
 from ..functions.keys import composite_id
 from ..functions.rules import is_admin, is_leave_name, window_end, window_start
-from ..operators.ranges import explode_days
-from .leave import keep_workable_days, with_working_mask
+from ..operators.lookup import left_join_sparse
+from ..operators.person_days import (
+    NOT_WORKABLE,
+    PARTIAL_LEAVE,
+    WORK_DAY,
+    count_code,
+    window_slice,
+    workable_day_arrays,
+)
+from ..operators.ranges import window_index
 
 COUNT_COLUMNS = ("wdb_cnt", "tlh_hrs", "ttl_cnt", "wdl_cnt", "arwd_cnt", "rttl_cnt", "pwdl_cnt", "pttl_cnt")
 
@@ -39,9 +47,9 @@ def task_base(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFr
     cd = clientdetails.select(F.col("uuid").alias("_cd_uuid"), F.col("name").alias("client_name"))
     tn = task_names.select(F.col("task_name").alias("_tn_name"), "task_type")
     return (
-        jt.join(jta, F.col("_jta_task") == F.col("_jt_rid"))
-        .join(jd, F.col("_jd_id") == F.col("job_id"), "left")
-        .join(cd, F.col("_cd_uuid") == F.col("_jd_client"), "left")
+        left_join_sparse(
+            jt.join(jta, F.col("_jta_task") == F.col("_jt_rid")).join(jd, F.col("_jd_id") == F.col("job_id"), "left"),
+            cd, "_jd_client", "_cd_uuid", "task_uuid")
         .join(tn, F.col("_tn_name") == F.col("task_name"), "left")
         .select(
             composite_id("job_id", "task_uuid", "staff_uuid").alias("job_task_staff_id"),
@@ -57,47 +65,39 @@ def task_base(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFr
 
 def calendar_counts(base: DataFrame, cal: DataFrame, workable_days: DataFrame, leave: DataFrame,
                     params: Params) -> DataFrame:
-    """Eight day counts per task over its workable days, in one pass.
-
-    The person's working-weekday mask joins once per task; each task's
-    window is then exploded into its days (narrow), kept to the person's
-    workable days (calendar broadcast + mask lookup), tagged with that day's
-    leave status by an equi join on (staff, date), and reduced by one
-    ``groupBy`` with conditional aggregates (partial aggregation before the
-    shuffle). Tasks without a workable day get zeros from the left join back
-    to ``base``.
+    """Eight day counts per task over its workable days, without a task-day row.
+
+    The person's day arrays (one element per calendar day) join once per
+    task; every count is a count over a slice of them: the task's window,
+    cut at the reporting date for the remaining and prior counts, and before
+    the admin cut-off for the leave-free counts of admin tasks. Persons
+    without a working-day sheet, and windows without a calendar day, give zeros.
     """
     lo, hi = params.calendar_start, params.calendar_end
-    rows = with_working_mask(
-        base.select("job_task_staff_id", "staff_name", "task_name", "start_date_adjusted", "due_date_adjusted"),
-        workable_days,
-    )
-    days = explode_days(rows, "start_date_adjusted", "due_date_adjusted", lo, hi).drop(
-        "start_date_adjusted", "due_date_adjusted")
-    work = keep_workable_days(days, cal, params)
-    lv = leave.select(
-        F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"),
-        "is_full_day", "has_partial_leave", "partial_leave_hrs_per_day",
-    )
-    tagged = work.join(lv, (F.col("staff_name") == F.col("_lv_staff")) & (F.col("date") == F.col("_lv_date")), "left")
-    full = F.coalesce(F.col("is_full_day"), F.lit(False))
-    part = F.coalesce(F.col("has_partial_leave"), F.lit(False))
-    d = F.col("date")
-    admin_cut = (F.col("task_name") == params.admin_task) & (d >= F.lit(params.admin_cutoff))
-    as_of = F.lit(params.as_of)
-    agg = tagged.groupBy("job_task_staff_id").agg(
-        F.count_if(~full).alias("wdb_cnt"),
-        F.sum(F.when(~full, F.col("partial_leave_hrs_per_day"))).alias("tlh_hrs"),
-        F.count_if(~part & ~full & ~admin_cut).alias("ttl_cnt"),
-        F.count_if(part & ~full).alias("wdl_cnt"),
-        F.count_if(part & ~full & (d >= as_of)).alias("arwd_cnt"),
-        F.count_if(~part & ~full & (d >= as_of) & ~admin_cut).alias("rttl_cnt"),
-        F.count_if(part & ~full & (d <= as_of)).alias("pwdl_cnt"),
-        F.count_if(~part & ~full & (d <= as_of) & ~admin_cut).alias("pttl_cnt"),
-    )
-    fill = [F.coalesce(F.col(c), F.lit(0.0 if c == "tlh_hrs" else 0).cast("double" if c == "tlh_hrs" else "bigint")).alias(c)
-            for c in COUNT_COLUMNS]
-    return base.select("job_task_staff_id").join(agg, "job_task_staff_id", "left").select("job_task_staff_id", *fill)
+    at = lambda d: (d - lo).days
+    rows = base.select("job_task_staff_id", "staff_name", "task_name", "start_date_adjusted", "due_date_adjusted").join(
+        workable_day_arrays(cal, workable_days, leave, params), F.col("_pd_staff") == F.col("staff_name"), "left")
+    first, last = window_index("start_date_adjusted", "due_date_adjusted", lo, hi)
+    # NULL names fall under the cut-off too, as in three-valued SQL.
+    admin = F.coalesce(F.col("task_name") == params.admin_task, F.lit(True))
+    free_last = F.when(admin, F.least(last, F.lit(at(params.admin_cutoff) - 1))).otherwise(last)
+    from_as_of = F.greatest(first, F.lit(at(params.as_of)))
+    to_as_of = lambda end: F.least(end, F.lit(at(params.as_of)))
+    codes = lambda a, b: window_slice("_pd_codes", a, b)
+    hours = F.aggregate(window_slice("_pd_hours", first, last), F.lit(0.0), lambda s, h: s + F.coalesce(h, F.lit(0.0)))
+    counts = {
+        "wdb_cnt": F.size(F.filter(codes(first, last), lambda c: c != NOT_WORKABLE)).cast("bigint"),
+        "tlh_hrs": hours,
+        "ttl_cnt": count_code(codes(first, free_last), WORK_DAY),
+        "wdl_cnt": count_code(codes(first, last), PARTIAL_LEAVE),
+        "arwd_cnt": count_code(codes(from_as_of, last), PARTIAL_LEAVE),
+        "rttl_cnt": count_code(codes(from_as_of, free_last), WORK_DAY),
+        "pwdl_cnt": count_code(codes(first, to_as_of(last)), PARTIAL_LEAVE),
+        "pttl_cnt": count_code(codes(first, to_as_of(free_last)), WORK_DAY),
+    }
+    known = F.col("_pd_codes").isNotNull()
+    zero = lambda c: F.lit(0.0) if c == "tlh_hrs" else F.lit(0).cast("bigint")
+    return rows.select("job_task_staff_id", *[F.when(known, counts[c]).otherwise(zero(c)).alias(c) for c in COUNT_COLUMNS])
 
 
 def minutes_by_task(time_entries: DataFrame, params: Params) -> DataFrame:

@@ -19,7 +19,7 @@ from ..config import (
 )
 from ..functions.keys import composite_id
 from ..functions.rules import is_admin, is_leave_name, task_category
-from ..operators.lookup import first_per_key
+from ..operators.lookup import first_per_key, left_join_sparse
 
 TIMESHEET_COLUMNS = (
     "row_id", "job_task_staff_id", "timesheet_uuid", "job_id", "task_id", "staff_id", "staff_name",
@@ -88,10 +88,10 @@ def timesheet(time_entries: DataFrame, staff_dim: DataFrame, details: DataFrame,
     j = jobs.select(F.col("job_id").alias("_j_id"), "job_name")
 
     df = (
-        t.join(s, F.col("staff_id") == F.col("_s_uuid"))
+        left_join_sparse(t, inv, "invoice_task_id", "_it_uuid", "timesheet_uuid")
+        .join(s, F.col("staff_id") == F.col("_s_uuid"))
         .join(jt, F.col("_jt_id") == F.col("job_task_staff_id"), "left")
         .join(e, F.col("_e_uuid") == F.col("timesheet_uuid"), "left")
-        .join(inv, F.col("_it_uuid") == F.col("invoice_task_id"), "left")
         .join(j, F.col("_j_id") == F.col("job_id"), "left")
     )
     name = F.coalesce(F.col("_jt_name"), F.col("_e_task"))
@@ -122,7 +122,7 @@ def timesheet(time_entries: DataFrame, staff_dim: DataFrame, details: DataFrame,
     )
     billable_flag = is_client & (ttype != params.coaching_type)
     return df.select(
-        F.monotonically_increasing_id().alias("row_id"),
+        F.xxhash64("timesheet_uuid").alias("row_id"),
         "job_task_staff_id", "timesheet_uuid", "job_id", "task_id", "staff_id", "staff_name", "timesheet_notes",
         "billable", "invoice_id", "invoice_task_id", "date", "recorded_minutes", "task_name", "client_name",
         "task_type", "task_completed", "is_client",
