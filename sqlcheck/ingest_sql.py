@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from workgrid.config import Params
-from workgrid.queries_ingest import FULL_REFRESH_SHEETS, batch_times
+from workgrid.plans.model import CONTENT_COLUMNS
+from workgrid.queries_ingest import SHEET_CONTENT, SYNCED_CONTENT, batch_times
 
 from . import build
 
@@ -34,6 +35,21 @@ def _hash(prefix: str = "") -> str:
     return f"md5(concat_ws('|', {parts}))"
 
 
+def _content(cols) -> str:
+    """Sum of the first 32 md5 bits of every row's joined columns."""
+    parts = ", ".join(f"coalesce(cast({c} AS VARCHAR), 'NULL')" for c in cols)
+    return f"cast(coalesce(sum(cast('0x' || substr(md5(concat_ws('|', {parts})), 1, 8) AS BIGINT)), 0) AS BIGINT)"
+
+
+def _history(table: str) -> str:
+    """The stored history after both batches, as far as its checksum reads it."""
+    if table == "sync_dbo_ordersnap":
+        return "x_h2"
+    source = {"sync_dbo_customersnap": "customer", "sync_dbo_suppliersnap": "supplier", "sync_dbo_nationsnap": "nation"}[table]
+    one = f"SELECT *, true AS _scd_is_current FROM {source}"
+    return f"({one} UNION ALL {one})" if table == "sync_dbo_suppliersnap" else f"({one})"
+
+
 def scd_ctes() -> list[tuple[str, str]]:
     t1, t2 = batch_times()
     s1, s2 = t1.isoformat(sep=" "), t2.isoformat(sep=" ")
@@ -67,7 +83,9 @@ def _sync_rows() -> str:
     def row(table, new, changed, unchanged, batch):
         return (f"SELECT '{table}' AS table_name, 'ok' AS status, cast(({new}) AS BIGINT) AS new, "
                 f"cast(({changed}) AS BIGINT) AS changed, cast(({unchanged}) AS BIGINT) AS unchanged, "
-                f"cast(NULL AS VARCHAR) AS error, {batch} AS batch")
+                f"cast(NULL AS VARCHAR) AS error, {batch} AS batch, (SELECT count(*) FROM {_history(table)}) AS history_rows, "
+                f"(SELECT count(*) FROM {_history(table)} WHERE _scd_is_current) AS current_rows, "
+                f"(SELECT {_content(SYNCED_CONTENT[table])} FROM {_history(table)}) AS content_hash")
     n = lambda t: f"SELECT count(*) FROM {t}"
     c = lambda k: f"SELECT count(*) FROM x_cls WHERE _change = '{k}'"
     rows = [
@@ -92,6 +110,14 @@ def _profile() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def _columns() -> str:
+    parts = []
+    for t, cols in DRIVER_COLUMNS.items():
+        parts += [f"SELECT '{t}' AS table_name, {i + 1} AS ordinal, '{c}' AS column_name, count(*) AS row_count, "
+                  f"count(*) - count({c}) AS null_cells FROM {t}" for i, c in enumerate(cols)]
+    return "\nUNION ALL\n".join(parts)
+
+
 STAGE_ORACLE = (
     ("leave_status", "o_leave"), ("job_task_details", "o_jtd"), ("timesheet", "o_ts"),
     ("job_task_staff", "o_jts"), ("allocation_by_day", "o_alloc"), ("staff_performance", "o_perf"),
@@ -105,16 +131,18 @@ def ingest_statements(p: Params) -> dict[str, str]:
     cols = ", ".join(SRC_COLS)
     sheets = "\nUNION ALL\n".join(
         f"SELECT '{n}' AS sheet, 'excel_{n}' AS table_name, '{n}' AS view_name, 'ok' AS status, "
-        f"(SELECT count(*) FROM {n}) AS row_count, cast(NULL AS VARCHAR) AS error"
-        for n in FULL_REFRESH_SHEETS
+        f"(SELECT count(*) FROM {n}) AS row_count, cast(NULL AS VARCHAR) AS error, "
+        f"(SELECT {_content(cols)} FROM {n}) AS content_hash"
+        for n, cols in SHEET_CONTENT.items()
     )
     chain = "\nUNION ALL\n".join(
         f"SELECT {i + 1} AS step, '{name}' AS table_name, 'ok' AS status, (SELECT count(*) FROM {cte}) AS row_count, "
-        f"cast(NULL AS VARCHAR) AS error"
+        f"(SELECT {_content(CONTENT_COLUMNS[name])} FROM {cte}) AS content_hash, cast(NULL AS VARCHAR) AS error"
         for i, (name, cte) in enumerate(STAGE_ORACLE)
     )
     views = "\nUNION ALL\n".join(
-        f"SELECT 'pbi_{name}' AS view_name, (SELECT count(*) FROM {cte}) AS row_count" for name, cte in STAGE_ORACLE
+        f"SELECT 'pbi_{name}' AS view_name, (SELECT count(*) FROM {cte}) AS row_count, "
+        f"(SELECT {_content(CONTENT_COLUMNS[name])} FROM {cte}) AS content_hash" for name, cte in STAGE_ORACLE
     )
     return {
         "row_hash": build("SELECT * FROM x_b1", p=p, extra=x),
@@ -134,4 +162,5 @@ def ingest_statements(p: Params) -> dict[str, str]:
         "refresh_chain": build(chain, p=p),
         "bi_views": build(views, p=p),
         "table_profile": build(_profile(), p=p),
+        "column_profile": _columns(),
     }

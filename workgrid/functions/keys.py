@@ -11,6 +11,12 @@ def composite_id(*cols) -> Column:
     return F.concat(*[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols])
 
 
+def content_hash(cols) -> Column:
+    """Aggregate over rows: an order-free checksum of the named columns (sum of 32 md5 bits per row)."""
+    bits = F.conv(F.substring(row_hash(cols), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(F.sum(bits), F.lit(0).cast("bigint"))
+
+
 def row_hash(cols) -> Column:
     """md5 of all values joined with ``|``; NULL is written as ``NULL``.
 

@@ -46,14 +46,12 @@ def is_other_leave_name(name) -> Column:
     return ilike_any(name, OTHER_LEAVE_PATTERNS)
 
 
-def is_admin(name, client, params: Params, name_exact: bool = False) -> Column:
-    """Admin task: name holds (or equals) the admin task, or the client is the admin client.
+def is_admin(name, client, params: Params) -> Column:
+    """Admin task: name holds the admin task, or the client is the admin client.
 
     Three-valued like SQL: NULL when the client is NULL and the name does not match.
     """
-    n = _c(name)
-    name_term = (n == params.admin_task) if name_exact else n.ilike(f"%{params.admin_task}%")
-    return name_term | (_c(client) == params.admin_client)
+    return _c(name).ilike(f"%{params.admin_task}%") | (_c(client) == params.admin_client)
 
 
 def task_category(name, client, params: Params) -> Column:
@@ -75,11 +73,6 @@ def window_end(task_due, job_completed, job_due) -> Column:
     return F.coalesce(_c(task_due), F.when(jc.isNull(), jd).otherwise(F.least(jc, jd)))
 
 
-def safe_div(num, den) -> Column:
-    """num / NULLIF(den, 0) as double."""
-    return _c(num).cast("double") / F.nullif(_c(den), F.lit(0)).cast("double")
-
-
 def week_of_month(d) -> Column:
     """1 + week(date) - week(first of month), weeks starting Sunday, week 1 holds Jan 1."""
     d = _c(d)

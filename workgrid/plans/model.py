@@ -48,6 +48,35 @@ UNIQUE_KEYS = {
 }
 
 
+# Columns of each stage whose text form is the same in every engine (no
+# floating-point values); checksums of published contents cover them.
+CONTENT_COLUMNS = {
+    "leave_status": ("staff_name", "date", "is_full_day", "has_partial_leave"),
+    "job_task_details": (
+        "job_task_staff_id", "job_id", "task_name", "staff_name", "client_name", "task_type", "start_date_adjusted",
+        "due_date_adjusted", "is_task_a_leave", "workable_days_between_task", "work_days_with_leaves_between_task",
+        "task_mins_worked_till_date", "remain_work_days_without_leave", "prior_work_days_with_leave",
+        "prior_work_days_without_leave", "is_task_due_date_over",
+    ),
+    "timesheet": (
+        "timesheet_uuid", "job_task_staff_id", "staff_name", "date", "recorded_minutes", "task_name", "client_name",
+        "task_type", "is_client", "invoiced_time", "billable_selector", "task_category", "invoice_number",
+        "month_time_recorded", "month_time_invoiced", "month_invoiced_on", "recorded_hours_invoiced", "job_name",
+    ),
+    "job_task_staff": (
+        "job_task_staff_id", "job_id", "staff_name", "task_name", "client_name", "job_name", "task_category", "task_type1",
+    ),
+    "allocation_by_day": (
+        "date", "job_task_staff_id", "weekday", "weekend", "public_holiday", "is_range_for_invoicing", "task_category",
+        "task_type1", "is_client", "billable_selector", "is_workable_day", "is_task_a_leave", "is_full_day_leave",
+        "admin_task_to_be_removed", "is_staff_workable_day_of_week", "is_day_with_a_leave", "is_job_complete",
+    ),
+    "staff_performance": (
+        "staff_name", "date", "is_workable_day", "is_staff_workable_day_of_week", "week_of_month", "is_current_month",
+    ),
+}
+
+
 class GoldModel:
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame], params: Params, cut_lineage: bool = False):
         self.spark = spark

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import fixture_params
-from .plans.model import MATERIALISED
+from .functions.keys import content_hash
+from .plans.model import CONTENT_COLUMNS, MATERIALISED
 from .session import scratch_path
 from .sinks import profile, publish
 from .sinks.store import TableStore
@@ -74,8 +75,17 @@ def q_scd2_summary(spark, sf_dir):
     return scd2.summary(q_scd2_classify(spark, sf_dir))
 
 
+#: Columns of the stored histories that the checksum covers.
+SYNCED_CONTENT = {
+    "sync_dbo_ordersnap": ("o_orderkey", "o_custkey", "o_orderstatus", "cents", "_scd_is_current", "_scd_source_hash"),
+    "sync_dbo_customersnap": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "_scd_is_current"),
+    "sync_dbo_suppliersnap": ("s_suppkey", "s_name", "s_nationkey", "_scd_is_current"),
+    "sync_dbo_nationsnap": ("n_nationkey", "n_name", "n_regionkey", "_scd_is_current"),
+}
+
+
 def q_multi_table_sync(spark, sf_dir):
-    """Two syncs of four tables into a fresh store; one result row per table and batch."""
+    """Two syncs of four tables into a fresh store; one row per table and batch, with the stored history's checksum."""
     fx = _fx(spark, sf_dir)
     store = TableStore(spark, scratch_path(spark, "sync"))
     t1, t2 = batch_times()
@@ -93,7 +103,15 @@ def q_multi_table_sync(spark, sf_dir):
 
     r1 = scd2_store.sync_tables(spark, store, tables("scd_batch1"), t1).withColumn("batch", F.lit(1))
     r2 = scd2_store.sync_tables(spark, store, tables("scd_batch2"), t2).withColumn("batch", F.lit(2))
-    return r1.unionByName(r2)
+    kept = None
+    for name, columns in SYNCED_CONTENT.items():
+        history = scd2_store.Scd2Table(store, name).history()
+        one = history.agg(
+            F.lit(name).alias("_name"), F.count(F.lit(1)).alias("history_rows"),
+            F.count_if("_scd_is_current").alias("current_rows"), content_hash(columns).alias("content_hash"),
+        )
+        kept = one if kept is None else kept.unionByName(one)
+    return r1.unionByName(r2).join(kept, F.col("table_name") == F.col("_name")).drop("_name")
 
 
 SHEET_HEADERS = {"staffname": "Staff Name", "day_of_week": "Day of Week", "working_day": "Working Day?",
@@ -117,7 +135,13 @@ def q_sheet_clean(spark, sf_dir):
     return sheets.clean_sheet(sheets.read_sheet(spark, path, "csv"))
 
 
-FULL_REFRESH_SHEETS = ("public_holidays", "staff_adjustment", "incentive_targets")
+#: Sheets of the full refresh, with the columns that the checksum of the stored table covers.
+SHEET_CONTENT = {
+    "workable_days": ("staffname", "day_of_week", "working_day"),
+    "staff_adjustment": ("staffname", "month"),
+    "incentive_targets": ("staff_name", "month_year"),
+}
+FULL_REFRESH_SHEETS = tuple(SHEET_CONTENT)
 
 
 def q_full_refresh(spark, sf_dir):
@@ -126,7 +150,12 @@ def q_full_refresh(spark, sf_dir):
     files = [sheets.SheetFile(_export_csv(spark, fx[n], n), n) for n in FULL_REFRESH_SHEETS]
     store = TableStore(spark, scratch_path(spark, "sheetstore"))
     sheets.sync_sheet_files(spark, store, files)
-    return sheets.sync_sheet_files(spark, store, files).drop("file")
+    loaded = sheets.sync_sheet_files(spark, store, files).drop("file")
+    kept = None
+    for name, columns in SHEET_CONTENT.items():
+        one = store.read(f"{sheets.SHEET_PREFIX}{name}").agg(F.lit(name).alias("_name"), content_hash(columns).alias("content_hash"))
+        kept = one if kept is None else kept.unionByName(one)
+    return loaded.join(kept, F.col("sheet") == F.col("_name"), "left").drop("_name")
 
 
 def q_materialise_unique(spark, sf_dir):
@@ -146,12 +175,18 @@ def q_refresh_chain(spark, sf_dir):
 
 
 def q_bi_views(spark, sf_dir):
-    """pbi_ views over the published stages; row count per view."""
+    """pbi_ views over the published stages; row count and checksum per view."""
     store = TableStore(spark, scratch_path(spark, "bi"))
     publish.refresh_chain(spark, _fx(spark, sf_dir), fixture_params(), store)
     views = publish.bi_views(store, MATERIALISED)
-    rows = [(v, df.count()) for v, df in views.items()]
-    return spark.createDataFrame(rows, "view_name string, row_count bigint")
+    out = None
+    for (view, df), name in zip(views.items(), MATERIALISED):
+        one = df.agg(
+            F.lit(view).alias("view_name"), F.count(F.lit(1)).alias("row_count"),
+            content_hash(CONTENT_COLUMNS[name]).alias("content_hash"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def q_table_profile(spark, sf_dir):
@@ -159,6 +194,11 @@ def q_table_profile(spark, sf_dir):
     return profile.table_profile({n: read_table(spark, sf_dir, n) for n in DRIVER_TABLES})
 
 
+def q_column_profile(spark, sf_dir):
+    """Position, row count and NULL cells of every column of every driver table."""
+    return profile.column_counts({n: read_table(spark, sf_dir, n) for n in DRIVER_TABLES})
+
+
 def ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "row_hash": q_row_hash,
@@ -174,4 +214,5 @@ def ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "refresh_chain": q_refresh_chain,
         "bi_views": q_bi_views,
         "table_profile": q_table_profile,
+        "column_profile": q_column_profile,
     }

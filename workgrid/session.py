@@ -44,12 +44,16 @@ def local_session(cpus: int | str = 8, app: str = "workgrid", shuffle_partitions
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's value always wins. Only when the session has none (local
-    tests) a scratch folder is created and set.
+    The cluster's value always wins. Only a local session (one process, as
+    in tests) without one gets a scratch folder; on a cluster a missing value
+    is an error, because executors would write to their own disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = os.environ.get(_LOCAL_CHECKPOINT_ENV) or tempfile.mkdtemp(prefix="workgrid-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)

@@ -53,11 +53,24 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def sample_rows(df: DataFrame, n: int = 3, width: int = 20, max_columns: int = 5) -> list[list[str]]:
-    """First ``n`` rows of the first columns as truncated text (the limit is the feature)."""
-    cols = df.columns[:max_columns]
-    rows = df.select(*cols).limit(n).collect()
-    return [["NULL" if v is None else str(v)[:width] for v in r] for r in rows]
+def sample_rows(df: DataFrame, n: int = 3) -> list[list[str]]:
+    """``n`` rows as text, all columns and whole values (the number of rows is the feature)."""
+    return [["NULL" if v is None else str(v) for v in r] for r in df.limit(n).collect()]
+
+
+def column_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, ordinal, column_name, row_count, null_cells) per column; one aggregate per table, unpivoted."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
+        cells = F.array(*[
+            F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_cells"))
+            for i, c in enumerate(df.columns)
+        ])
+        rows = one.select("_rows", F.explode(cells).alias("c")).select(
+            F.lit(name).alias("table_name"), "c.ordinal", "c.column_name", F.col("_rows").alias("row_count"), "c.null_cells")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def file_sizes(spark: SparkSession, paths: Mapping[str, str], top: int = 20) -> DataFrame:

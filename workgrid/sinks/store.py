@@ -33,6 +33,10 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class UnloggedDataError(RuntimeError):
+    """A table folder holds data, but its version log is missing."""
+
+
 def new_version() -> str:
     """Sortable, unique version id."""
     return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
@@ -51,11 +55,47 @@ class TableStore:
     def _log_path(self, name: str) -> str:
         return f"{self.root}/{name}/_versions"
 
+    def _files(self, path: str):
+        """The file system of ``path`` and the path in its terms."""
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
     def versions(self, name: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(name))
-        except Exception:  # no version yet
+        """The version log; empty only if no log exists. Any failure to look or read is raised."""
+        fs, at = self._files(self._log_path(name))
+        if not fs.exists(at):
             return self.spark.createDataFrame([], _LOG_SCHEMA)
+        return self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(name))
+
+    def unlogged_folders(self, name: str) -> list[str]:
+        """Version folders that the log does not name (left by writes that died)."""
+        fs, at = self._files(f"{self.root}/{name}")
+        if not fs.exists(at):
+            return []
+        logged = {r["version"] for r in self.versions(name).select("version").collect()}
+        found = (s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("version="))
+        return sorted(p.toString() for p in found if p.getName().removeprefix("version=") not in logged)
+
+    def discard_unlogged(self, name: str) -> int:
+        """Delete the folders that no log row names; returns how many. Not while a write to the table runs."""
+        folders = self.unlogged_folders(name)
+        for f in folders:
+            fs, at = self._files(f)
+            fs.delete(at, True)
+        return len(folders)
+
+    def expire(self, name: str, keep: int = 2) -> int:
+        """Delete the files of all but the newest ``keep`` logged versions of a full-refresh table; returns how many.
+
+        Not for SCD2 tables, whose history lives in every version.
+        """
+        old = self.versions(name).orderBy(F.col("version").desc()).offset(max(1, keep)).collect()
+        deleted = 0
+        for r in old:
+            fs, at = self._files(r["path"])
+            deleted += bool(fs.delete(at, True))
+        return deleted
 
     def current_path(self, name: str) -> str | None:
         row = self.versions(name).agg(F.max_by("path", "version").alias("p")).first()

@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scd2_store import SourceTable
+
 # ---------------------------------------------------------------------------
 # Source column type (lower case) -> Spark SQL type.
 # Unknown types fall back to string.
@@ -59,6 +61,16 @@ def typed_projection(df: DataFrame, columns: Sequence[Mapping]) -> DataFrame:
     return df.select(*[typed_column(c["name"], c["data_type"], c.get("precision"), c.get("scale")) for c in columns])
 
 
+def literal(name: str) -> str:
+    """A name as a quoted SQL string."""
+    return "'" + name.replace("'", "''") + "'"
+
+
+def identifier(name: str) -> str:
+    """A name as a quoted SQL identifier."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 def _reader(spark: SparkSession, url: str, props: Mapping[str, str]):
     r = spark.read.format("jdbc").option("url", url)
     for k, v in props.items():
@@ -86,7 +98,7 @@ def table_columns(spark: SparkSession, url: str, schema: str, table: str,
     """Column metadata in ordinal order."""
     sql = ("SELECT COLUMN_NAME AS name, DATA_TYPE AS data_type, NUMERIC_PRECISION AS precision, "
            "NUMERIC_SCALE AS scale, IS_NULLABLE AS nullable, ORDINAL_POSITION AS ordinal "
-           f"FROM INFORMATION_SCHEMA.COLUMNS WHERE TABLE_SCHEMA = '{schema}' AND TABLE_NAME = '{table}'")
+           f"FROM INFORMATION_SCHEMA.COLUMNS WHERE TABLE_SCHEMA = {literal(schema)} AND TABLE_NAME = {literal(table)}")
     return query(spark, url, sql, props).orderBy("ordinal")
 
 
@@ -95,7 +107,8 @@ def primary_key(spark: SparkSession, url: str, schema: str, table: str, props: M
     """Primary-key columns in order; else ``default_key`` when such a column exists; else none."""
     sql = ("SELECT k.COLUMN_NAME AS name, k.ORDINAL_POSITION AS ordinal FROM INFORMATION_SCHEMA.TABLE_CONSTRAINTS c "
            "JOIN INFORMATION_SCHEMA.KEY_COLUMN_USAGE k ON c.CONSTRAINT_NAME = k.CONSTRAINT_NAME "
-           f"WHERE c.CONSTRAINT_TYPE = 'PRIMARY KEY' AND c.TABLE_SCHEMA = '{schema}' AND c.TABLE_NAME = '{table}'")
+           "AND c.TABLE_SCHEMA = k.TABLE_SCHEMA AND c.TABLE_NAME = k.TABLE_NAME "
+           f"WHERE c.CONSTRAINT_TYPE = 'PRIMARY KEY' AND c.TABLE_SCHEMA = {literal(schema)} AND c.TABLE_NAME = {literal(table)}")
     keys = [r["name"] for r in query(spark, url, sql, props).orderBy("ordinal").collect()]
     if keys:
         return keys
@@ -114,3 +127,26 @@ def read_table(spark: SparkSession, url: str, table: str, props: Mapping[str, st
             r = (r.option("partitionColumn", partition_column).option("lowerBound", str(b["lo"]))
                  .option("upperBound", str(b["hi"])).option("numPartitions", str(num_partitions)))
     return r.load()
+
+
+def source_tables(spark: SparkSession, url: str, props: Mapping[str, str] | None = None,
+                  schemas: Sequence[str] | None = None, prefix: str = "sync", default_key: str = "id") -> list[SourceTable]:
+    """Every base table as an entry of the multi-table sync: typed scan, key from the database's own constraints.
+
+    Only metadata (a row per table and column) reaches the driver. A numeric
+    first key column partitions the scan; other tables are read by one task.
+    """
+    out = []
+    for t in list_tables(spark, url, props, schemas).collect():
+        schema, table = t["table_schema"], t["table_name"]
+        columns = [r.asDict() for r in table_columns(spark, url, schema, table, props).collect()]
+        keys = primary_key(spark, url, schema, table, props, default_key, [c["name"] for c in columns])
+        kinds = {c["name"]: spark_type(c["data_type"], c.get("precision"), c.get("scale")) for c in columns}
+        by = keys[0] if keys and kinds.get(keys[0]) in ("int", "bigint", "smallint") else None
+
+        def load(schema=schema, table=table, columns=columns, by=by):
+            name = f"{identifier(schema)}.{identifier(table)}"
+            return typed_projection(read_table(spark, url, name, props, partition_column=by), columns)
+
+        out.append(SourceTable(f"{prefix}_{schema}_{table}".lower(), load, keys or None))
+    return out

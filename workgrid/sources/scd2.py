@@ -14,7 +14,8 @@ history as ``unionByName`` of untouched, closed and inserted rows. All rows
 of one batch share one timestamp, so a closed version's ``valid_to`` equals
 its successor's ``valid_from``. Rows missing from the source stay current
 (deletes are not detected). Without a key every source row is inserted as a
-new version each batch and nothing is closed.
+new version each batch and nothing is closed. Equal source rows of one
+batch share an id, so they are opened and closed together.
 
 Everything is a join or a union; nothing is collected to the driver, so a
 snapshot of any size is processed by the executors.

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.store import TableStore, new_version
+from ..session import scratch_path
+from ..sinks.store import TableStore, UnloggedDataError, new_version
 from . import scd2
 
 SYNC_SCHEMA = T.StructType([
@@ -66,17 +67,20 @@ class Scd2Table:
         spark = self.store.spark
         cur = self.current_versions()
         if cur is None:
+            if left := self.store.unlogged_folders(self.name):
+                raise UnloggedDataError(f"{self.name}: {left} are in no version log; restore the log or discard them")
             cur = scd2.empty_history(spark, source.schema)
         version = new_version()
-        cls = scd2.classify(source, cur, keys).cache()
-        try:
-            counts = scd2.summary(cls).first()
-            # ``cur`` holds only current rows, so the rows of ``after`` that are
-            # not current are exactly the ones this sync closed.
-            after = scd2.apply(cur, source, keys, batch_ts, batch_id=version, classified=cls)
-            self.store.publish(self.name, after, partition_by=["_scd_is_current"], version=version)
-        finally:
-            cls.unpersist()
+        # Classified once and kept on shared storage, so a lost executor costs a re-read.
+        path = scratch_path(spark, "classified", self.name)
+        classified = scd2.classify(source, cur, keys)
+        classified.write.parquet(path)
+        cls = spark.read.schema(classified.schema).parquet(path)
+        counts = scd2.summary(cls).first()
+        # ``cur`` holds only current rows, so the rows of ``after`` that are
+        # not current are exactly the ones this sync closed.
+        after = scd2.apply(cur, source, keys, batch_ts, batch_id=version, classified=cls)
+        self.store.publish(self.name, after, partition_by=["_scd_is_current"], version=version)
         return spark.createDataFrame(
             [(self.name, "ok", counts["new"], counts["changed"], counts["unchanged"], None)], SYNC_SCHEMA
         )
@@ -128,7 +132,7 @@ def sync_tables(spark: SparkSession, store: TableStore, tables: Sequence[SourceT
             r = Scd2Table(store, t.name).sync(src, keys, batch_ts).first()
             return (t.name, "ok", r["new"], r["changed"], r["unchanged"], None)
         except Exception as exc:
-            return (t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}"[:500])
+            return (t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}")
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         rows = list(pool.map(one, tables))
@@ -140,5 +144,5 @@ def sync_tables(spark: SparkSession, store: TableStore, tables: Sequence[SourceT
             try:
                 Scd2Table(store, t.name).register_current_view(views)
             except Exception as exc:
-                rows[i] = (t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}"[:500])
+                rows[i] = (t.name, "failed", None, None, None, f"{type(exc).__name__}: {exc}")
     return spark.createDataFrame(rows, SYNC_SCHEMA)

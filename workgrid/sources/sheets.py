@@ -8,6 +8,7 @@ names) plus two DataFrame operations (drop all-NULL rows, NaN to NULL).
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,7 +18,11 @@ from pyspark.sql import types as T
 
 from ..sinks.store import TableStore
 
+# Identifiers of at most 63 characters; longer names keep 54 and a hash of 8.
 MAX_IDENTIFIER = 63
+KEPT_OF_LONG = 54
+# Runs of anything but letters and digits separate the words of a name.
+_SEPARATORS = re.compile(r"[\W_]+")
 SHEET_PREFIX = "excel_"
 
 LOAD_SCHEMA = T.StructType([
@@ -31,42 +36,18 @@ LOAD_SCHEMA = T.StructType([
 ])
 
 
-def _collapse(s: str) -> str:
-    while "__" in s:
-        s = s.replace("__", "_")
-    return s
-
-
 def normalize_table_name(name: str) -> str:
     """Lower case, non-alphanumerics to ``_``, collapsed, stripped; long names get an md5 suffix."""
-    out = _collapse("".join(c if c.isalnum() or c == "_" else "_" for c in name.lower())).strip("_")
-    if len(out) > MAX_IDENTIFIER:
-        out = out[:54] + "_" + hashlib.md5(name.encode()).hexdigest()[:8]
-    return out
+    out = _SEPARATORS.sub("_", name.lower()).strip("_")
+    if len(out) <= MAX_IDENTIFIER:
+        return out
+    return f"{out[:KEPT_OF_LONG]}_{hashlib.md5(name.encode()).hexdigest()[:MAX_IDENTIFIER - KEPT_OF_LONG - 1]}"
 
 
 def clean_column_name(name) -> str:
     """Column name usable as an identifier: ``col_`` before a leading digit, ``unnamed_column`` if empty."""
-    out = _collapse("".join(c if c.isalnum() else "_" for c in str(name))).strip("_").lower()
-    if out and out[0].isdigit():
-        out = "col_" + out
-    return out or "unnamed_column"
-
-
-def spark_type_for_dtype(dtype: str) -> T.DataType:
-    """Column type for a pandas dtype name (datetime is tested before date)."""
-    d = str(dtype)
-    if d.startswith("int"):
-        return T.LongType()
-    if d.startswith("float"):
-        return T.DoubleType()
-    if d.startswith("bool"):
-        return T.BooleanType()
-    if d.startswith("datetime"):
-        return T.TimestampNTZType()
-    if d.startswith("date"):
-        return T.DateType()
-    return T.StringType()
+    out = _SEPARATORS.sub("_", str(name).lower()).strip("_")
+    return re.sub(r"^(?=\d)", "col_", out) or "unnamed_column"
 
 
 def clean_sheet(df: DataFrame) -> DataFrame:
@@ -135,5 +116,5 @@ def sync_sheet_files(spark: SparkSession, store: TableStore, files: Sequence[She
             table, view, n = load_sheet(store, f"{table_prefix}{f.sheet}", df)
             rows.append((f.path, f.sheet, table, view, "ok", n, None))
         except Exception as exc:
-            rows.append((f.path, f.sheet, None, None, "failed", None, f"{type(exc).__name__}: {exc}"[:500]))
+            rows.append((f.path, f.sheet, None, None, "failed", None, f"{type(exc).__name__}: {exc}"))
     return spark.createDataFrame(rows, LOAD_SCHEMA)

@@ -44,18 +44,30 @@ def snapshot_stream(spark: SparkSession, landing: str, schema: T.StructType,
     return r.parquet(landing)
 
 
+def last_applied(table: Scd2Table) -> datetime | None:
+    """Time of the newest version in the table's history."""
+    if table.current_versions() is None:
+        return None
+    return table.history().agg(F.max("_scd_valid_from").alias("t")).first()["t"]
+
+
 def apply_snapshots(table: Scd2Table, keys: Sequence[str]):
-    """foreachBatch function: sync every snapshot of the micro-batch in time order."""
+    """foreachBatch function: sync every snapshot of the micro-batch in time order.
+
+    A snapshot that is not newer than the last applied one is refused: its
+    values would replace newer ones.
+    """
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            ids = sorted(r[0] for r in batch.select(SNAPSHOT_COLUMN).distinct().collect())  # one row per snapshot
-            for sid in ids:
-                snap = batch.where(F.col(SNAPSHOT_COLUMN) == sid).drop(SNAPSHOT_COLUMN)
-                table.sync(snap, keys, datetime.strptime(sid, SNAPSHOT_FORMAT))
-        finally:
-            batch.unpersist()
+        ids = sorted(r[0] for r in batch.select(SNAPSHOT_COLUMN).distinct().collect())  # one row per snapshot
+        for sid in ids:
+            at = datetime.strptime(sid, SNAPSHOT_FORMAT)
+            last = last_applied(table)
+            if last is not None and at == last:
+                continue  # applied before a restart of the stream
+            if last is not None and at < last:
+                raise ValueError(f"{table.name}: snapshot {sid} is older than the last applied one ({last})")
+            table.sync(batch.where(F.col(SNAPSHOT_COLUMN) == sid).drop(SNAPSHOT_COLUMN), keys, at)
 
     return run
 
