@@ -22,7 +22,7 @@ def m(spark, params):
 def test_leave_status_numbers(m):
     r = m.leave_status().agg(F.count(F.lit(1)).alias("n"), F.count_if("is_full_day").alias("full"),
                              F.count_if("has_partial_leave").alias("part")).first()
-    assert (r.n, r.full, r.part) == (5068, 1005, 3202)
+    assert (r.n, r.full, r.part) == (8803, 1738, 5592)
 
 
 def test_day_count_sums(m):
@@ -31,10 +31,10 @@ def test_day_count_sums(m):
                                             "pwdl_cnt", "pttl_cnt")],
               F.count_if(F.col("wdb_cnt") == 0).alias("zero"), F.count(F.lit(1)).alias("n")).first()
     assert r.n == 57442
-    assert (r.wdb_cnt, r.ttl_cnt, r.wdl_cnt) == (399886, 380060, 14277)
-    assert round(r.tlh_hrs, 6) == 44525.333333
-    assert (r.arwd_cnt, r.rttl_cnt, r.pwdl_cnt, r.pttl_cnt) == (1459, 32725, 12836, 347693)
-    assert r.zero == 26475
+    assert (r.wdb_cnt, r.ttl_cnt, r.wdl_cnt) == (701936, 662991, 25077)
+    assert round(r.tlh_hrs, 6) == 77808.0
+    assert (r.arwd_cnt, r.rttl_cnt, r.pwdl_cnt, r.pttl_cnt) == (602, 21311, 24479, 642059)
+    assert r.zero == 3764
 
 
 def test_window_shapes(m, params):
@@ -44,15 +44,15 @@ def test_window_shapes(m, params):
         F.count_if(F.col("due_date_adjusted").isNull()).alias("no_due"),
         F.count_if(F.col("start_date_adjusted") > F.lit(params.calendar_end)).alias("after"),
     ).first()
-    assert (r.reversed, r.no_due, r.after) == (701, 475, 24294)
+    assert (r.reversed, r.no_due, r.after) == (701, 475, 0)
 
 
 def test_row_counts(m):
     assert m.task_name().count() == 388
     assert m.job().count() == 59042
     assert m.job_task_staff().count() == 58056
-    assert m.allocation_by_day().count() == 685537
-    assert m.staff_performance().count() == 134400
+    assert m.allocation_by_day().count() == 1202446
+    assert m.staff_performance().count() == 236640
 
 
 def test_timesheet_numbers(m):
@@ -83,4 +83,16 @@ def test_scd2_batch_numbers(spark, m):
 
 def test_rounding_ties(m):
     ties = m.t["staff_adjustment"].where((F.col("adjustmentfactor") * 8) % 1 == 0.5).count()
-    assert ties == 1947
+    assert ties == 3429
+
+
+def test_calendar_covers_the_windows_and_every_branch_has_rows(m, params):
+    b = m.task_base().where(F.col("due_date_adjusted") >= F.col("start_date_adjusted"))
+    outside = b.where((F.col("start_date_adjusted") < F.lit(params.calendar_start)) | (F.col("due_date_adjusted") > F.lit(params.calendar_end)))
+    assert outside.count() < 0.01 * b.count()
+    r = m.allocation_by_day().agg(
+        F.count_if("is_date_between_today_and_due").alias("future"), F.count_if("is_date_between_start_and_today").alias("past"),
+        F.count_if("is_full_day_leave").alias("full"), F.count_if(F.col("is_day_with_a_leave") & F.col("is_date_between_today_and_due")).alias("part"),
+        F.count_if("admin_task_to_be_removed").alias("admin"),
+    ).first()
+    assert min(r) > 500

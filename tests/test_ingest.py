@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from workgrid.session import scratch_path
 from workgrid.sinks import profile
-from workgrid.sinks.store import DuplicateKeyError, TableStore
+from workgrid.sinks.store import DuplicateKeyError, TableStore, UnloggedDataError
 from workgrid.sources import jdbc, scd2, sheets
 from workgrid.sources.scd2_store import Scd2Table, SourceTable, sync_tables
 
@@ -150,3 +150,75 @@ def test_profile_counts(spark):
     cols = profile.column_profile(spark, {"t": df}).orderBy("ordinal").collect()
     assert [(c.column_name, c.data_type) for c in cols] == [("a", "int"), ("b", "string")]
     assert profile.sample_rows(df, 1) == [["1", "NULL"]]
+
+
+def test_unreadable_log_stops_the_sync_and_keeps_history(spark, monkeypatch):
+    store = TableStore(spark, scratch_path(spark, "t_store"))
+    table = Scd2Table(store, "t")
+    table.sync(spark.createDataFrame([(1, "a", 10)], SCHEMA), ("id",), T1)
+    before = sorted(map(tuple, table.history().collect()))
+
+    monkeypatch.setattr(store, "_log_path", lambda name: f"nosuchscheme://host/{name}/_versions")
+    with pytest.raises(Exception, match="nosuchscheme"):
+        store.exists("t")
+    with pytest.raises(Exception, match="nosuchscheme"):
+        table.sync(spark.createDataFrame([(2, "b", 20)], SCHEMA), ("id",), T2)
+    monkeypatch.undo()
+    assert sorted(map(tuple, table.history().collect())) == before
+
+
+def test_sync_never_starts_empty_over_a_filled_folder(spark, monkeypatch):
+    store = TableStore(spark, scratch_path(spark, "t_store"))
+    table = Scd2Table(store, "t")
+    with monkeypatch.context() as m:
+        m.setattr(store, "log_version", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            table.sync(spark.createDataFrame([(1, "a", 10)], SCHEMA), ("id",), T1)
+    with pytest.raises(UnloggedDataError):
+        table.sync(spark.createDataFrame([(1, "a", 10)], SCHEMA), ("id",), T1)
+    assert store.discard_unlogged("t") == 1
+    table.sync(spark.createDataFrame([(1, "a", 10)], SCHEMA), ("id",), T1)
+    assert table.history().count() == 1
+
+
+def test_expired_versions_lose_their_files_only(spark):
+    store = TableStore(spark, scratch_path(spark, "t_store"))
+    for k in range(4):
+        store.publish("t", spark.createDataFrame([(k, "a", 10)], SCHEMA))
+    assert store.expire("t", keep=2) == 2
+    assert store.read("t").first().id == 3
+
+
+def test_equal_source_rows_are_versioned_together(spark):
+    """Rows that are equal in all columns share an id and are closed together."""
+    h = _hist(spark, [(T1, [(1, "a", 10), (1, "a", 10)]), (T2, [(1, "a", 11)])])
+    assert sorted((r.amount, r._scd_is_current) for r in h.collect()) == [(10, False), (10, False), (11, True)]
+
+
+def test_one_stage_is_refreshed_from_published_inputs(spark, params):
+    from tests.conftest import SF0001
+    from workgrid.sinks.publish import refresh_chain
+    from workgrid.sources.fixtures import FixtureTables
+
+    store = TableStore(spark, scratch_path(spark, "t_chain"))
+    fx = FixtureTables(spark, SF0001, params)
+    first = refresh_chain(spark, fx, params, store, stages=("job_task_details",)).collect()
+    assert [r.table_name for r in first] == ["leave_status", "job_task_details"]
+    again = refresh_chain(spark, fx, params, store, stages=("timesheet",)).collect()
+    assert [(r.table_name, r.status) for r in again] == [("timesheet", "ok")]
+    assert len(store.versions("leave_status").collect()) == 1
+
+
+def test_checkpoint_folder_is_needed_off_local(monkeypatch):
+    from types import SimpleNamespace
+
+    from workgrid.session import ensure_checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)
+
+
+def test_names_are_quoted():
+    assert jdbc.literal("o'x") == "'o''x'" and jdbc.identifier('a"b') == '"a""b"'

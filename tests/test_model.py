@@ -110,9 +110,19 @@ def _plan(df) -> str:
 
 @pytest.mark.parametrize("name", MATERIALISED)
 def test_plans_have_no_cross_products(model, name):
-    """Range joins are exploded + equi joins; the only nested loop is the bounded type containment."""
+    """Range joins are exploded + equi joins, contained types a gram join."""
     plan = _plan(getattr(model, name)())
-    assert "CartesianProduct" not in plan
-    for line in plan.splitlines():
-        if "BroadcastNestedLoopJoin" in line:
-            assert "Contains(" in line, line
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_task_days_are_not_shuffled(spark, params):
+    """Day counts have no row per task-day; allocation explodes after its last shuffle."""
+    m = GoldModel(spark, FixtureTables(spark, SF0001, params), params, cut_lineage=True)
+    m.leave_status(), m.task_base(), m.job_task_staff()
+    counts = _plan(m.calendar_counts())
+    assert "Generate" not in counts
+    m.recorded_task_hours()
+    m.cut_lineage = False
+    plan = _plan(m.allocation_by_day())
+    top = plan[: plan.index("Generate")]
+    assert "Exchange hashpartitioning" not in top

@@ -1,6 +1,7 @@
 """Unit tests on small hand-made frames: NULL rules, tie rules, window rules."""
 
-from datetime import date
+from collections import Counter
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -8,8 +9,8 @@ from workgrid.config import Params
 from workgrid.functions.keys import composite_id, row_hash
 from workgrid.functions.rules import is_admin, is_leave_name, task_category, week_of_month, window_end
 from workgrid.operators.containment import containment_pairs
-from workgrid.operators.lookup import first_per_key
-from workgrid.operators.ranges import explode_days
+from workgrid.operators.lookup import first_per_key, left_join_sparse
+from workgrid.operators.ranges import explode_days, window_index
 
 P = Params(as_of=date(2024, 5, 15), admin_client="Admin Client")
 
@@ -81,22 +82,43 @@ def test_first_per_key_takes_smallest_payload_nulls_first(spark):
     assert got == {"a": (None, 5), "b": ("x", 9), "c": ("q", None)}
 
 
-def test_containment_paths_agree(spark):
-    names = spark.createDataFrame([("Design Review%",), ("holiday PLANNING",), ("ab",), ("plain",)], "n string")
-    types = spark.createDataFrame([("review",), ("Holiday",), ("AB",), ("b",), ("%",), ("none",)], "t string")
-    small = {tuple(r) for r in containment_pairs(names, "n", types, "t", broadcast_limit=100).collect()}
-    qgram = {tuple(r) for r in containment_pairs(names, "n", types, "t", broadcast_limit=0).collect()}
-    expected = {("Design Review%", "review"), ("Design Review%", "%"), ("holiday PLANNING", "Holiday"),
-                ("ab", "AB"), ("ab", "b")}
-    assert small == expected
-    assert qgram == expected
+def test_containment_equals_brute_force(spark):
+    names = ["Review", "review board", "Online review content", "ab", "", "a%b_c", "a" * 50 + "xyz", None, "prefix one", "prefix two"]
+    types = ["rev", "Review", "a", "%b", "_c", "xyz", "prefix", "", None, "nothing here", "rev", "ab"]
+    got = Counter(tuple(r) for r in containment_pairs(
+        spark.createDataFrame([(x,) for x in names], "n string"), "n", spark.createDataFrame([(x,) for x in types], "t string"), "t").collect())
+    assert got == Counter((x, y) for x in names for y in types if x is not None and y is not None and y.lower() in x.lower())
 
 
-def test_broadcast_and_qgram_containment_keep_duplicate_type_rows(spark):
-    names = spark.createDataFrame([("alpha beta",)], "n string")
-    types = spark.createDataFrame([("beta",), ("beta",)], "t string")
-    for limit in (100, 0):
-        assert containment_pairs(names, "n", types, "t", broadcast_limit=limit).count() == 2
+def test_left_join_with_null_keys(spark):
+    left = spark.createDataFrame([(i, None if i % 3 else i % 5) for i in range(60)], "id int, k int")
+    right = spark.createDataFrame([(i, f"v{i}") for i in range(4)] + [(None, "never")], "rk int, v string")
+    got = sorted(tuple(r) for r in left_join_sparse(left, right, "k", "rk", "id").select("id", "k", "v").collect())
+    assert got == [(i, None if i % 3 else i % 5, None if i % 3 or i % 5 == 4 else f"v{i % 5}") for i in range(60)]
+
+
+def test_null_keys_are_spread(spark):
+    left = spark.range(20_000).select("id", F.lit(None).cast("int").alias("k"))
+    spread = left.withColumn("s", F.pmod(F.xxhash64("id"), F.lit(1024)).cast("int") + 1)
+    parts = [r["n"] for r in spread.repartition(8, "k", "s").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(parts) < 0.25 * 20_000
+
+
+def test_datetime_windows_equal_the_range_join(spark, duck):
+    rows = [("2020-01-05 09:00:00", "2020-01-08 00:00:00"), ("2020-01-05 00:00:00", "2020-01-08 17:30:00"), ("2020-01-05 09:00:00", "2020-01-05 18:00:00"),
+            ("2019-12-20 10:00:00", "2020-01-02 10:00:00"), ("2020-01-08 00:00:00", "2020-01-05 00:00:00"), (None, "2020-01-05 00:00:00"), ("2020-01-29 01:00:00", "2020-03-05 00:00:00")]
+    lo, hi = date(2020, 1, 1), date(2020, 1, 31)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, s string, e string").selectExpr(
+        "id", "cast(s as timestamp_ntz) s", "cast(e as timestamp_ntz) e")
+    first, last = window_index("s", "e", lo, hi)
+    got = {(r.id, r.date) for r in explode_days(df, "s", "e", lo, hi).collect()}
+    by_index = {(r.id, lo + timedelta(i)) for r in df.select("id", first.alias("a"), last.alias("b")).collect() for i in range(r.a, r.b + 1)}
+    values = ", ".join(f"({i}, {'NULL' if s is None else repr(s)}::timestamp, {e!r}::timestamp)" for i, (s, e) in enumerate(rows))
+    want = set(duck.execute(
+        f"SELECT id, cast(d AS date) FROM (VALUES {values}) t(id, s, e) JOIN generate_series(date '2020-01-01', date '2020-01-31', INTERVAL 1 DAY) g(d) ON d BETWEEN s AND e").fetchall())
+    assert got == want == by_index
+    assert {d.day for i, d in got if i == 0} == {6, 7, 8}
+
 
 
 def test_weekday_mask_is_exists_and_arrays_take_first_row(spark):
