@@ -26,12 +26,11 @@ def leave_by_day(leave: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _calendar_row(cal: DataFrame, params: Params) -> DataFrame:
-    """One row: the weekday of every calendar day in order, 0 on weekends and public holidays."""
+def _weekdays(cal: DataFrame, params: Params) -> Column:
+    """The weekday of every calendar day in order, 0 on weekends and public holidays, as a scalar subquery."""
     dow = F.when(F.col("weekend") | F.col("public_holiday"), F.lit(0)).otherwise(F.col("weekday").cast("int"))
     at = F.datediff("date", F.lit(params.calendar_start))
-    days = F.array_sort(F.collect_list(F.struct(at.alias("i"), dow.alias("dow"))))
-    return cal.agg(days.alias("_cal"), (F.count(F.lit(1)) >= 0).alias("_cal_of"))
+    return cal.agg(F.array_sort(F.collect_list(F.struct(at.alias("i"), dow.alias("dow"))))).scalar()
 
 
 def workable_day_arrays(cal: DataFrame, workable_days: DataFrame, leave: DataFrame, params: Params) -> DataFrame:
@@ -44,10 +43,6 @@ def workable_day_arrays(cal: DataFrame, workable_days: DataFrame, leave: DataFra
     people = working_weekday_mask(workable_days).join(
         leave_by_day(leave, params), F.col("_ww_staff") == F.col("_lv_staff"), "left"
     )
-    # One calendar row for everyone: a broadcast of a fixed number of days.
-    held = people.withColumn("_pd_of", F.col("_ww_mask").isNotNull()).join(
-        F.broadcast(_calendar_row(cal, params)), F.col("_pd_of") == F.col("_cal_of")
-    )
 
     def day(d: Column) -> Column:
         works = (d["dow"] > 0) & F.get("_ww_mask", F.greatest(d["dow"] - 1, F.lit(0)))
@@ -58,6 +53,7 @@ def workable_day_arrays(cal: DataFrame, workable_days: DataFrame, leave: DataFra
         hours = F.when(free, lv["partial_leave_hrs_per_day"])
         return F.struct(code.alias("code"), hours.alias("hours"))
 
+    held = people.withColumn("_cal", _weekdays(cal, params))
     days = held.select(F.col("_ww_staff").alias("_pd_staff"), F.transform("_cal", day).alias("_days"))
     return days.select("_pd_staff", F.col("_days.code").alias("_pd_codes"), F.col("_days.hours").alias("_pd_hours"))
 
