@@ -13,7 +13,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF0001
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(entry.gold_queries())
 
 
 def _norm(v):
@@ -24,7 +24,7 @@ def _norm(v):
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, duck, key):
-    sdf = entry.queries()[key](spark, SF0001)
+    sdf = entry.gold_queries()[key](spark, SF0001)
     oracle = entry.oracle_sql()
     assert key in oracle, f"{key} has no oracle SQL"
     res = duck.execute(oracle[key])
