@@ -222,3 +222,13 @@ def test_checkpoint_folder_is_needed_off_local(monkeypatch):
 
 def test_names_are_quoted():
     assert jdbc.literal("o'x") == "'o''x'" and jdbc.identifier('a"b') == '"a""b"'
+
+
+def test_bi_views_have_report_names(spark):
+    from workgrid.sinks.publish import bi_views, display_name
+
+    assert display_name("allo_hrs_per_workday_with_leave_kpi03") == "Allo_Hrs_Per_Workday_With_Leave_KPI03"
+    store = TableStore(spark, scratch_path(spark, "t_bi"))
+    store.publish("t", spark.createDataFrame([(1, "a", 10)], SCHEMA))
+    views = bi_views(store, ["t"], {"amount": "Amount (cents)"})
+    assert spark.table("pbi_t").columns == views["pbi_t"].columns == ["ID", "Name", "Amount (cents)"]

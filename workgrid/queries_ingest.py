@@ -183,7 +183,7 @@ def q_bi_views(spark, sf_dir):
     for (view, df), name in zip(views.items(), MATERIALISED):
         one = df.agg(
             F.lit(view).alias("view_name"), F.count(F.lit(1)).alias("row_count"),
-            content_hash(CONTENT_COLUMNS[name]).alias("content_hash"),
+            content_hash([publish.display_name(c) for c in CONTENT_COLUMNS[name]]).alias("content_hash"),
         )
         out = one if out is None else out.unionByName(one)
     return out
