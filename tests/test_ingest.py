@@ -232,3 +232,21 @@ def test_bi_views_have_report_names(spark):
     store.publish("t", spark.createDataFrame([(1, "a", 10)], SCHEMA))
     views = bi_views(store, ["t"], {"amount": "Amount (cents)"})
     assert spark.table("pbi_t").columns == views["pbi_t"].columns == ["ID", "Name", "Amount (cents)"]
+
+
+def test_a_sync_writes_what_changed(spark):
+    store = TableStore(spark, scratch_path(spark, "t_store"))
+    table = Scd2Table(store, "t")
+    rows = [(i, f"n{i}", i) for i in range(2000)]
+    table.sync(spark.createDataFrame(rows, SCHEMA), ("id",), T1)
+    r = table.sync(spark.createDataFrame([*rows[:-2], (1998, "x", 1), (5000, "y", 2)], SCHEMA), ("id",), T2).first()
+    assert (r.new, r.changed, r.unchanged) == (1, 1, 1998)
+    assert [x["rows"] for x in store.versions("t").orderBy("version").collect()] == [2000, 2]
+    assert table.history().count() == 2002 and table.current_versions().count() == 2001
+    before = sorted(map(tuple, table.history().collect()), key=str)
+    table.compact()
+    assert sorted(map(tuple, table.history().collect()), key=str) == before
+    r = table.sync(spark.createDataFrame([(1998, "z", 1)], SCHEMA), ("id",), T3).first()
+    assert (r.new, r.changed, r.unchanged) == (0, 1, 0)
+    closed = table.history().where("id = 1998").orderBy("_scd_valid_from").collect()
+    assert [(x.name, x._scd_valid_to, x._scd_is_current) for x in closed] == [("n1998", T2, False), ("x", T3, False), ("z", None, True)]

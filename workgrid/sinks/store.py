@@ -114,14 +114,8 @@ class TableStore:
             raise KeyError(f"table {name!r} has no published version under {self.root}")
         return self.spark.read.parquet(path)
 
-    def versions_upto(self, name: str, version: str) -> list[str]:
-        """Every logged version id <= ``version`` (one metadata row per publish)."""
-        rows = self.versions(name).where(F.col("version") <= version).select("version").collect()
-        return [r["version"] for r in rows]
-
-    def read_all(self, name: str) -> DataFrame:
-        """All written versions of ``name`` with a ``version`` column (filter by logged versions)."""
-        return self.spark.read.parquet(f"{self.root}/{name}")
+    def version_path(self, name: str, version: str) -> str:
+        return f"{self.root}/{name}/version={version}"
 
     def publish(self, name: str, df: DataFrame, key: Sequence[str] | None = None,
                 partition_by: Sequence[str] | None = None, version: str | None = None) -> str:
@@ -133,7 +127,7 @@ class TableStore:
         so readers keep seeing the previous version.
         """
         version = version or new_version()
-        path = f"{self.root}/{name}/version={version}"
+        path = self.version_path(name, version)
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)

@@ -59,7 +59,8 @@ def with_row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return df.withColumn("_scd_source_hash", row_hash(cols))
 
 
-def _batch_ts(batch_ts: datetime):
+def batch_time(batch_ts: datetime):
+    """The batch's time without a zone."""
     # From text, so the wall-clock value does not depend on any time zone.
     return F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
@@ -113,7 +114,7 @@ def apply(history: DataFrame, source: DataFrame, keys: Sequence[str], batch_ts:
           batch_id: str | None = None, classified: DataFrame | None = None) -> DataFrame:
     """The history after one sync of ``source`` at ``batch_ts``."""
     bid = batch_id or batch_ts.isoformat(sep=" ")
-    ts = _batch_ts(batch_ts)
+    ts = batch_time(batch_ts)
     cls = classified if classified is not None else classify(source, history, keys)
     src_cols = source.columns
     inserted = cls.where(F.col("_change") != UNCHANGED).select(

@@ -1,16 +1,17 @@
 """SCD2 tables kept in a TableStore, and the multi-table sync.
 
-Each sync writes one store version of table ``t``, partitioned by
-``_scd_is_current``: the ``true`` part holds every current version after
-the sync, the ``false`` part the versions this sync closed. The current
-rows are the ``true`` part of the latest version; the full history is that
-plus the ``false`` parts of all versions up to it.
-
-A sync reads only the current rows (not the whole history), so its cost
-follows the size of the table, not the number of past syncs, and it writes
-its result in one pass. The version is logged only after its files are
-complete, so a sync that dies half way leaves the published history
-unchanged.
+A sync appends: version ``v`` of table ``t`` holds the rows that the sync
+inserted (new and changed source rows), each with the id of the version it
+closes. Closing a row writes nothing but that id, so the bytes of a sync
+follow the number of changed rows, not the size of the table. A row is
+current while no later row closes it; the history is the inserted rows with
+the time of the row that closed each.
+
+Reading joins the inserted rows with the closing ids, both found by partition
+pruning on the logged versions. ``compact`` writes the whole history as one
+new base version when many small versions have piled up; readers then start
+from it. A version is logged only after its files are complete, so a sync
+that dies half way leaves the published history unchanged.
 """
 
 from __future__ import annotations
@@ -20,11 +21,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
 from ..sinks.store import TableStore, UnloggedDataError, new_version
 from . import scd2
 
@@ -38,32 +38,52 @@ SYNC_SCHEMA = T.StructType([
 ])
 
 
+BASE_MARK = "-base"
+
+
 class Scd2Table:
     def __init__(self, store: TableStore, name: str):
         self.store = store
         self.name = name
 
-    @staticmethod
-    def _typed(df: DataFrame) -> DataFrame:
-        # Partition values are read back as text; the partition filter still prunes folders.
-        return df.withColumn("_scd_is_current", F.col("_scd_is_current").cast("boolean"))
+    def _inserted(self) -> DataFrame | None:
+        """Every inserted row of the logged versions since the last base; None before the first sync."""
+        logged = sorted(r["version"] for r in self.store.versions(self.name).select("version").collect())
+        if not logged:
+            return None
+        base = max((i for i, v in enumerate(logged) if v.endswith(BASE_MARK)), default=0)
+        folders = [self.store.version_path(self.name, v) for v in logged[base:]]
+        return self.store.spark.read.parquet(*folders)
+
+    def _state(self, rows: DataFrame) -> DataFrame:
+        """Inserted rows with the time that a later row closed them."""
+        closing = (
+            rows.where(F.col("_scd_closes").isNotNull())
+            .groupBy(F.col("_scd_closes").alias("_closed_id"))
+            .agg(F.min("_scd_valid_from").alias("_closed_at"))
+        )
+        names = [c for c in rows.columns if c not in (*scd2.SCD_COLUMNS, "_scd_closes")]
+        until = F.coalesce("_scd_valid_to", "_closed_at")
+        return rows.join(closing, F.col("_scd_id") == F.col("_closed_id"), "left").select(
+            *names, "_scd_id", "_scd_valid_from", until.alias("_scd_valid_to"), until.isNull().alias("_scd_is_current"),
+            "_scd_source_hash",
+        )
 
     def current_versions(self) -> DataFrame | None:
-        if not self.store.exists(self.name):
-            return None
-        return self._typed(self.store.read(self.name).where(F.col("_scd_is_current") == "true"))
+        rows = self._inserted()
+        return None if rows is None else self._state(rows).where("_scd_is_current")
 
     def history(self) -> DataFrame:
-        cur = self.current_versions()
-        logged = self.store.versions_upto(self.name, self.store.current_version(self.name))
-        # Both filters are on partition columns, so only the closed parts of
-        # logged versions are listed and read.
-        closed = self.store.read_all(self.name).where(
-            (F.col("_scd_is_current") == "false") & F.col("version").isin(*logged))
-        return cur.unionByName(self._typed(closed).select(*cur.columns))
+        rows = self._inserted()
+        if rows is None:
+            raise KeyError(f"table {self.name!r} has no published version under {self.store.root}")
+        return self._state(rows)
 
     def sync(self, source: DataFrame, keys: Sequence[str], batch_ts: datetime) -> DataFrame:
-        """Apply one source snapshot; return its one-row summary (new, changed, unchanged)."""
+        """Apply one source snapshot; return its one-row summary (new, changed, unchanged).
+
+        One pass: the counts are observed while the changed rows are written.
+        """
         spark = self.store.spark
         cur = self.current_versions()
         if cur is None:
@@ -71,20 +91,29 @@ class Scd2Table:
                 raise UnloggedDataError(f"{self.name}: {left} are in no version log; restore the log or discard them")
             cur = scd2.empty_history(spark, source.schema)
         version = new_version()
-        # Classified once and kept on shared storage, so a lost executor costs a re-read.
-        path = scratch_path(spark, "classified", self.name)
-        classified = scd2.classify(source, cur, keys)
-        classified.write.parquet(path)
-        cls = spark.read.schema(classified.schema).parquet(path)
-        counts = scd2.summary(cls).first()
-        # ``cur`` holds only current rows, so the rows of ``after`` that are
-        # not current are exactly the ones this sync closed.
-        after = scd2.apply(cur, source, keys, batch_ts, batch_id=version, classified=cls)
-        self.store.publish(self.name, after, partition_by=["_scd_is_current"], version=version)
+        change = F.col("_change")
+        counts = Observation()
+        classified = scd2.classify(source, cur, keys).observe(
+            counts, *[F.count_if(change == c).alias(c) for c in (scd2.NEW, scd2.CHANGED, scd2.UNCHANGED)])
+        inserted = classified.where(change != scd2.UNCHANGED).select(
+            *source.columns,
+            F.md5(F.concat_ws("|", F.lit(version), F.col("_scd_source_hash"))).alias("_scd_id"),
+            scd2.batch_time(batch_ts).alias("_scd_valid_from"),
+            F.lit(None).cast("timestamp_ntz").alias("_scd_valid_to"),
+            "_scd_source_hash",
+            F.col("_old_id").alias("_scd_closes"),
+        )
+        self.store.publish(self.name, inserted, version=version)
+        n = counts.get
         return spark.createDataFrame(
-            [(self.name, "ok", counts["new"], counts["changed"], counts["unchanged"], None)], SYNC_SCHEMA
+            [(self.name, "ok", n[scd2.NEW], n[scd2.CHANGED], n[scd2.UNCHANGED], None)], SYNC_SCHEMA
         )
 
+    def compact(self) -> None:
+        """Write the history as one base version; older versions are then no longer read."""
+        rows = self.history().drop("_scd_is_current").withColumn("_scd_closes", F.lit(None).cast("string"))
+        self.store.publish(self.name, rows, version=new_version() + BASE_MARK)
+
     def register_current_view(self, registered: dict[str, str] | None = None) -> str:
         """Register the current view under the last ``_`` segment of the table name."""
         view = scd2.view_name(self.name)
