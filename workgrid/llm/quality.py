@@ -115,49 +115,65 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model | None
     return Model(dict(zip(names, each.tolist())), float(w[-1] - each @ mean))
 
 
-def strength(sites: DataFrame, prior: Column) -> Column:
-    """Aggregate over sites ``(n, good, noise)``: how many documents the prior mean is worth.
+@dataclass(frozen=True)
+class Prior:
+    """What all sites say together: the global rate, and how many documents each level's prior is worth."""
 
-    The spread of site rates around their prior, less what sampling noise
-    explains, is the variance of a beta distribution of this strength.
-    """
-    mean = F.sum("good") / F.sum("n")
-    spread = F.sum(F.col("n") * F.pow(F.col("good") / F.col("n") - prior, F.lit(2.0)))
-    excess = (spread - F.sum("noise")) / F.sum("n")
-    raw = F.when(excess > 0, mean * (1 - mean) / excess - 1).otherwise(F.lit(MAX_STRENGTH))
-    return F.greatest(F.least(raw, F.lit(MAX_STRENGTH)), F.lit(MIN_STRENGTH))
+    mean: float
+    host_strength: float
+    path_strength: float
 
 
-def posteriors(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Site statistics of ``scored(host, path, p)``.
+def strength(sites: DataFrame, prior: Column) -> float:
+    """How many documents the prior mean of ``sites(n, good, noise)`` is worth.
 
-    Returns a one-row frame ``(global_mean, host_strength, path_strength)`` and
-    ``(host, path, path_n, path_good, host_mean, path_mean)`` per path. A hot host
-    is reduced to a row per path and map task before any shuffle.
+    The spread of site rates around their prior, less what sampling noise
+    explains, is the variance of a beta distribution of this strength.
+    ``noise`` is the expected squared deviation of one document.
+    """
+    rate = F.col("good") / F.col("n")
+    r = sites.agg(
+        F.sum("n").alias("n"),
+        F.sum("good").alias("good"),
+        F.sum(F.col("n") * F.pow(rate - prior, F.lit(2.0))).alias("spread"),
+        F.sum("noise").alias("noise"),
+    ).first()
+    if not r["n"]:
+        return MIN_STRENGTH
+    mean, excess = r["good"] / r["n"], (r["spread"] - r["noise"]) / r["n"]
+    raw = mean * (1 - mean) / excess - 1 if excess > 0 else MAX_STRENGTH
+    return min(max(raw, MIN_STRENGTH), MAX_STRENGTH)
+
+
+def posteriors(spark: SparkSession, scored: DataFrame) -> tuple[Prior, DataFrame]:
+    """The prior, and ``(host, path, path_n, path_good, host_mean)`` per path, of ``scored(host, path, p)``.
+
+    A hot host is reduced to a row per path and map task before any shuffle;
+    three numbers reach the driver.
     """
-    paths = scored.groupBy("host", "path").agg(
-        F.count(F.lit(1)).cast("double").alias("path_n"),
-        F.sum("p").alias("path_good"),
-        F.sum(F.col("p") * (1 - F.col("p"))).alias("path_noise"),
+    paths = stored(
+        spark,
+        scored.groupBy("host", "path").agg(
+            F.count(F.lit(1)).cast("double").alias("path_n"),
+            F.sum("p").alias("path_good"),
+            F.sum(F.col("p") * (1 - F.col("p"))).alias("path_noise"),
+        ),
+        "paths",
     )
     hosts = paths.groupBy("host").agg(
-        F.sum("path_n").alias("n"), F.sum("path_good").alias("good"), F.sum("path_noise").alias("noise")
+        F.sum("path_n").alias("n"), F.sum("path_good").alias("good"), (F.sum("path_noise") / F.sum("path_n")).alias("noise")
     )
-    total = hosts.agg((F.sum("good") / F.sum("n")).alias("global_mean"))
-    # Expected squared deviation of n sampled probabilities' sum, per document.
-    of_hosts = hosts.select("n", "good", (F.col("noise") / F.col("n")).alias("noise")).crossJoin(F.broadcast(total))
-    host_strength = of_hosts.agg(strength(of_hosts, F.col("global_mean")).alias("host_strength"))
-    prior = total.crossJoin(host_strength)  # one row each
-    shrunk = hosts.crossJoin(F.broadcast(prior)).select(
-        F.col("host").alias("_host"), "global_mean", "host_strength",
-        ((F.col("good") + F.col("global_mean") * F.col("host_strength")) / (F.col("n") + F.col("host_strength"))).alias("host_mean"),
+    mean = hosts.agg(F.sum("good") / F.sum("n")).first()[0] or 0.0
+    of_hosts = strength(hosts, F.lit(mean))
+    shrunk = hosts.select(
+        F.col("host").alias("_host"), ((F.col("good") + mean * of_hosts) / (F.col("n") + of_hosts)).alias("host_mean")
     )
     joined = paths.join(shrunk, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
     of_paths = joined.select(
         F.col("path_n").alias("n"), F.col("path_good").alias("good"), (F.col("path_noise") / F.col("path_n")).alias("noise"), "host_mean"
     )
-    path_strength = of_paths.agg(strength(of_paths, F.col("host_mean")).alias("path_strength"))
-    return prior.crossJoin(path_strength), joined.select("host", "path", "path_n", "path_good", "host_mean")
+    prior = Prior(mean, of_hosts, strength(of_paths, F.col("host_mean")))
+    return prior, joined.select("host", "path", "path_n", "path_good", "host_mean")
 
 
 def _logit(p: Column) -> Column:
@@ -184,16 +200,15 @@ def quality(
     known = _known(labels).agg(F.avg("quality").alias("m")).first()["m"]  # the prior odds of the labelled documents
     odds = 0.0 if model is None else float(np.log((known + 1e-6) / (1 - known + 1e-6)))
     scored = stored(spark, base.withColumn("p", 1 / (1 + F.exp(-(F.col("evidence") + F.lit(odds))))), "quality")
-    prior, sites = posteriors(scored)
+    prior, sites = posteriors(spark, scored)
     names = {"host": "_host", "path": "_path"}
     same = F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))
     # The document's own probability is taken out of its path.
     rest_n, rest_good = F.col("path_n") - 1, F.greatest(F.col("path_good") - F.col("p"), F.lit(0.0))
-    path_mean = (rest_good + F.col("host_mean") * F.col("path_strength")) / (rest_n + F.col("path_strength"))
+    path_mean = (rest_good + F.col("host_mean") * prior.path_strength) / (rest_n + prior.path_strength)
     score = 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("path_mean")))))
     return (
         scored.join(sites.withColumnsRenamed(names), same)
-        .crossJoin(F.broadcast(prior))
         .withColumn("path_mean", path_mean)
         .withColumn("score", score)
         .select(
