@@ -141,6 +141,25 @@ def test_texts(spark):
     assert pii.pseudonymise(docs.limit(0), KEY).collect() == []
 
 
+def test_numbers_beside_others(spark):
+    card, phone = brute("4111 1111 1111 1111"), brute("415-555-1234")
+    cases = {
+        "4111 1111 1111 1111 123": f"{card} 123",
+        "4111111111111111 12/25": f"{card.replace(' ', '')} 12/25",
+        "12 4111-1111-1111-1111": f"12 {card.replace(' ', '-')}",
+        "12 34 4111 1111 1111 1111 99": f"12 34 {card} 99",
+        "415-555-1234 1000 Main St": f"{phone} 1000 Main St",
+        "94103 415-555-1234": f"94103 {phone}",
+        "415-555-1234 415-555-9876": f"{phone} {brute('415-555-9876')}",
+        "4111 1111 1111 1111 3782 822463 10005": f"{card} {brute('3782 822463 10005')}",
+        "4111 1111 1111 1111 2020-02-29": f"{card} {brute('2020-02-29')}",
+        "4111 1111 1111 1112 123": "4111 1111 1111 1112 123",
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    texts = list(cases)
+    assert {texts[r.doc_id]: r.text for r in pii.pseudonymise(docs, KEY).collect()} == cases
+
+
 def test_native_plan(spark):
     plan = pii.pseudonymise(spark.createDataFrame([(1, "x")], "doc_id long, text string"), KEY)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)

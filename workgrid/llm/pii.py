@@ -1,6 +1,7 @@
 """Format-preserving pseudonyms for personal numbers and dates, in DataFrame functions only.
 
-One regular expression finds candidates; each is validated by its kind
+One regular expression finds candidates (for card numbers it is made from
+the text's valid ones, see :func:`card_numbers`); each is validated by its kind
 (Luhn digit, octet range, calendar date, digit counts), and a valid one is
 replaced by a keyed permutation of its own format: a card number by a card
 number with a valid check digit and the same separators, a date by a date in the same
@@ -40,13 +41,20 @@ DAYS_A, DAYS_B = 189, 773
 # Fixed formats of the candidates, longest kinds first where they could overlap.
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}"
 _IP = r"(?<![0-9A-Za-z])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z])(?!\.[0-9])"
-_ISO = r"(?<![0-9A-Za-z])[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}(?![0-9A-Za-z])"
-_DMY = r"(?<![0-9A-Za-z])[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4}(?![0-9A-Za-z])"
+_ISO = r"(?<![0-9A-Za-z])[0-9]{4}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}(?![0-9A-Za-z])"
+_DMY = r"(?<![0-9A-Za-z])[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{4}(?![0-9A-Za-z])"
 _SSN = r"(?<![0-9A-Za-z])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z])"
-_CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 _PLUS = r"\+[0-9][0-9 ().-]{6,18}[0-9](?![0-9A-Za-z])"
 _GROUPS = r"(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
-CANDIDATE = "|".join((_EMAIL, _IP, _ISO, _DMY, _SSN, _CARD, _PLUS, _GROUPS))
+# Numbers of other kinds that may stand beside a card number; a card number does not run into them.
+_BESIDE = "|".join((_IP, _ISO, _DMY, _SSN, _GROUPS))
+_CARD = rf"(?<![0-9A-Za-z])[0-9](?:[ -]?(?!{_BESIDE})[0-9]){{12,18}}(?![0-9A-Za-z])"
+_BEFORE_CARD = "|".join((_EMAIL, _IP, _ISO, _DMY, _SSN, _GROUPS))
+CANDIDATE = "|".join((_BEFORE_CARD, _CARD, _PLUS))
+# From every border on, the digits in which card numbers that start there and their neighbours lie.
+_REACH = r"(?<![0-9A-Za-z])(?=([0-9](?:[ -]?[0-9]){12,36}(?![0-9A-Za-z])(?:[./][0-9./-]{1,12})?))"
+# Usual groupings of card numbers; they come before chance sums over parts of neighbouring numbers.
+_USUAL = r"^(?:[0-9]{13,19}|[0-9]{4}(?:(?: [0-9]{4}){3}(?: [0-9]{1,3})?|(?:-[0-9]{4}){3}(?:-[0-9]{1,3})?|[ -][0-9]{6}[ -][0-9]{4,5}))$"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -264,6 +272,51 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
+def card_numbers(text: Column) -> Column:
+    """Distinct valid card numbers of a text that start and end at borders of digit groups, preferred ones first.
+
+    Every border is tried with every number of digits, so a number is found
+    beside others, too. Where numbers overlap, one of a usual grouping comes
+    before others, then the longer one; a number into which a date or another
+    number of fixed groups would run is none.
+    """
+
+    def windows(reach: Column) -> Column:
+        sized = F.array(*(F.regexp_extract(reach, rf"^[0-9](?:[ -]?[0-9]){{{n}}}(?![0-9])", 0) for n in range(12, 19)))
+        valid = lambda w: F.when(w != "", luhn_sum(_digits(w)) % 10 == 0).otherwise(F.lit(False))
+        beside = F.regexp_instr(reach, F.lit(rf"(?<=[ -])(?:{_BESIDE})"))  # 0 if none
+        clear = lambda w: (beside == 0) | (beside > F.length(w))
+        return F.transform(
+            F.filter(F.filter(sized, valid), clear),
+            lambda w: F.struct((~w.rlike(_USUAL)).alias("odd"), (-F.length(w)).alias("size"), w.alias("w"), reach.alias("reach")),
+        )
+
+    def chosen(found: Column, usual: Column) -> Column:
+        # A usual number that starts inside an odd one takes its digits.
+        inside = lambda f: F.exists(
+            usual,
+            lambda u: (F.instr(f["reach"], u) > 0)
+            & F.regexp_instr(f["reach"], F.concat(F.lit("(?<=[ -])"), u, F.lit("(?![0-9])"))).between(1, -f["size"]),
+        )
+        kept = F.filter(found, lambda f: ~f["odd"] | ~inside(f))
+        return F.array_distinct(F.transform(F.array_sort(kept), lambda f: f["w"]))
+
+    reaches = F.array_distinct(F.regexp_extract_all(text, F.lit(_REACH), F.lit(1)))
+    found = F.flatten(F.transform(reaches, windows))
+    usual = lambda x: F.array_distinct(F.transform(F.filter(x, lambda f: ~f["odd"]), lambda f: f["w"]))
+    return _let(found, lambda x: _let(usual(x), lambda u: chosen(x, u)))
+
+
+def _pattern(text: Column) -> Column:
+    """The expression that finds what ``text`` holds: its valid card numbers, and candidates of the other kinds."""
+    without = F.lit(f"{_BEFORE_CARD}|{_PLUS}")
+    cards = lambda c: F.concat(
+        F.lit(_BEFORE_CARD + r"|(?<![0-9A-Za-z])(?:"), F.array_join(c, "|"), F.lit(r")(?![0-9A-Za-z])|" + _PLUS)
+    )
+    some = _let(card_numbers(text), lambda c: F.when(F.size(c) > 0, cards(c)).otherwise(without))
+    return F.when(text.rlike(_REACH), some).otherwise(without)
+
+
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``text`` pseudonymised and the column ``n_replaced`` added (replaced if present).
 
@@ -273,11 +326,15 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     pass through.
     """
     body = F.col("text").cast("string")
-    found = F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0))
-    # A text is its pieces around the candidates, in turns.
-    pieces = F.split(body, CANDIDATE, -1)
-    swapped = F.transform(found, lambda m: pseudonym(m, key))
-    state = F.when(body.rlike("[0-9@]"), F.struct(pieces.alias("pieces"), found.alias("found"), swapped.alias("swapped")))
+
+    def parts(pattern: Column) -> Column:
+        found = F.regexp_extract_all(body, pattern, F.lit(0))
+        # A text is its pieces around the candidates, in turns.
+        pieces = F.split(body, pattern, -1)
+        swap = lambda f: F.transform(f, lambda m: pseudonym(m, key))
+        return _let(found, lambda f: F.struct(pieces.alias("pieces"), f.alias("found"), swap(f).alias("swapped")))
+
+    state = F.when(body.rlike("[0-9@]"), _let(_pattern(body), parts))
     names = [c for c in docs.columns if c != "n_replaced"]
     wide = docs.select(*(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(names)), state.alias("_pii"))
     text = F.array_join(
