@@ -50,6 +50,31 @@ def test_against_brute_force(spark):
     assert scan(docs.limit(0)).collect() == []
 
 
+def test_wrapped_notices(spark):
+    cases = {
+        "under the terms of the GNU Lesser General Public\nLicense as published by": ("lgpl", 1),
+        " * the GNU General Public License\n * version 3, or later": ("gpl,gpl-3.0", 2),  # the first line's title and the name
+        "the GNU Lesser\r\n# General\r\n# Public License,\r\n# version\r\n# 2.1 of": ("lgpl-2.1", 1),
+        "GNU GENERAL PUBLIC LICENSE\n2. Copying": ("gpl", 1),
+        "BSD\n\nLicense": ("", 0),
+        "in the public\ndomain": ("public-domain", 1),
+        "MIT License\nISC License\n\nISC License": ("isc,mit", 3),
+        "mit license\n" * 500: ("mit", 500),
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.n_detections) for r in scan(docs, wrapped=True).collect()}
+    for i, (text, want) in enumerate(cases.items()):
+        labels, n = got[i]
+        assert (labels, n) == want, text[:80]
+
+
+def test_wrapped_scan_of_unwrapped_texts(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS) if "\n" not in (t or "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(rows, docs, scan(docs, wrapped=True).collect())
+    assert not re.search("Python|Pandas|Arrow|Exchange", scan(docs, wrapped=True)._jdf.queryExecution().toString())
+
+
 def test_every_rule_passes_its_keyword_and_the_gate():
     assert len(rules()) > 200
     for t in filter(None, TEXTS):

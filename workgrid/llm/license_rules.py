@@ -8,11 +8,31 @@ patterns run on lower-cased lines.
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 S = r"[ \t_-]+"  # between words
 B, E = r"(?<![a-z0-9])", r"(?![a-z0-9])"  # word borders
 V = r",?[ \t]*(?:\(?v(?:ersion|er|\.)?[ \t.]*)?"  # before a version number
+O = r"(?:[ \t]*)"  # before a year
+
+# The same where a notice goes on in the next line, after that line's comment marks; a version
+# in the next line needs its word, as a list's number may stand there.
+_NEXT = r"\r?\n[ \t#*/;%!>|-]*"
+_WRAP = {
+    V: rf"(?:,?[ \t]*(?:{_NEXT})?\(?v(?:ersion|er|\.)?[ \t.]*(?:{_NEXT})?|{V})",
+    S: rf"(?:[ \t_-]+(?:{_NEXT})?|{_NEXT})",
+    r"[ \t]+": rf"(?:[ \t]+(?:{_NEXT})?|{_NEXT})",
+    O: rf"(?:[ \t]*(?:{_NEXT})?)",
+}
+
+
+def over_lines(pattern: str) -> str:
+    """A pattern of one line as a pattern of a text in which a match may go on over line ends, but not over an empty line."""
+    pattern = re.sub("|".join(map(re.escape, _WRAP)), lambda m: _WRAP[m[0]], pattern)
+    if pattern.startswith("^"):
+        pattern = r"(?:^|(?<=\n))" + pattern.removeprefix("^").removesuffix("$") + r"(?=\r?\n|$)"
+    return pattern
 
 
 class Family(NamedTuple):

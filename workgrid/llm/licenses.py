@@ -1,8 +1,8 @@
 """Licence scan: ordered signature rules, keyword prefilter, containment suppression, in DataFrame functions only.
 
 A text is looked at closely only if one pass of a cheap expression finds a
-keyword. In such a text every line runs the rules whose keyword it holds; a
-rule gives the spans of its matches. Of nested spans only the first in rank
+keyword. In such a text every line (or paragraph, where notices may be
+wrapped) runs the rules whose keyword it holds; a rule gives the spans of its matches. Of nested spans only the first in rank
 stays: higher priority, then the longer span, then the earlier rule. The
 base detections are phrases of consecutive words over the whole text and are
 never suppressed.
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from workgrid.llm.common import ASCII_LOWER, ASCII_UPPER
-from workgrid.llm.license_rules import rules
+from workgrid.llm.license_rules import over_lines, rules
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -42,6 +42,11 @@ _GATE = (
 )
 
 
+_GATE_OVER_LINES = over_lines(_GATE)
+#: Between paragraphs: lines with nothing but blanks and comment marks, which no match goes over.
+_PARAGRAPH = r"\n(?:[ \t\r#*/;%!>|-]*\n)+"
+
+
 def _spans(line: Column, r: Column) -> Column:
     """Matches of rule ``r`` in ``line`` as structs of position and rank."""
     found = F.regexp_extract_all(line, r["pattern"], F.lit(0))
@@ -68,31 +73,53 @@ def _kept(spans: Column) -> Column:
     return F.filter(spans, lambda d: ~F.exists(spans, lambda e: (e < d) & nested(e, d)))
 
 
-def detections(low: Column) -> Column:
-    """Surviving detections of a lower-cased text: array of (priority, label)."""
+def _kept_by_place(spans: Column) -> Column:
+    """As :func:`_kept`, comparing only spans that are tied by overlaps: for many spans."""
+    placed = F.array_sort(F.transform(spans, lambda d: F.struct(d["begin"].alias("begin"), d["end"].alias("end"), d.alias("d"))))
+    none = F.slice(spans, 1, 0)
+
+    def turn(s: Column, x: Column) -> Column:
+        apart = x["begin"] >= s["reach"]
+        here = F.array(x["d"])
+        return F.struct(
+            F.when(apart, F.concat(s["kept"], _kept(s["tied"]))).otherwise(s["kept"]).alias("kept"),
+            F.when(apart, here).otherwise(F.concat(s["tied"], here)).alias("tied"),
+            F.greatest(s["reach"], x["end"]).alias("reach"),
+        )
+
+    start = F.struct(none.alias("kept"), none.alias("tied"), F.lit(0).alias("reach"))
+    return F.aggregate(placed, start, turn, lambda s: F.concat(s["kept"], _kept(s["tied"])))
+
+
+def detections(low: Column, wrapped: bool = False) -> Column:
+    """Surviving detections of a lower-cased text: array of (priority, label).
+
+    Rules run on single lines, or (``wrapped``) on paragraphs, in which a match may go on over line ends.
+    """
     table = F.array(
         *(
             F.struct(
                 F.lit(r.number).alias("number"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
-                F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"),
+                F.lit(r.keyword).alias("keyword"), F.lit(over_lines(r.pattern) if wrapped else r.pattern).alias("pattern"),
             )
             for r in rules()
         )
     )
     known = F.array(*(F.lit(k) for k in keywords()))
-    lines = F.filter(F.split(low, "\n", -1), lambda x: x.rlike(_GATE))
+    parts = F.split(low, _PARAGRAPH if wrapped else "\n", -1)
+    lines = F.filter(parts, lambda x: x.rlike(_GATE_OVER_LINES if wrapped else _GATE))
 
     def of_line(line: Column) -> Column:
         present = F.filter(known, lambda k: line.contains(k))
         chosen = F.get(F.transform(F.array(present), lambda p: F.filter(table, lambda r: F.array_contains(p, r["keyword"]))), 0)
         spans = F.flatten(F.transform(chosen, lambda r: _spans(line, r)))
-        return F.get(F.transform(F.array(spans), _kept), 0)
+        return F.get(F.transform(F.array(spans), _kept_by_place if wrapped else _kept), 0)
 
     found = F.flatten(F.transform(lines, of_line))
     return F.transform(found, lambda d: F.struct((-d["priority"]).alias("priority"), d["label"].alias("label")))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, wrapped: bool = False) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``:
     ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_detections``.
 
@@ -101,6 +128,7 @@ def scan(docs: DataFrame) -> DataFrame:
       largest first word (from 0), null without one;
     * labels are distinct, sorted and comma-joined, empty without one;
     * ``score``: the largest priority / 100 of the detections, at least 0.5 with a base phrase, else 0;
+    * with ``wrapped`` a notice may go on over line ends (see :func:`detections`), else it stands in one line;
     * rows are independent (repeated rows, null ids); an empty table gives an empty result; other columns are ignored.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -108,7 +136,7 @@ def scan(docs: DataFrame) -> DataFrame:
     gated = docs.select(
         "doc_id",
         F.regexp_count(text, F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"),
-        F.when(text.rlike(_GATE), low).alias("_low"),
+        F.when(text.rlike(_GATE_OVER_LINES if wrapped else _GATE), low).alias("_low"),
     )
     words = gated.withColumn("_words", F.when(F.col("_low").isNotNull(), F.regexp_extract_all("_low", F.lit(WORD), F.lit(0))))
 
@@ -129,7 +157,7 @@ def scan(docs: DataFrame) -> DataFrame:
     marked = words.select(
         "doc_id", "n_words",
         F.when(hit, F.array(*(places(p) for p, _ in BASE))).alias("_base"),
-        F.when(hit, detections(F.col("_low"))).alias("_found"),
+        F.when(hit, detections(F.col("_low"), wrapped)).alias("_found"),
     )
     every = F.flatten("_base")
     base = F.array_sort(F.array_compact(F.array(*(F.when(F.size(F.get("_base", i)) > 0, F.lit(label)) for i, (_, label) in enumerate(BASE)))))

@@ -78,7 +78,7 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from workgrid.llm.licenses import scan
 
-    return scan(read_table(spark, sf_dir, "documents"))
+    return scan(read_table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
