@@ -75,6 +75,15 @@ def test_wrapped_scan_of_unwrapped_texts(spark):
     assert not re.search("Python|Pandas|Arrow|Exchange", scan(docs, wrapped=True)._jdf.queryExecution().toString())
 
 
+def test_copyright_signs(spark):
+    rows = list(enumerate(["(c) 2020 x", "© 2020 x", "x (C) 1999 y © 2001", "Copyright © 2020, (c) 2021", "(c) x"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score, r.n_detections) for r in scan(docs).collect()}
+    found = ("copyright", 0.6)
+    assert got == {0: (*found, 1), 1: (*found, 1), 2: (*found, 2), 3: (*found, 2), 4: ("", 0.0, 0)}
+    check(rows, docs, scan(docs, wrapped=True).collect())
+
+
 def test_every_rule_passes_its_keyword_and_the_gate():
     assert len(rules()) > 200
     for t in filter(None, TEXTS):

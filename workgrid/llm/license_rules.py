@@ -38,7 +38,7 @@ def over_lines(pattern: str) -> str:
 class Family(NamedTuple):
     label: str
     keyword: str  # stands in every match of the name
-    tag: str  # identifiers after "SPDX-License-Identifier:"
+    tag: str  # identifiers after "SPDX-License-Identifier:", empty without one
     name: str
     address: str = ""
 
@@ -115,7 +115,9 @@ FAMILIES = (
     Family("ruby", "ruby", r"ruby", rf"{B}ruby{S}licen[sc]e"),
     Family("public-domain", "public", r"public-domain", rf"(?:in|into|to){S}the{S}public{S}domain|public{S}domain{S}(?:work|dedication)"),
     Family("proprietary", "rights", r"licenseref-proprietary", rf"all{S}rights{S}reserved"),
-    Family("copyright", "copyright", r"licenseref-copyright", r"(?:copyright|\(c\)|©)[ \t]*(?:\(c\)|©)?[ \t]*(?:19|20)[0-9]{2}"),
+    Family("copyright", "copyright", r"licenseref-copyright", rf"copyright{O}(?:\(c\)|©)?{O}(?:19|20)[0-9]{{2}}"),
+    Family("copyright", "(c)", "", rf"\(c\){O}(?:\(c\)|©)?{O}(?:19|20)[0-9]{{2}}"),
+    Family("copyright", "©", "", rf"©{O}(?:\(c\)|©)?{O}(?:19|20)[0-9]{{2}}"),
     Family("redistribution", "redistribut", r"licenseref-redistribution", rf"redistribution{S}and{S}use{S}in{S}source{S}and{S}binary{S}forms"),
     Family("permission", "permission", r"licenseref-permission", rf"permission{S}is{S}hereby{S}granted,?[ \t]+free{S}of{S}charge"),
     Family("no-warranty", "warrant", r"licenseref-no-warranty", rf"provided[ \t]+[\"']?as{S}is[\"']?,?[ \t]+without{S}warrant(?:y|ies)"),
@@ -140,7 +142,7 @@ def rules() -> list[Rule]:
     def add(label: str, form: str, keyword: str, pattern: str) -> None:
         out.append(Rule(len(out), label, PRIORITY[form], keyword, pattern))
 
-    for f in FAMILIES:
+    for f in filter(lambda f: f.tag, FAMILIES):
         add(f.label, "tag", "spdx-license-identifier", rf"spdx-license-identifier:?[ \t]*{f.tag}(?![a-z0-9.+-])")
     for f in FAMILIES:
         if f.address:
