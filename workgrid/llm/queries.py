@@ -108,8 +108,6 @@ def llm_oracle_sql() -> dict[str, str]:
 
     return {
         "op5_line_dedup": line_dedup.ORACLE,
-        "op6_topk": op6_topk,
-        "op7_licenses": op7_licenses,
         "op6_topk": topk.ORACLE,
         "op8_decontamination": decontaminate.ORACLE,
     }
