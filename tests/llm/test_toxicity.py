@@ -35,6 +35,17 @@ def test_kernel_matches_explicit_features():
             assert got[i, j] == pytest.approx(brute_kernel(u, v), abs=1e-9)
 
 
+def test_letters_and_symbols_of_other_scripts():
+    got = K.kernel(["дурак", "дурAк", "солнце", "i\u2022d\u200bi\u2013o\U0001f600t", "愚か者だ"], ["дурак", "idiot", "i-d-i-o-t", "愚か者だ"])
+    assert got[0, 0] == pytest.approx(1) and got[1, 0] < 0.9 and got[2, 0] < 0.5  # words of one length or script differ
+    assert got[3, 2] == pytest.approx(1) and got[3, 1] > 0.3  # symbols are gaps
+    assert got[4, 3] == pytest.approx(1) and got[4, 0] < 0.5
+    every = "".join(map(chr, [0x250, 0x2028, 0x3B1, 0xD800, 0xFFFF, 0x1F600, 0x10FFFF]))
+    assert K.encode([every], len(every))[0].tolist() == [K._code(ord(c)) for c in every]
+    model = T._fit_svm([("\x02дурак", 3.0)], ["\x02" + w for w in ("весна", "книга", "город", "домик", "школа")])
+    assert model.margins(["\x02дурак"])[0] > 0 > model.margins(["\x02весна", "\x02город"]).max()
+
+
 def test_collapsed_decision_equals_kernel_expansion():
     rng = np.random.default_rng(0)
     words = ["\x02" + "".join(rng.choice(list("abcdeorst"), 6)) for _ in range(300)]

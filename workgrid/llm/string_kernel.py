@@ -21,20 +21,25 @@ WIDTH = 17
 STRIDE = 8
 DECAY = 0.8
 START = "\x02"
-OTHER, FIRST, GAP, CODES = 26, 27, 28, 29
+# Codes: a-z, hashed letters of other scripts, the start mark, a gap.
+OTHER, HASHED = 26, 16
+FIRST, GAP, CODES = OTHER + HASHED, OTHER + HASHED + 1, OTHER + HASHED + 2
 
 
 def _code(point: int) -> int:
-    """Code of a character: its unaccented letter a-z, another letter, the start mark, or a gap."""
+    """Code of a character: its unaccented letter a-z, one of ``HASHED`` codes of other letters, the start mark, or a gap."""
     base = unicodedata.normalize("NFKD", chr(point))[0].lower()
     if "a" <= base <= "z":
         return ord(base) - ord("a")
     if chr(point) == START:
         return FIRST
-    return OTHER if base.isalpha() else GAP
+    return OTHER + ord(base) * 2654435761 % 2**32 * HASHED // 2**32 if base.isalpha() else GAP
 
 
-_LATIN = np.array([_code(p) for p in range(0x250)], np.uint8)
+@cache
+def _table() -> np.ndarray:
+    """Codes of all code points; a lone surrogate is a gap."""
+    return np.fromiter((_code(p) for p in range(0x110000)), np.uint8, 0x110000)
 
 
 @cache
@@ -44,9 +49,9 @@ def _triples(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def encode(units: list[str], n: int) -> np.ndarray:
-    """Codes of units of length ``n``: see :func:`_code`; characters beyond Latin are other letters."""
+    """Codes of units of length ``n``: see :func:`_code`."""
     points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, n)
-    return np.where(points < _LATIN.size, _LATIN[np.minimum(points, _LATIN.size - 1)], OTHER).astype(np.int64)
+    return _table()[points].astype(np.int64)
 
 
 def by_length(units: list[str]) -> dict[int, np.ndarray]:
@@ -119,4 +124,7 @@ def features(unit: str) -> np.ndarray:
 
 def kernel(units: list[str], landmarks: list[str]) -> np.ndarray:
     """The kernel of every unit with every landmark."""
-    return weighted_sums(units, np.stack([features(x).reshape(-1) for x in landmarks], axis=1))
+    table = np.empty((CODES**3, len(landmarks)))
+    for i, x in enumerate(landmarks):
+        table[:, i] = features(x).reshape(-1)
+    return weighted_sums(units, table)
