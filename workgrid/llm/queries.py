@@ -88,10 +88,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs, PII_KEY)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from workgrid.llm.whitening import whiten
+
+    return whiten(spark, read_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op10_pii": op10_pii,
+        "op12_whitening": op12_whitening,
         "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
         "op4_bpe": op4_bpe,
