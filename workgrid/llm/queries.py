@@ -88,6 +88,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(docs, PII_KEY)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from workgrid.llm.hard_negatives import mine
+
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(spark, rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -100,6 +110,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op10_pii": op10_pii,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_whitening": op12_whitening,
         "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
@@ -113,9 +124,10 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    from workgrid.llm import decontaminate, line_dedup, topk
+    from workgrid.llm import decontaminate, hard_negatives, line_dedup, topk
 
     return {
+        "op11_hard_negatives": hard_negatives.ORACLE,
         "op5_line_dedup": line_dedup.ORACLE,
         "op6_topk": topk.ORACLE,
         "op8_decontamination": decontaminate.ORACLE,
