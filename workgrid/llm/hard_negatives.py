@@ -257,9 +257,9 @@ def _merge(keys: list[str], k: int):
     return run
 
 
-def best_per_key(short: DataFrame, keys: list[str], k: int) -> DataFrame:
+def best_per_key(short: DataFrame, keys: list[str], k: int, score: str = "long") -> DataFrame:
     """``(keys, rank, id, score)``: the ``k`` best entries of every key; a key has few entries per group of rows."""
-    schema = ", ".join(f"{c} long" for c in keys) + ", rank int, id long, score long"
+    schema = ", ".join(f"{c} long" for c in keys) + f", rank int, id long, score {score}"
     return short.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merge(keys, k), schema)
 
 

@@ -106,12 +106,21 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(spark, read_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op13_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from workgrid.llm.one_bit_search import nearest_neighbours
+
+    return nearest_neighbours(spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_toxicity": op1_toxicity,
         "op10_pii": op10_pii,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_whitening": op12_whitening,
+        "op13_one_bit_search": op13_one_bit_search,
         "op2_token_files": op2_token_files,
         "op3_quality": op3_quality,
         "op4_bpe": op4_bpe,
