@@ -104,3 +104,29 @@ def test_whole_table_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     check(rows, docs, scan(docs).collect())
     assert any(brute(t)[1] for _, t in rows)
+
+
+def test_very_long_texts(spark):
+    """Runs of blank lines and blanks, and a megabyte of notices: the sweep is linear and no pattern recurses."""
+    n = 60_000
+    chain = "bsd 3 clause bsd 4 clause licensed under the gnu general public license version 3 mit licensed under mit license "
+    texts = {
+        "mit license" + "\n" * 1_000_000 + "x": ("mit", 1), "apache license" + "\n# \n\t*" * 200_000 + "x": ("apache", 1),
+        "mit license" + " " * 1_000_000 + "x": ("mit", 1), "mit" + " " * 500_000 + "license": ("mit", 1),
+        " " * 1_000_000 + "isc license" + "-" * 500_000: ("isc", 1),
+        "mit license " * n: ("mit", n), chain * 2000: ("bsd-3-clause,bsd-4-clause,gpl,gpl-3.0,mit", 10_000),
+    }
+    docs = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "doc_id long, text string, labels string")
+    for wrapped in (False, True):
+        got = {r.doc_id: (r.labels, r.n_detections) for r in scan(docs, wrapped=wrapped).collect()}
+        assert got == dict(enumerate(texts.values()))
+
+
+def test_many_notices_in_a_line_against_brute_force(spark):
+    rng = __import__("random").Random(7)
+    words = ["bsd 3 clause", "4 clause bsd", "mit licensed under", "mit license", "the", "licensed under the", "gnu general public license",
+             "version 3", "cc by nc sa 4.0", "creative commons attribution share alike", "public domain dedication and license", "x"]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(n))) for i, n in enumerate([1, 5, 127, 128, 129, 400])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(rows, docs, scan(docs).collect())
+    check(rows, docs, scan(docs, wrapped=True).collect())

@@ -44,27 +44,54 @@ _GATE = (
 
 _GATE_OVER_LINES = over_lines(_GATE)
 #: Between paragraphs: lines with nothing but blanks and comment marks, which no match goes over.
-_PARAGRAPH = r"\n(?:[ \t\r#*/;%!>|-]*\n)+"
+#: Possessive, so that a run of any length is one loop and not one call per line.
+_PARAGRAPH = r"\n(?:[ \t\r#*/;%!>|-]*+\n)++"
+#: Items of a block of a running total: a fold copies its state at every step, so that state is kept short.
+_STEP = 128
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(items: Column, value, combine) -> Column:
+    """For every item the combined values (whole numbers from 0) of all items before it."""
+    zero, none = F.lit(0), F.array().cast("array<int>")
+    part = lambda b: F.slice(items, b * _STEP + 1, F.lit(_STEP))
+
+    def listed(values: Column, start: Column, of) -> Column:
+        state = F.struct(start.alias("at"), none.alias("out"))
+        step = lambda s, x: F.struct(combine(s["at"], of(x)).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+        return F.aggregate(values, state, step, lambda s: s["out"])
+
+    blocks = F.sequence(zero, F.greatest(F.floor((F.size(items) - 1) / _STEP), zero).cast("int"))
+    totals = F.transform(blocks, lambda b: F.aggregate(part(b), zero, lambda a, x: combine(a, value(x))))
+    starts = listed(totals, zero, lambda t: t)
+    return F.flatten(F.transform(starts, lambda start, b: listed(part(b), start, value)))
 
 
 def _spans(line: Column, r: Column) -> Column:
-    """Matches of rule ``r`` in ``line`` as structs of position and rank."""
-    found = F.regexp_extract_all(line, r["pattern"], F.lit(0))
-    pieces = F.split(line, r["pattern"], -1)
-    total = lambda parts: F.aggregate(parts, F.lit(0), lambda a, x: a + F.length(x))
+    """Matches of rule ``r`` in ``line`` as structs of position and rank; positions are summed up from match to match."""
+    both = F.struct(F.regexp_extract_all(line, r["pattern"], F.lit(0)).alias("found"), F.split(line, r["pattern"], -1).alias("pieces"))
+    sizes = _let(both, lambda x: F.transform(
+        x["found"], lambda m, i: F.struct(F.length(F.get(x["pieces"], i)).alias("skip"), F.length(m).alias("size"))))
 
-    def span(m: Column, i: Column) -> Column:
-        begin = total(F.slice(pieces, F.lit(1), i + 1)) + total(F.slice(found, F.lit(1), i))
+    def span(begin: Column, size: Column) -> Column:
         return F.struct(
             (-r["priority"]).alias("priority"),
-            (-F.length(m)).alias("size"),
+            (-size).alias("size"),
             r["number"].alias("number"),
             begin.alias("begin"),
-            (begin + F.length(m)).alias("end"),
+            (begin + size).alias("end"),
             r["label"].alias("label"),
         )
 
-    return F.transform(found, span)
+    def placed(sizes: Column) -> Column:
+        before = _running(sizes, lambda m: m["skip"] + m["size"], lambda a, b: a + b)
+        return _let(before, lambda at: F.transform(sizes, lambda m, i: span(F.get(at, i) + m["skip"], m["size"])))
+
+    return _let(sizes, placed)
 
 
 def _kept(spans: Column) -> Column:
@@ -74,21 +101,22 @@ def _kept(spans: Column) -> Column:
 
 
 def _kept_by_place(spans: Column) -> Column:
-    """As :func:`_kept`, comparing only spans that are tied by overlaps: for many spans."""
+    """As :func:`_kept`, comparing only spans that are tied by overlaps: in order of place, a span that begins where
+    all before it have ended starts a new group."""
     placed = F.array_sort(F.transform(spans, lambda d: F.struct(d["begin"].alias("begin"), d["end"].alias("end"), d.alias("d"))))
-    none = F.slice(spans, 1, 0)
 
-    def turn(s: Column, x: Column) -> Column:
-        apart = x["begin"] >= s["reach"]
-        here = F.array(x["d"])
-        return F.struct(
-            F.when(apart, F.concat(s["kept"], _kept(s["tied"]))).otherwise(s["kept"]).alias("kept"),
-            F.when(apart, here).otherwise(F.concat(s["tied"], here)).alias("tied"),
-            F.greatest(s["reach"], x["end"]).alias("reach"),
-        )
+    def groups(placed: Column) -> Column:
+        reach = _running(placed, lambda x: x["end"], F.greatest)
+        first = _let(reach, lambda far: F.transform(placed, lambda x, i: F.when(x["begin"] >= F.get(far, i), i)))
+
+        def of(start: Column, end: Column) -> Column:
+            own = F.transform(F.slice(placed, start + 1, end - start), lambda x: x["d"])
+            return _let(own, lambda some: F.when(F.size(some) > 1, _kept(some)).otherwise(some))
+
+        return _let(F.array_compact(first), lambda starts: F.flatten(
+            F.transform(starts, lambda s, k: of(s, F.coalesce(F.get(starts, k + 1), F.size(placed))))))
 
-    start = F.struct(none.alias("kept"), none.alias("tied"), F.lit(0).alias("reach"))
-    return F.aggregate(placed, start, turn, lambda s: F.concat(s["kept"], _kept(s["tied"])))
+    return _let(placed, groups)
 
 
 def detections(low: Column, wrapped: bool = False) -> Column:
@@ -111,9 +139,9 @@ def detections(low: Column, wrapped: bool = False) -> Column:
 
     def of_line(line: Column) -> Column:
         present = F.filter(known, lambda k: line.contains(k))
-        chosen = F.get(F.transform(F.array(present), lambda p: F.filter(table, lambda r: F.array_contains(p, r["keyword"]))), 0)
+        chosen = _let(present, lambda p: F.filter(table, lambda r: F.array_contains(p, r["keyword"])))
         spans = F.flatten(F.transform(chosen, lambda r: _spans(line, r)))
-        return F.get(F.transform(F.array(spans), _kept_by_place if wrapped else _kept), 0)
+        return _let(spans, _kept_by_place)
 
     found = F.flatten(F.transform(lines, of_line))
     return F.transform(found, lambda d: F.struct((-d["priority"]).alias("priority"), d["label"].alias("label")))
