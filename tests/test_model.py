@@ -116,13 +116,15 @@ def test_plans_have_no_cross_products(model, name):
 
 
 def test_task_days_are_not_shuffled(spark, params):
-    """Day counts have no row per task-day; allocation explodes after its last shuffle."""
+    """Day counts have no row per task-day; allocation explodes after its last shuffle; leave shuffles changes, not days."""
     m = GoldModel(spark, FixtureTables(spark, SF0001, params), params, cut_lineage=True)
-    m.leave_status(), m.task_base(), m.job_task_staff()
+    m.leave_status(), m.task_base(), m.person_days(), m.job_task_staff()
     counts = _plan(m.calendar_counts())
-    assert "Generate" not in counts
+    assert "Generate" not in counts and counts.count("_pd_days") > 0
     m.recorded_task_hours()
     m.cut_lineage = False
     plan = _plan(m.allocation_by_day())
     top = plan[: plan.index("Generate")]
     assert "Exchange hashpartitioning" not in top
+    leave = _plan(GoldModel(spark, FixtureTables(spark, SF0001, params), params).leave_status())
+    assert "Exchange" not in leave[: leave.index("Generate explode(sequence")]

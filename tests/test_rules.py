@@ -139,16 +139,66 @@ def test_weekday_mask_is_exists_and_arrays_take_first_row(spark):
     assert work[0] is None and factor[0] is None
 
 
-def test_month_map_keeps_calendar_months_and_first_row(spark):
-    from workgrid.operators.staff_lookups import at_key, month_map
+def test_month_array_keeps_calendar_months_and_first_row(spark):
+    from workgrid.operators.staff_lookups import day_list, month_array
 
     df = spark.createDataFrame(
         [("a", date(2024, 1, 1), 0.5), ("a", date(2024, 1, 1), 0.25), ("a", date(2023, 6, 1), 9.0),
-         ("a", None, 1.0), ("a", date(2024, 2, 15), 2.0)],
+         ("a", None, 1.0), ("a", date(2024, 2, 15), 2.0), ("b", date(2024, 3, 1), 4.0), ("c", date(2024, 2, 2), 5.0)],
         "staffname string, month date, f double",
     )
-    m = month_map(df, "staffname", "month", ["f"], date(2024, 1, 10), date(2024, 3, 31), "_m")
-    row = m.first()
-    assert {k: v.f for k, v in row._m.items()} == {date(2024, 1, 1): 0.25, date(2024, 2, 15): 2.0}
-    got = m.select(at_key("_m", F.lit(date(2024, 3, 1))).alias("x")).first().x
-    assert got is None
+    lo, hi = date(2024, 1, 10), date(2024, 3, 31)
+    months = {r._mm_staff: [x and x.f for x in r._m] for r in month_array(df, "staffname", "month", ["f"], lo, hi, "_m").collect()}
+    assert months == {"a": [0.25, None, None], "b": [None, None, 4.0]}
+    days = {r._mm_staff: [(x.i, x.x.f) for x in r._d] for r in day_list(df, "staffname", "month", ["f"], lo, hi, "_d").collect()}
+    assert days == {"a": [(36, 2.0)], "b": [(51, 4.0)], "c": [(23, 5.0)]}
+
+
+def test_spread_merges_sorted_elements_with_the_window(spark):
+    from workgrid.operators.sparse import inside, spread
+
+    rows = [(1, [(2, 20), (3, 30), (7, 70)], 1, 7), (2, [(2, 20)], 3, 4), (3, None, 0, 2), (4, [], 5, 5), (5, [(0, 1)], 0, 0),
+            (6, [(1, 10), (9, 90)], 2, 8), (7, [(1, 10)], 3, 2)]
+    df = spark.createDataFrame(rows, "id int, s array<struct<i:int,v:int>>, a int, b int")
+    own = inside(F.col("s"), F.col("a"), F.col("b"))
+    out = spread(own, F.col("a"), F.col("b"), lambda x: F.struct(x["i"].alias("i"), x["v"].alias("v")),
+                 lambda i: F.struct(i.alias("i"), F.lit(None).cast("int").alias("v")))
+    got = {r.id: r.x and [tuple(y) for y in r.x] for r in df.select("id", out.alias("x")).collect()}
+    for k, s, a, b in rows:
+        held = dict(s or [])
+        assert got[k] == ([(i, held.get(i)) for i in range(a, b + 1)] if b >= a else None), k
+
+
+def test_person_days_counts_by_plain_loops(spark):
+    """Running counts against loops: holidays, working weekdays, full and partial leave, a person without a sheet."""
+    from workgrid.operators import person_days as P
+
+    p = Params(as_of=date(2024, 1, 31), calendar_start=date(2024, 1, 1), calendar_months_ahead=1)
+    n, days = p.calendar_days, [p.calendar_start + timedelta(i) for i in range(p.calendar_days)]
+    cal = spark.createDataFrame([(d, d.day == 9, d.weekday() >= 5, d.isoweekday() % 7 + 1) for d in days],
+                                "date date, public_holiday boolean, weekend boolean, weekday int")
+    sheet = [("a", k, True) for k in (2, 3, 5)] + [("a", 3, False), ("b", 2, False), ("b", 6, True)]
+    leave = [("a", date(2024, 1, 8), True, False, 0.0), ("a", date(2024, 1, 10), False, True, 2.5), ("a", date(2024, 1, 11), True, True, 1.0),
+             ("a", date(2024, 1, 16), False, True, 3.0), ("c", date(2024, 1, 2), False, True, 4.0), (None, date(2024, 1, 2), True, False, 0.0)]
+    table = P.person_days(cal, spark.createDataFrame(sheet, "staffname string, day_of_week int, working_day boolean"),
+                          spark.createDataFrame(leave, "staff_name string, date date, is_full_day boolean, has_partial_leave boolean, "
+                                                       "partial_leave_hrs_per_day double"), p)
+    works = {"a": {2, 3, 5}, "b": {6}, "c": set()}
+    at = {(s, d): (f, h, hrs) for s, d, f, h, hrs in leave}
+    wins = [(0, n - 1), (7, 7), (5, 20), (9, 9), (3, 2), (20, n - 1)]
+    cols = [c for a, b in wins for c in (P.plain_days(F.lit(a), F.lit(b)), P.partial_days(F.lit(a), F.lit(b)), P.partial_hours(F.lit(a), F.lit(b)))]
+    got = {r[0]: r[1:] for r in table.select("_pd_staff", *cols).collect()}
+    codes = {r[0]: r[1] for r in table.select("_pd_staff", F.transform("_pd_days", lambda x, i: P.leave_code(i))).collect()}
+    assert set(got) == {"a", "b", "c"}
+    for s in got:
+        want = []
+        for a, b in wins:
+            plain = part = 0
+            hrs = 0.0
+            for d in days[a : b + 1]:
+                full, some, h = at.get((s, d), (False, False, 0.0))
+                if d.weekday() < 5 and d.day != 9 and d.isoweekday() % 7 + 1 in works[s] and not full:
+                    plain, part, hrs = plain + (not some), part + some, hrs + (h if some else 0.0)
+            want += [plain, part, hrs]
+        assert list(got[s]) == want, s
+        assert codes[s] == [at.get((s, d), (0, 0, 0))[1] + 2 * at.get((s, d), (0, 0, 0))[0] for d in days]

@@ -1,79 +1,91 @@
-"""Per-person day arrays over the calendar, joined once per task.
+"""Per-person day arrays over the calendar with running counts, joined once per task.
 
-A person's calendar is folded into arrays with one element per calendar day,
-so their size is fixed by the date range. A task joins its person's arrays
-once and reads its window as a slice: no task-day row is shuffled to learn
-whether a day is workable or has leave.
+One row per person and calendar day meets the leave rows once, on (staff, day).
+Running sums in day order then count the person's work days without leave and
+with partial leave up to every day, and fold into one array per person, whose
+length is the number of calendar days. A task joins its person's array once;
+a count over its window is the difference of two elements.
+
+An element packs the day's position, the two counts and the day's leave code
+into a long, so sorting the array puts it in day order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Params
 from .staff_lookups import working_weekday_mask
 
-NOT_WORKABLE, WORK_DAY, PARTIAL_LEAVE = 0, 1, 2
-
+#: Leave codes of a day: bits for partial and for full-day leave.
+PARTIAL, FULL = 1, 2
+_CODE_BITS, _COUNT_BITS = 2, 20
 
-def leave_by_day(leave: DataFrame, params: Params) -> DataFrame:
-    """(``_lv_staff``, ``_lv_days``): map from the day's position in the calendar to its leave values."""
-    at = F.datediff("date", F.lit(params.calendar_start)).alias("i")
-    value = F.struct("is_full_day", "has_partial_leave", "partial_leave_hrs_per_day")
-    return leave.groupBy(F.col("staff_name").alias("_lv_staff")).agg(
-        F.map_from_entries(F.collect_list(F.struct(at, value))).alias("_lv_days")
-    )
 
+def person_days(cal: DataFrame, workable_days: DataFrame, leave: DataFrame, params: Params) -> DataFrame:
+    """(``_pd_staff``, ``_pd_days``, ``_pd_partial``) per person with a working-day sheet or leave.
 
-def _weekdays(cal: DataFrame, params: Params) -> Column:
-    """The weekday of every calendar day in order, 0 on weekends and public holidays, as a scalar subquery."""
+    ``_pd_days``: per calendar day the packed position, counts and leave code.
+    ``_pd_partial``: leave hours of the work days with partial leave, in day order.
+    A work day is a working weekday of the person that is no holiday and has
+    no full-day leave; a person without a sheet has none.
+    """
+    at = F.datediff("date", F.lit(params.calendar_start)).cast("int")
+    lv = leave.where(F.col("staff_name").isNotNull()).select(
+        F.col("staff_name").alias("_lv_staff"), at.alias("_lv_i"), "is_full_day", "has_partial_leave", "partial_leave_hrs_per_day")
+    names = lv.select("_lv_staff").distinct()
+    people = working_weekday_mask(workable_days).where(F.col("_ww_staff").isNotNull()).join(
+        names, F.col("_ww_staff") == F.col("_lv_staff"), "full_outer"
+    ).select(F.coalesce("_ww_staff", "_lv_staff").alias("_pd_staff"), "_ww_mask")
     dow = F.when(F.col("weekend") | F.col("public_holiday"), F.lit(0)).otherwise(F.col("weekday").cast("int"))
-    at = F.datediff("date", F.lit(params.calendar_start))
-    return cal.agg(F.array_sort(F.collect_list(F.struct(at.alias("i"), dow.alias("dow"))))).scalar()
-
+    weekdays = cal.select(at.alias("_c_i"), dow.alias("_dow"))
+    grid = people.select("*", F.explode(F.sequence(F.lit(0), F.lit(params.calendar_days - 1))).alias("i"))
+    days = grid.join(F.broadcast(weekdays), F.col("i") == F.col("_c_i")).join(
+        lv, (F.col("_pd_staff") == F.col("_lv_staff")) & (F.col("i") == F.col("_lv_i")), "left")
+    full, part = F.coalesce("is_full_day", F.lit(False)), F.coalesce("has_partial_leave", F.lit(False))
+    works = (F.col("_dow") > 0) & F.coalesce(F.get("_ww_mask", F.greatest(F.col("_dow") - 1, F.lit(0))), F.lit(False))
+    days = days.select("_pd_staff", "i", (works & ~full).alias("_free"), part.alias("_part"),
+                       (part.cast("int") * PARTIAL + full.cast("int") * FULL).alias("_code"), "partial_leave_hrs_per_day")
+    so_far = Window.partitionBy("_pd_staff").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    count = lambda c: F.sum(c.cast("int")).over(so_far)
+    days = days.select("*", count(F.col("_free") & ~F.col("_part")).alias("_plain"), count(F.col("_free") & F.col("_part")).alias("_partly"))
+    packed = F.col("i").cast("bigint")
+    for c, bits in (("_plain", _COUNT_BITS), ("_partly", _COUNT_BITS), ("_code", _CODE_BITS)):
+        packed = F.shiftleft(packed, bits) + F.col(c)
+    hours = F.when(F.col("_free") & F.col("_part"), F.struct("i", F.col("partial_leave_hrs_per_day").alias("hours")))
+    return days.groupBy("_pd_staff").agg(
+        F.sort_array(F.collect_list(packed)).alias("_pd_days"),
+        F.transform(F.sort_array(F.collect_list(hours)), lambda x: x["hours"]).alias("_pd_partial"),
+    )
 
-def workable_day_arrays(cal: DataFrame, workable_days: DataFrame, leave: DataFrame, params: Params) -> DataFrame:
-    """(``_pd_staff``, ``_pd_codes``, ``_pd_hours``) per person with a working-day sheet.
 
-    Codes per calendar day: not workable (weekend, holiday, not a working
-    weekday, or full-day leave), a work day without leave, a work day with
-    partial leave. Hours: partial leave hours of a work day.
-    """
-    people = working_weekday_mask(workable_days).join(
-        leave_by_day(leave, params), F.col("_ww_staff") == F.col("_lv_staff"), "left"
-    )
+def leave_code(i: Column) -> Column:
+    """Leave code of the calendar day at position ``i``; NULL for a person without days."""
+    return F.get("_pd_days", i).bitwiseAND(F.lit((1 << _CODE_BITS) - 1)).cast("int")
 
-    def day(d: Column) -> Column:
-        works = (d["dow"] > 0) & F.get("_ww_mask", F.greatest(d["dow"] - 1, F.lit(0)))
-        lv = F.try_element_at("_lv_days", d["i"])
-        free = works & ~F.coalesce(lv["is_full_day"], F.lit(False))
-        part = F.coalesce(lv["has_partial_leave"], F.lit(False))
-        code = F.when(free & part, PARTIAL_LEAVE).when(free, WORK_DAY).otherwise(NOT_WORKABLE)
-        hours = F.when(free, lv["partial_leave_hrs_per_day"])
-        return F.struct(code.alias("code"), hours.alias("hours"))
 
-    held = people.withColumn("_cal", _weekdays(cal, params))
-    days = held.select(F.col("_ww_staff").alias("_pd_staff"), F.transform("_cal", day).alias("_days"))
-    return days.select("_pd_staff", F.col("_days.code").alias("_pd_codes"), F.col("_days.hours").alias("_pd_hours"))
+def _until(i: Column, shift: int) -> Column:
+    count = F.shiftright(F.get("_pd_days", F.greatest(i, F.lit(0))), shift).bitwiseAND(F.lit((1 << _COUNT_BITS) - 1))
+    return F.when(i < 0, F.lit(0).cast("bigint")).otherwise(F.coalesce(count, F.lit(0).cast("bigint")))
 
 
-def leave_code_arrays(leave: DataFrame, params: Params) -> DataFrame:
-    """(``_lc_staff``, ``_lc_codes``) per person with leave: per calendar day 1 for partial plus 2 for full-day leave."""
-    by_day = leave_by_day(leave, params)
+def _between(first: Column, last: Column, shift: int) -> Column:
+    return F.when(last >= first, _until(last, shift) - _until(first - 1, shift)).otherwise(F.lit(0).cast("bigint"))
 
-    def code(i: Column) -> Column:
-        lv = F.try_element_at("_lv_days", i)
-        return F.coalesce(lv["has_partial_leave"].cast("int") + lv["is_full_day"].cast("int") * 2, F.lit(0))
 
-    days = F.sequence(F.lit(0), F.lit(params.calendar_days - 1))
-    return by_day.select(F.col("_lv_staff").alias("_lc_staff"), F.transform(days, code).alias("_lc_codes"))
+def plain_days(first: Column, last: Column) -> Column:
+    """Work days without leave from position ``first`` to ``last``."""
+    return _between(first, last, _CODE_BITS + _COUNT_BITS)
 
 
-def window_slice(values, first: Column, last: Column) -> Column:
-    """Elements of positions ``first`` to ``last`` (from 0); empty when the window is."""
-    return F.slice(values, F.when(last >= first, first + 1).otherwise(F.lit(1)), F.greatest(last - first + 1, F.lit(0)))
+def partial_days(first: Column, last: Column) -> Column:
+    """Work days with partial leave from position ``first`` to ``last``."""
+    return _between(first, last, _CODE_BITS)
 
 
-def count_code(codes: Column, code: int) -> Column:
-    return F.size(F.filter(codes, lambda c: c == code)).cast("bigint")
+def partial_hours(first: Column, last: Column) -> Column:
+    """Leave hours of the work days with partial leave from position ``first`` to ``last``."""
+    start = _until(first - 1, _CODE_BITS).cast("int") + 1
+    hours = F.slice("_pd_partial", start, partial_days(first, last).cast("int"))
+    return F.coalesce(F.aggregate(hours, F.lit(0.0), lambda s, h: s + F.coalesce(h, F.lit(0.0))), F.lit(0.0))

@@ -2,12 +2,11 @@
 
 Working weekdays (7 per person) and monthly sheet values (at most one per
 calendar month) are folded into one row per person: an array indexed by
-weekday, or a map keyed by month start. Joined once per task (or once per
-person for the staff grid), the exploded day rows then read them with
-``try_element_at`` instead of joining on (staff, weekday) or (staff, month),
-so the large day-level data is not shuffled for these lookups. The arrays
-and maps are bounded by 7 and by the number of calendar months, never by
-the data size.
+weekday, or by month number. Joined once per task (or once per person for
+the staff grid), the days read them by position instead of joining on
+(staff, weekday) or (staff, month), so the large day-level data is not
+shuffled for these lookups. The arrays are bounded by 7 and by the number of
+calendar months, never by the data size.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .lookup import first_per_key
+from .sparse import spread
 
 WEEKDAYS = tuple(range(1, 8))  # Sunday = 1
 
@@ -42,23 +42,36 @@ def weekday_arrays(workable_days: DataFrame, payload: Sequence[str], prefix: str
     )
 
 
-def month_map(df: DataFrame, staff_col: str, month_col: str, payload: Sequence[str], lo: date, hi: date,
-              out: str) -> DataFrame:
-    """(``_mm_staff``, map month -> struct(payload)): the first sheet row per (staff, month) in [lo's month, hi]."""
-    first_month = lo.replace(day=1)
-    m = F.col(month_col).cast("date")
-    src = df.select(F.col(staff_col).alias("_mm_staff"), m.alias("_mm_month"), *payload).where(
-        F.col("_mm_month").isNotNull() & F.col("_mm_month").between(F.lit(first_month), F.lit(hi))
-    )
-    first = first_per_key(src, ["_mm_staff", "_mm_month"], list(payload))
-    return first.groupBy("_mm_staff").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("_mm_month"), F.struct(*payload)))).alias(out)
-    )
+def _sheet_rows(df: DataFrame, staff_col: str, month_col: str, payload: Sequence[str]) -> DataFrame:
+    """(``_mm_staff``, ``_mm_on``, payload): the first sheet row per (staff, date)."""
+    src = df.select(F.col(staff_col).alias("_mm_staff"), F.col(month_col).cast("date").alias("_mm_on"), *payload)
+    return first_per_key(src.where(F.col("_mm_on").isNotNull()), ["_mm_staff", "_mm_on"], list(payload))
+
+
+def month_number(on: Column, lo: date) -> Column:
+    """Number of a day's month, from 0 for the month of ``lo``."""
+    return (F.year(on) * 12 + F.month(on) - (lo.year * 12 + lo.month)).cast("int")
+
+
+def month_array(df: DataFrame, staff_col: str, month_col: str, payload: Sequence[str], lo: date, hi: date,
+                out: str) -> DataFrame:
+    """(``_mm_staff``, array of struct(payload) by month number): the sheet row dated on each month's first day, or NULL."""
+    at = month_number(F.col("_mm_on"), lo)
+    last = (hi.year - lo.year) * 12 + hi.month - lo.month
+    rows = _sheet_rows(df, staff_col, month_col, payload).where(
+        (F.dayofmonth("_mm_on") == 1) & F.col("_mm_on").between(F.lit(lo.replace(day=1)), F.lit(hi)))
+    listed = rows.groupBy("_mm_staff").agg(F.array_sort(F.collect_list(F.struct(at.alias("i"), F.struct(*payload).alias("x")))).alias("_s"))
+    empty = F.lit(None).cast(rows.select(F.struct(*payload)).schema[0].dataType)
+    return listed.select("_mm_staff", spread(F.col("_s"), F.lit(0), F.lit(last), lambda s: s["x"], lambda i: empty).alias(out))
+
+
+def day_list(df: DataFrame, staff_col: str, day_col: str, payload: Sequence[str], lo: date, hi: date, out: str) -> DataFrame:
+    """(``_mm_staff``, array of struct(i, x struct(payload)) in day order): the sheet rows by calendar position of their date."""
+    at = F.datediff("_mm_on", F.lit(lo)).alias("i")
+    rows = _sheet_rows(df, staff_col, day_col, payload).where(F.col("_mm_on").between(F.lit(lo), F.lit(hi)))
+    return rows.groupBy("_mm_staff").agg(F.array_sort(F.collect_list(F.struct(at, F.struct(*payload).alias("x")))).alias(out))
 
 
 def at_weekday(array_col: str, weekday: Column) -> Column:
     return F.try_element_at(F.col(array_col), weekday)
 
-
-def at_key(map_col: str, key: Column) -> Column:
-    return F.try_element_at(F.col(map_col), key)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..config import BILLABLE, CATEGORY_BILLABLE, JOB_COMPLETED_STATE, NOT_BILLABLE, Params
 from ..functions.rules import task_category
 from ..operators.lookup import first_per_key
-from ..operators.person_days import leave_code_arrays
+from ..operators.person_days import leave_code
 from ..operators.ranges import window_index
-from ..operators.staff_lookups import at_key, at_weekday, weekday_arrays
+from ..operators.sparse import inside, spread
+from ..operators.staff_lookups import at_weekday, weekday_arrays
 from .dims import CALENDAR_COLUMNS, first_contained_type
 
 KEY_COLUMNS = (
@@ -70,28 +71,29 @@ def recorded_task_hours(ts: DataFrame) -> DataFrame:
 
 
 def hours_by_task(task_hours: DataFrame, lo, hi) -> DataFrame:
-    """(``_th_id``, map date -> recorded hours) for the calendar's days.
+    """(``_th_id``, array of calendar position and recorded hours in day order) for the calendar's days.
 
     Recorded days per task are sparse and bounded by the calendar length, so
-    they travel with the task row and the exploded days read them by key
-    instead of joining on (task, date).
+    they travel with the task row and are merged with its window instead of
+    joining on (task, date).
     """
     th = task_hours.where(F.col("date").between(F.lit(lo), F.lit(hi)) & F.col("recorded_hrs").isNotNull())
+    at = F.datediff("date", F.lit(lo)).alias("i")
     return th.groupBy(F.col("job_task_staff_id").alias("_th_id")).agg(
-        F.map_from_entries(F.collect_list(F.struct("date", "recorded_hrs"))).alias("_th_hours")
+        F.sort_array(F.collect_list(F.struct(at, F.col("recorded_hrs").alias("hours")))).alias("_th_hours")
     )
 
 
 def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, workable_days: DataFrame,
-                      leave: DataFrame, jobs: DataFrame, task_hours: DataFrame, params: Params) -> DataFrame:
+                      person_days: DataFrame, jobs: DataFrame, task_hours: DataFrame, params: Params) -> DataFrame:
     """One row per task assignee and calendar day of its window, with the day's KPIs.
 
     Per-task lookups (task details, job state, the person's weekday flags)
     join once per task; the window is then exploded per task (narrow; output
     size = total window days, never tasks x days), the calendar is a bounded
-    broadcast, recorded hours come as a per-task map and leave status as the
-    person's per-day array, both read while the window is exploded: no
-    day row is shuffled.
+    broadcast, recorded hours come as a per-task list in day order and leave
+    status as the person's per-day array; both are merged with the window's
+    days, position by position, before it is exploded: no day row is shuffled.
     """
     lo, hi = params.calendar_start, params.calendar_end
     jt = details.select(
@@ -113,16 +115,17 @@ def allocation_by_day(keys: DataFrame, details: DataFrame, cal: DataFrame, worka
         .join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
         .join(hours_by_task(task_hours, lo, hi), F.col("_th_id") == F.col("job_task_staff_id"), "left")
     )
-    kt = kt.join(leave_code_arrays(leave, params), F.col("_lc_staff") == F.col("staff_name"), "left")
+    kt = kt.join(person_days, F.col("_pd_staff") == F.col("staff_name"), "left")
     # The window's days are put together with their leave code and recorded
     # hours before the explode, so a day row carries scalars, not arrays.
     first, last = window_index("start_date_adjusted", "due_date_adjusted", lo, hi)
 
-    def one_day(i):
-        on = F.date_add(F.lit(lo), i)
-        return F.struct(on.alias("date"), F.get("_lc_codes", i).alias("leave"), at_key("_th_hours", on).alias("hours"))
+    def one_day(i, hours):
+        return F.struct(F.date_add(F.lit(lo), i).alias("date"), leave_code(i).alias("leave"), hours.alias("hours"))
 
-    window = F.when(last >= first, F.transform(F.sequence(first, last), one_day))
+    none = F.lit(None).cast("double")
+    own = inside(F.col("_th_hours"), first, last)
+    window = spread(own, first, last, lambda x: one_day(x["i"], x["hours"]), lambda i: one_day(i, none))
     days = kt.withColumn("_day", F.explode(window)).withColumn("date", F.col("_day.date"))
     calb = F.broadcast(cal.select(*[F.col(c).alias(f"_c_{c}") for c in CALENDAR_COLUMNS]))
     df = days.join(calb, F.col("date") == F.col("_c_date"))

@@ -2,41 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import FULL_DAY_MINUTES, Params
 from ..functions.rules import is_leave_name, window_end, window_start
-from ..operators.ranges import explode_days
-from ..operators.staff_lookups import at_weekday, working_weekday_mask
-from .dims import workday_calendar
+from ..operators.ranges import window_index
+from ..operators.staff_lookups import WEEKDAYS, working_weekday_mask
 
 LEAVE_COLUMNS = ("staff_name", "date", "is_full_day", "has_partial_leave", "partial_leave_hrs_per_day")
-
-
-def with_working_mask(rows: DataFrame, workable_days: DataFrame, staff_col: str = "staff_name") -> DataFrame:
-    """Attach the person's working-weekday mask to each (task or window) row, before any explode.
-
-    The EXISTS rule: with duplicate sheet rows any TRUE counts, unlike the
-    first-row lookup used for display columns.
-    """
-    mask = working_weekday_mask(workable_days)
-    return rows.join(mask, F.col(staff_col) == F.col("_ww_staff"), "left").drop("_ww_staff")
-
-
-def keep_workable_days(days: DataFrame, cal: DataFrame, params: Params) -> DataFrame:
-    """Keep the exploded day rows that are workable for that person.
-
-    Workable = not weekend, not public holiday (inner join with the workday
-    calendar, a broadcast whose size is fixed by the date range) and a
-    working weekday in the person's mask (an array lookup, no join).
-    """
-    wcal = workday_calendar(cal).select(F.col("date").alias("_wd_date"), F.col("weekday").alias("_wd_dow"))
-    with_dow = days.join(
-        F.broadcast(wcal), F.col("date") == F.col("_wd_date")
-    )
-    works = F.coalesce(at_weekday("_ww_mask", F.col("_wd_dow")), F.lit(False))
-    return with_dow.where(works).drop("_wd_date", "_wd_dow", "_ww_mask")
+#: Type in which leave hours are added up and taken back.
+HOURS_SUM = "decimal(38,20)"
 
 
 def leave_rows(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFrame) -> DataFrame:
@@ -64,28 +40,85 @@ def leave_rows(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataF
     )
 
 
+def weekday_counts(cal: DataFrame, params: Params) -> DataFrame:
+    """(``_wc_i``, ``_wc_counts``) per calendar day: days up to it that are neither weekend nor holiday, by weekday.
+
+    Its size is fixed by the date range.
+    """
+    i = F.datediff("date", F.lit(params.calendar_start)).cast("int").alias("_wc_i")
+    days = cal.select(i, F.when(~F.col("weekend") & ~F.col("public_holiday"), F.col("weekday").cast("int")).alias("_dow"), F.lit(0).alias("_one"))
+    so_far = Window.partitionBy("_one").orderBy("_wc_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return days.select("_wc_i", F.array(*[F.count_if(F.col("_dow") == k).over(so_far) for k in WEEKDAYS]).alias("_wc_counts"))
+
+
+def with_workable_days(rows: DataFrame, workable_days: DataFrame, cal: DataFrame, params: Params) -> DataFrame:
+    """Add ``_n_workable``: days from position ``_first`` to ``_last`` that the person works, as a difference of counts.
+
+    Workable = no weekend, no public holiday, and a working weekday in the
+    person's sheet (with duplicate sheet rows any TRUE counts, unlike the
+    first-row lookup used for display columns).
+    """
+    counts = weekday_counts(cal, params)
+    before = F.broadcast(counts.select((F.col("_wc_i") + 1).alias("_at_first"), F.col("_wc_counts").alias("_before")))
+    until = F.broadcast(counts.select(F.col("_wc_i").alias("_at_last"), F.col("_wc_counts").alias("_until")))
+    joined = (
+        rows.join(working_weekday_mask(workable_days), F.col("staff_name") == F.col("_ww_staff"), "left")
+        .join(before, F.col("_first") == F.col("_at_first"), "left")
+        .join(until, F.col("_last") == F.col("_at_last"), "left")
+    )
+    zero = F.lit(0).cast("bigint")
+    total = zero
+    for k in range(len(WEEKDAYS)):
+        days = F.get("_until", F.lit(k)) - F.coalesce(F.get("_before", F.lit(k)), zero)
+        total = total + F.when(F.get("_ww_mask", F.lit(k)), days).otherwise(zero)
+    return joined.withColumn("_n_workable", total).drop(
+        "_ww_staff", "_ww_mask", "_at_first", "_at_last", "_before", "_until")
+
+
 def leave_status(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFrame, workable_days: DataFrame,
                  cal: DataFrame, params: Params) -> DataFrame:
     """Per (staff_name, date): any full-day leave, any partial leave, partial leave hours.
 
     minutes per day = allocated minutes / workable days of the leave window.
-    The workable-day count depends only on (staff, window), so it is
-    computed once per distinct window, then joined back.
+
+    A sweep over differences: every leave task adds its rate where its window
+    starts and takes it back after its end, the running sums in day order are
+    the state of the days up to the next change. What is shuffled are two rows
+    per leave task; the days are exploded after it. Hours are added up as
+    decimals, so that what is taken back is exactly what was added.
     """
     lo, hi = params.calendar_start, params.calendar_end
     rows = leave_rows(jobtask, jobtaskassignee, jobdetails)
-    wins = with_working_mask(rows.select("staff_name", "win_start", "win_end").distinct(), workable_days)
-    wdays = keep_workable_days(explode_days(wins, "win_start", "win_end", lo, hi), cal, params)
-    counts = wdays.groupBy("staff_name", "win_start", "win_end").agg(F.count(F.lit(1)).alias("_n_workable"))
-    mpd_rows = rows.join(counts, ["staff_name", "win_start", "win_end"], "left").withColumn(
+    first, last = window_index("win_start", "win_end", lo, hi)
+    windows = rows.select("staff_name", "allocated_minutes", first.alias("_first"), last.alias("_last")).where(F.col("_last") >= F.col("_first"))
+    rated = with_workable_days(windows, workable_days, cal, params).withColumn(
         "mpd", F.col("allocated_minutes").cast("double") / F.nullif(F.col("_n_workable"), F.lit(0)).cast("double")
     )
-    days = explode_days(mpd_rows.select("staff_name", "win_start", "win_end", "mpd"), "win_start", "win_end", lo, hi)
     mpd = F.col("mpd")
-    return days.groupBy("staff_name", "date").agg(
-        F.coalesce(F.bool_or(mpd == FULL_DAY_MINUTES), F.lit(False)).alias("is_full_day"),
-        F.coalesce(F.bool_or(mpd != FULL_DAY_MINUTES), F.lit(False)).alias("has_partial_leave"),
-        F.coalesce(F.sum(F.when(mpd != FULL_DAY_MINUTES, mpd / F.lit(60.0))), F.lit(0.0)).alias(
-            "partial_leave_hrs_per_day"
-        ),
+    full = F.coalesce(mpd == FULL_DAY_MINUTES, F.lit(False))
+    part = F.coalesce(mpd != FULL_DAY_MINUTES, F.lit(False))
+    hours = F.when(part, (mpd / F.lit(60.0)).cast(HOURS_SUM)).otherwise(F.lit(0).cast(HOURS_SUM))
+
+    def change(at, sign: int):
+        return F.struct(
+            at.alias("i"), F.lit(sign).alias("active"), (full.cast("int") * sign).alias("full"),
+            (part.cast("int") * sign).alias("part"), (hours * sign).cast(HOURS_SUM).alias("hours"),
+        )
+
+    changes = rated.select("staff_name", F.explode(F.array(change(F.col("_first"), 1), change(F.col("_last") + 1, -1))).alias("c"))
+    sums = [F.sum(f"c.{c}").cast(HOURS_SUM if c == "hours" else "bigint").alias(c) for c in ("active", "full", "part", "hours")]
+    by_day = changes.groupBy("staff_name", F.col("c.i").alias("i")).agg(*sums)
+    order = Window.partitionBy("staff_name").orderBy("i")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = by_day.select(
+        "staff_name", "i", F.lead("i").over(order).alias("_next"),
+        *[F.sum(c).over(so_far).alias(c) for c in ("active", "full", "part", "hours")],
+    ).where(F.col("active") > 0)
+    total = F.when(F.col("part") > 1, F.round(F.col("hours"), 12)).otherwise(F.col("hours")).cast("double")
+    days = state.select("*", F.explode(F.sequence(F.col("i"), F.col("_next") - 1)).alias("_day"))
+    return days.select(
+        "staff_name", F.date_add(F.lit(lo), F.col("_day")).alias("date"),
+        (F.col("full") > 0).alias("is_full_day"),
+        (F.col("part") > 0).alias("has_partial_leave"),
+        F.when(F.col("part") > 0, total).otherwise(F.lit(0.0)).alias("partial_leave_hrs_per_day"),
     )

@@ -20,6 +20,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import Params
+from ..operators.person_days import person_days
 from ..session import scratch_path
 from ..sinks.store import DuplicateKeyError, duplicate_keys
 from . import allocation, dims, leave, performance, tasks, timesheet
@@ -31,7 +32,7 @@ MATERIALISED = (
 
 # Intermediate results that several parts of one stage read; written too when
 # cutting lineage, so they are computed once.
-SHARED = ("type_pairs", "task_base")
+SHARED = ("type_pairs", "task_base", "person_days")
 
 # Stages whose key is checked right after writing when cutting lineage,
 # because later lookups on that key then skip deduplication. (Publishing
@@ -143,9 +144,13 @@ class GoldModel:
             self.t["jobtask"], self.t["jobtaskassignee"], self.t["jobdetails"], self.t["clientdetails"],
             self.task_name(), self.p))
 
+    def person_days(self) -> DataFrame:
+        return self._get("person_days", lambda: person_days(
+            self.calendar(), self.t["workable_days"], self.leave_status(), self.p))
+
     def calendar_counts(self) -> DataFrame:
         return self._get("calendar_counts", lambda: tasks.calendar_counts(
-            self.task_base(), self.calendar(), self.t["workable_days"], self.leave_status(), self.p))
+            self.task_base(), self.person_days(), self.p))
 
     def recorded_minutes(self) -> DataFrame:
         return self._get("recorded_minutes", lambda: tasks.recorded_minutes(
@@ -153,7 +158,7 @@ class GoldModel:
 
     def job_task_details(self) -> DataFrame:
         return self._get("job_task_details", lambda: tasks.job_task_details(
-            self.task_base(), self.calendar_counts(), tasks.minutes_by_task(self.t["time_entries"], self.p), self.p))
+            self.task_base(), self.person_days(), tasks.minutes_by_task(self.t["time_entries"], self.p), self.p))
 
     # -- timesheet -------------------------------------------------------------
     def timesheet(self) -> DataFrame:
@@ -177,7 +182,7 @@ class GoldModel:
     def allocation_by_day(self) -> DataFrame:
         return self._get("allocation_by_day", lambda: allocation.allocation_by_day(
             self.job_task_staff(), self.job_task_details(), self.calendar(), self.t["workable_days"],
-            self.leave_status(), self.job_lookup(), self.recorded_task_hours(), self.p))
+            self.person_days(), self.job_lookup(), self.recorded_task_hours(), self.p))
 
     def is_billable(self) -> DataFrame:
         return self._get("is_billable", lambda: allocation.billable_selectors(self.allocation_by_day()))

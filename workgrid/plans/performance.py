@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..config import CATEGORY_ADMIN, CATEGORY_BILLABLE, HOURS_PER_DAY, INVOICED, UN_INVOICED, Params
 from ..functions.rules import is_holiday_name, is_other_leave_name, week_of_month
 from ..operators.lookup import first_per_key
-from ..operators.staff_lookups import at_key, at_weekday, month_map, weekday_arrays
+from ..operators.sparse import spread
+from ..operators.staff_lookups import at_weekday, day_list, month_array, month_number, weekday_arrays
 from .dims import CALENDAR_COLUMNS
 
 TARGET_COLUMNS = (
@@ -97,8 +98,8 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
 
     The grid is each staff row exploded over the calendar's days (a
     generator, not a cross join; the day list is fixed by the date range).
-    Weekday and monthly sheet values arrive as per-person arrays and maps
-    joined before the explode; only the day-keyed inputs (leave status and
+    Weekday and monthly sheet values arrive as per-person arrays joined
+    before the explode; only the day-keyed inputs (leave status and
     the two per-day aggregates, reduced before the join) meet the grid in
     equi joins on (staff, date).
     """
@@ -106,13 +107,12 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
     # Per-person lookups bounded by 7 weekdays or by the calendar's months
     # join once per person, before the grid exists.
     wk = weekday_arrays(workable_days, ["working_day", "adjustment_factor"])
-    adj = month_map(staff_adjustment, "staffname", "month", ["adjustmentfactor"], lo, hi, "_adj_map")
-    tg = month_map(incentive_targets, "staff_name", "month_year", list(TARGET_COLUMNS), lo, hi, "_tg_map")
-    people = (
-        staff_dim.join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
-        .join(adj.withColumnRenamed("_mm_staff", "_adj_staff"), F.col("_adj_staff") == F.col("staff_name"), "left")
-        .join(tg.withColumnRenamed("_mm_staff", "_tg_staff"), F.col("_tg_staff") == F.col("staff_name"), "left")
-    )
+    adj = month_array(staff_adjustment, "staffname", "month", ["adjustmentfactor"], lo, hi, "_adj_months")
+    tg = month_array(incentive_targets, "staff_name", "month_year", list(TARGET_COLUMNS), lo, hi, "_tg_months")
+    td = day_list(incentive_targets, "staff_name", "month_year", list(TARGET_COLUMNS), lo, hi, "_tg_days")
+    people = staff_dim.join(wk, F.col("_wk_staff") == F.col("staff_name"), "left")
+    for sheet, key in ((adj, "_adj_staff"), (tg, "_tg_staff"), (td, "_td_staff")):
+        people = people.join(sheet.withColumnRenamed("_mm_staff", key), F.col(key) == F.col("staff_name"), "left")
     # Every person has exactly one row per calendar day, so partitioning the
     # (small) per-person rows before exploding gives evenly sized grid
     # partitions without shuffling the grid itself. The number of buckets is
@@ -120,9 +120,21 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
     # would merge with the staff aggregate's own shuffle, which AQE coalesces
     # to one partition for a small staff list, and one task would explode the grid.
     n = staff_dim.sparkSession.sparkContext.defaultParallelism * GRID_TASKS_PER_CORE
+    # A day is put together with its month's sheet rows, and with the one dated
+    # on it, before the explode: one struct per day, no search per column.
+    targets = people.select(F.get("_tg_months", F.lit(0))).schema[0].dataType
+
+    def one_day(i, dated):
+        on = F.date_add(F.lit(lo), i)
+        month = month_number(on, lo)
+        return F.struct(on.alias("date"), F.get("_adj_months", month).alias("adj"), F.get("_tg_months", month).alias("it"), dated.alias("pt"))
+
+    none = F.lit(None).cast(targets)
+    window = spread(F.col("_tg_days"), F.lit(0), F.lit(params.calendar_days - 1),
+                    lambda x: one_day(x["i"], x["x"]), lambda i: one_day(i, none))
     grid = people.repartition(n, F.xxhash64("staff_name")).select(
-        "*", F.explode(F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY"))).alias("_g_date")
-    )
+        "staff_uuid", "staff_name", "_wk_working_day", "_wk_adjustment_factor", F.explode(window).alias("_g")
+    ).withColumn("_g_date", F.col("_g.date"))
     calb = F.broadcast(cal)
     lv = leave.select(F.col("staff_name").alias("_lv_staff"), F.col("date").alias("_lv_date"), "is_full_day")
     aa = alloc_agg.withColumnRenamed("staff_name", "_aa_staff").withColumnRenamed("date", "_aa_date")
@@ -139,9 +151,9 @@ def staff_performance(staff_dim: DataFrame, cal: DataFrame, leave: DataFrame, wo
         "*",
         at_weekday("_wk_working_day", c("weekday")).alias("_wd_working"),
         at_weekday("_wk_adjustment_factor", c("weekday")).alias("_wd_factor"),
-        at_key("_adj_map", c("start_of_month"))["adjustmentfactor"].alias("adjustmentfactor"),
-        *[at_key("_tg_map", c("start_of_month"))[x].alias(f"_it_{x}") for x in TARGET_COLUMNS],
-        *[at_key("_tg_map", d)[x].alias(f"_pt_{x}") for x in TARGET_COLUMNS],
+        c("_g.adj.adjustmentfactor").alias("adjustmentfactor"),
+        *[c(f"_g.it.{x}").alias(f"_it_{x}") for x in TARGET_COLUMNS],
+        *[c(f"_g.pt.{x}").alias(f"_pt_{x}") for x in TARGET_COLUMNS],
     )
     as_of = F.lit(params.as_of)
     full = F.coalesce(c("is_full_day"), F.lit(False))

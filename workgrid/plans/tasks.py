@@ -9,14 +9,7 @@ from ..config import FULL_DAY_MINUTES, HOURS_PER_DAY, Params
 from ..functions.keys import composite_id
 from ..functions.rules import is_admin, is_leave_name, window_end, window_start
 from ..operators.lookup import left_join_sparse
-from ..operators.person_days import (
-    NOT_WORKABLE,
-    PARTIAL_LEAVE,
-    WORK_DAY,
-    count_code,
-    window_slice,
-    workable_day_arrays,
-)
+from ..operators.person_days import partial_days, partial_hours, plain_days
 from ..operators.ranges import window_index
 
 COUNT_COLUMNS = ("wdb_cnt", "tlh_hrs", "ttl_cnt", "wdl_cnt", "arwd_cnt", "rttl_cnt", "pwdl_cnt", "pttl_cnt")
@@ -63,41 +56,45 @@ def task_base(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFr
     )
 
 
-def calendar_counts(base: DataFrame, cal: DataFrame, workable_days: DataFrame, leave: DataFrame,
-                    params: Params) -> DataFrame:
-    """Eight day counts per task over its workable days, without a task-day row.
+def with_calendar_counts(base: DataFrame, person_days: DataFrame, params: Params) -> DataFrame:
+    """``base`` with eight day counts per task over its workable days, without a task-day row.
 
-    The person's day arrays (one element per calendar day) join once per
-    task; every count is a count over a slice of them: the task's window,
-    cut at the reporting date for the remaining and prior counts, and before
-    the admin cut-off for the leave-free counts of admin tasks. Persons
-    without a working-day sheet, and windows without a calendar day, give zeros.
+    The person's running counts (one element per calendar day) join once per
+    task; every count is the difference of two elements: at the ends of the
+    task's window, cut at the reporting date for the remaining and prior
+    counts, and before the admin cut-off for the leave-free counts of admin
+    tasks. Persons without a working-day sheet, and windows without a
+    calendar day, give zeros.
     """
     lo, hi = params.calendar_start, params.calendar_end
     at = lambda d: (d - lo).days
-    rows = base.select("job_task_staff_id", "staff_name", "task_name", "start_date_adjusted", "due_date_adjusted").join(
-        workable_day_arrays(cal, workable_days, leave, params), F.col("_pd_staff") == F.col("staff_name"), "left")
+    rows = base.join(person_days, F.col("_pd_staff") == F.col("staff_name"), "left")
     first, last = window_index("start_date_adjusted", "due_date_adjusted", lo, hi)
     # NULL names fall under the cut-off too, as in three-valued SQL.
     admin = F.coalesce(F.col("task_name") == params.admin_task, F.lit(True))
-    free_last = F.when(admin, F.least(last, F.lit(at(params.admin_cutoff) - 1))).otherwise(last)
-    from_as_of = F.greatest(first, F.lit(at(params.as_of)))
-    to_as_of = lambda end: F.least(end, F.lit(at(params.as_of)))
-    codes = lambda a, b: window_slice("_pd_codes", a, b)
-    hours = F.aggregate(window_slice("_pd_hours", first, last), F.lit(0.0), lambda s, h: s + F.coalesce(h, F.lit(0.0)))
+    rows = rows.select(
+        *base.columns, "_pd_days", "_pd_partial", first.alias("_first"), last.alias("_last"),
+        F.when(admin, F.least(last, F.lit(at(params.admin_cutoff) - 1))).otherwise(last).alias("_free_last"),
+    )
+    first, last, free_last, as_of = F.col("_first"), F.col("_last"), F.col("_free_last"), F.lit(at(params.as_of))
+    from_as_of = F.greatest(first, as_of)
     counts = {
-        "wdb_cnt": F.size(F.filter(codes(first, last), lambda c: c != NOT_WORKABLE)).cast("bigint"),
-        "tlh_hrs": hours,
-        "ttl_cnt": count_code(codes(first, free_last), WORK_DAY),
-        "wdl_cnt": count_code(codes(first, last), PARTIAL_LEAVE),
-        "arwd_cnt": count_code(codes(from_as_of, last), PARTIAL_LEAVE),
-        "rttl_cnt": count_code(codes(from_as_of, free_last), WORK_DAY),
-        "pwdl_cnt": count_code(codes(first, to_as_of(last)), PARTIAL_LEAVE),
-        "pttl_cnt": count_code(codes(first, to_as_of(free_last)), WORK_DAY),
+        "wdb_cnt": plain_days(first, last) + partial_days(first, last),
+        "tlh_hrs": partial_hours(first, last),
+        "ttl_cnt": plain_days(first, free_last),
+        "wdl_cnt": partial_days(first, last),
+        "arwd_cnt": partial_days(from_as_of, last),
+        "rttl_cnt": plain_days(from_as_of, free_last),
+        "pwdl_cnt": partial_days(first, F.least(last, as_of)),
+        "pttl_cnt": plain_days(first, F.least(free_last, as_of)),
     }
-    known = F.col("_pd_codes").isNotNull()
-    zero = lambda c: F.lit(0.0) if c == "tlh_hrs" else F.lit(0).cast("bigint")
-    return rows.select("job_task_staff_id", *[F.when(known, counts[c]).otherwise(zero(c)).alias(c) for c in COUNT_COLUMNS])
+    return rows.select(*base.columns, *[counts[c].alias(c) for c in COUNT_COLUMNS])
+
+
+def calendar_counts(base: DataFrame, person_days: DataFrame, params: Params) -> DataFrame:
+    """``job_task_staff_id`` and the eight day counts of every task."""
+    rows = base.select("job_task_staff_id", "staff_name", "task_name", "start_date_adjusted", "due_date_adjusted")
+    return with_calendar_counts(rows, person_days, params).select("job_task_staff_id", *COUNT_COLUMNS)
 
 
 def minutes_by_task(time_entries: DataFrame, params: Params) -> DataFrame:
@@ -129,14 +126,14 @@ def _nl(leave: Column, value: Column) -> Column:
     return F.when(~leave, value)
 
 
-def job_task_details(base: DataFrame, counts: DataFrame, minutes: DataFrame, params: Params) -> DataFrame:
+def job_task_details(base: DataFrame, person_days: DataFrame, minutes: DataFrame, params: Params) -> DataFrame:
     """The 46-column task details table.
 
     ``minutes`` is ``minutes_by_task``: it joins the task rows directly on
     their three key columns, so the task rows are shuffled once for it and
-    once for the day counts.
+    once, on the person, for the day counts.
     """
-    df = _with_minutes(base, minutes).join(counts, "job_task_staff_id", "left")
+    df = with_calendar_counts(_with_minutes(base, minutes), person_days, params)
     c = F.col
     L = c("is_task_a_leave")
     A = is_admin(c("task_name"), c("client_name"), params)
