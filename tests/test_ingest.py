@@ -234,6 +234,26 @@ def test_bi_views_have_report_names(spark):
     assert spark.table("pbi_t").columns == views["pbi_t"].columns == ["ID", "Name", "Amount (cents)"]
 
 
+def test_report_names_are_a_contract(spark, params):
+    """All six tables have exactly the contract's columns, in its order; a table that differs is refused."""
+    from workgrid.plans.model import MATERIALISED, GoldModel
+    from workgrid.sinks.publish import bi_views
+    from workgrid.sinks.report_names import REPORT_NAMES, ContractError, report_columns
+    from workgrid.sources.fixtures import FixtureTables
+
+    model = GoldModel(spark, FixtureTables(spark, "/root/testdata/sf0.001", params), params)
+    assert set(REPORT_NAMES) == set(MATERIALISED)
+    for name in MATERIALISED:
+        columns = getattr(model, name)().columns
+        assert columns == list(REPORT_NAMES[name]), name
+        assert len(set(report_columns(name, columns))) == len(columns)
+    assert report_columns("job_task_staff", list(REPORT_NAMES["job_task_staff"]), {"job_id": "Job No."})[1] == "Job No."
+    store = TableStore(spark, scratch_path(spark, "t_bi"))
+    store.publish("leave_status", spark.createDataFrame([("a", 1)], "staff_name string, other int"))
+    with pytest.raises(ContractError, match="date.*other"):
+        bi_views(store, ["leave_status"])
+
+
 def test_a_sync_writes_what_changed(spark):
     store = TableStore(spark, scratch_path(spark, "t_store"))
     table = Scd2Table(store, "t")

@@ -18,6 +18,7 @@ from .functions.keys import content_hash
 from .plans.model import CONTENT_COLUMNS, MATERIALISED
 from .session import scratch_path
 from .sinks import profile, publish
+from .sinks.report_names import REPORT_NAMES
 from .sinks.store import TableStore
 from .sources import scd2, scd2_store, sheets
 from .sources.driver import DRIVER_TABLES, read_table
@@ -181,9 +182,10 @@ def q_bi_views(spark, sf_dir):
     views = publish.bi_views(store, MATERIALISED)
     out = None
     for (view, df), name in zip(views.items(), MATERIALISED):
+        names = REPORT_NAMES[name]
         one = df.agg(
             F.lit(view).alias("view_name"), F.count(F.lit(1)).alias("row_count"),
-            content_hash([publish.display_name(c) for c in CONTENT_COLUMNS[name]]).alias("content_hash"),
+            content_hash([names[c] for c in CONTENT_COLUMNS[name]]).alias("content_hash"),
         )
         out = one if out is None else out.unionByName(one)
     return out
