@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from workgrid.config import Params
 from workgrid.plans.model import CONTENT_COLUMNS
-from workgrid.queries_ingest import SHEET_CONTENT, SYNCED_CONTENT, batch_times
+from workgrid.queries_ingest import DRIVER_KEYS, SHEET_CONTENT, SYNCED_CONTENT, batch_times
 
 from . import build
 
@@ -118,6 +118,39 @@ def _columns() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# Column types of the driver tables as Spark names them, by DuckDB's name.
+TYPE_NAMES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz",
+              "FLOAT[]": "array<float>"}
+TEXT_FORMS = {  # columns whose text form is not the plain cast
+    "cents": "cast(cast(round({c}, 6) AS DECIMAL(38, 6)) AS VARCHAR)", "time": "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')", "nested": "NULL",
+}
+FORM = {
+    **dict.fromkeys(("c_acctbal", "s_acctbal", "p_retailprice", "o_totalprice", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "value"), "cents"),
+    **dict.fromkeys(("o_orderdate", "l_shipdate", "ts"), "time"), "embedding": "nested",
+}
+
+
+def _schema() -> str:
+    kinds = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in TYPE_NAMES.items())
+    parts = []
+    for t, cols in DRIVER_COLUMNS.items():
+        key = DRIVER_KEYS[t]
+        order = ", ".join(key)
+        unique = f"(SELECT count(*) = count(DISTINCT ({order})) AND " + " AND ".join(f"count({k}) = count(*)" for k in key) + f" FROM {t})"
+        for i, c in enumerate(cols):
+            form = TEXT_FORMS.get(FORM.get(c), "cast({c} AS VARCHAR)")
+            text = lambda x: form.format(c=x)
+            nested = FORM.get(c) == "nested"
+            sample = "NULL" if nested else (f"(SELECT string_agg(coalesce({text(c)}, 'NULL'), ' | ' ORDER BY {order}) "
+                                            f"FROM (SELECT * FROM {t} ORDER BY {order} LIMIT 3))")
+            ends = ["CAST(NULL AS VARCHAR)"] * 2 if nested else [text(f"min({c})"), text(f"max({c})")]
+            parts.append(
+                f"SELECT '{t}' AS table_name, {i + 1} AS ordinal, '{c}' AS column_name, CASE typeof(any_value({c})) {kinds} END AS data_type, "
+                f"true AS nullable, {unique if c in key else 'false'} AS is_key, count(*) AS row_count, count(*) - count({c}) AS null_cells, "
+                f"{ends[0]} AS min_value, {ends[1]} AS max_value, {sample} AS sample FROM {t}")
+    return "\nUNION ALL\n".join(parts)
+
+
 STAGE_ORACLE = (
     ("leave_status", "o_leave"), ("job_task_details", "o_jtd"), ("timesheet", "o_ts"),
     ("job_task_staff", "o_jts"), ("allocation_by_day", "o_alloc"), ("staff_performance", "o_perf"),
@@ -163,4 +196,5 @@ def ingest_statements(p: Params) -> dict[str, str]:
         "bi_views": build(views, p=p),
         "table_profile": build(_profile(), p=p),
         "column_profile": _columns(),
+        "schema_profile": _schema(),
     }

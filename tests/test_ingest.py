@@ -234,6 +234,22 @@ def test_bi_views_have_report_names(spark):
     assert spark.table("pbi_t").columns == views["pbi_t"].columns == ["ID", "Name", "Amount (cents)"]
 
 
+@pytest.mark.parametrize("kind", ["string", "decimal(10,2)", "date", "bigint"])
+def test_scan_predicates_are_disjoint_and_complete(spark, kind):
+    """Every row, NULL keys too, meets exactly one condition; Spark's hash stands in for the source's."""
+    values = {"string": ["", "a", "a", "b'c", None], "decimal(10,2)": ["1.50", "-2.25", "1.50", None],
+              "date": ["2020-01-01", "1970-01-01", None], "bigint": ["-5", "0", "7", "7", "1000", None]}[kind] + [str(i) for i in range(40)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, t string").selectExpr("i", f"try_cast(t AS {kind}) AS `k y`")
+    quoted = lambda cuts: [c.replace(jdbc.identifier("k y"), "`k y`") for c in cuts]
+    cases = [jdbc.scan_predicates("k y", 5, "hash({})"), jdbc.scan_predicates(None, 5, row_hash="hash(*)")]
+    if kind == "bigint":
+        cases += [jdbc.range_predicates("k y", lo, hi, n) for lo, hi, n in ((-5, 1000, 4), (0, 0, 3), (0, 7, 100), (1, 2, 1))]
+    for cuts in map(quoted, cases):
+        found = [r.i for c in cuts for r in df.where(c).collect()]
+        assert sorted(found) == list(range(len(values))), cuts
+    assert max(df.where(c).count() for c in quoted(cases[0])) < len(values)
+
+
 def test_report_names_are_a_contract(spark, params):
     """All six tables have exactly the contract's columns, in its order; a table that differs is refused."""
     from workgrid.plans.model import MATERIALISED, GoldModel

@@ -17,7 +17,7 @@ from .config import fixture_params
 from .functions.keys import content_hash
 from .plans.model import CONTENT_COLUMNS, MATERIALISED
 from .session import scratch_path
-from .sinks import profile, publish
+from .sinks import profile, publish, schema_profile
 from .sinks.report_names import REPORT_NAMES
 from .sinks.store import TableStore
 from .sources import scd2, scd2_store, sheets
@@ -201,6 +201,22 @@ def q_column_profile(spark, sf_dir):
     return profile.column_counts({n: read_table(spark, sf_dir, n) for n in DRIVER_TABLES})
 
 
+#: Keys of the driver tables, checked for uniqueness by the profile.
+DRIVER_KEYS = {
+    "region": ("r_regionkey",), "nation": ("n_nationkey",), "customer": ("c_custkey",), "supplier": ("s_suppkey",),
+    "part": ("p_partkey",), "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"),
+    "events": ("event_id",), "documents": ("doc_id",), "embeddings": ("vec_id",), "pages": ("page_id",),
+    "benchmark": ("item_id",), "labels": ("doc_id",), "conversations": ("conv_id", "turn"),
+}
+
+
+def q_schema_profile(spark, sf_dir):
+    """Type, nullability, key, NULL cells, extremes and sample of every column of every driver table."""
+    tables = {n: read_table(spark, sf_dir, n) for n in DRIVER_TABLES}
+    return schema_profile.schema_profile(tables, DRIVER_KEYS, distinct=False)
+
+
 def ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "row_hash": q_row_hash,
@@ -217,4 +233,5 @@ def ingest_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_views": q_bi_views,
         "table_profile": q_table_profile,
         "column_profile": q_column_profile,
+        "schema_profile": q_schema_profile,
     }

@@ -1,4 +1,4 @@
-"""Table profile: columns, types, nullability, null counts, row counts, sample, file sizes.
+"""Table profile: columns, types, nullability, null counts, row counts, sample.
 
 Row and NULL counts of one table come from a single aggregate pass
 (``count`` + one ``count_if(col IS NULL)`` per column), so the profile costs
@@ -72,14 +72,3 @@ def column_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         out = rows if out is None else out.unionByName(rows)
     return out
 
-
-def file_sizes(spark: SparkSession, paths: Mapping[str, str], top: int = 20) -> DataFrame:
-    """Bytes on disk per table (file listing only, no content read), largest first."""
-    frames = []
-    for name, path in paths.items():
-        listing = spark.read.format("binaryFile").load(path).select("length")
-        frames.append(listing.agg(F.sum("length").alias("bytes")).select(F.lit(name).alias("table_name"), "bytes"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.orderBy(F.col("bytes").desc()).limit(top)

@@ -11,6 +11,7 @@ system the cluster names (the root defaults to ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
@@ -28,6 +29,14 @@ _LOG_SCHEMA = T.StructType([
     T.StructField("published_at", T.TimestampNTZType(), False),
 ])
 
+#: Parts of a version that is put together from folders of several versions.
+_PARTS_SCHEMA = T.StructType([
+    T.StructField("version", T.StringType(), False),
+    T.StructField("part", T.StringType(), True),
+    T.StructField("folder", T.StringType(), True),
+    T.StructField("schema", T.StringType(), False),
+])
+
 
 class DuplicateKeyError(ValueError):
     pass
@@ -109,10 +118,39 @@ class TableStore:
         return self.current_path(name) is not None
 
     def read(self, name: str) -> DataFrame:
-        path = self.current_path(name)
-        if path is None:
+        version = self.current_version(name)
+        if version is None:
             raise KeyError(f"table {name!r} has no published version under {self.root}")
-        return self.spark.read.parquet(path)
+        schema, folders = self.parts(name, version)
+        if schema is None:
+            return self.spark.read.parquet(self.current_path(name))
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        found = self.spark.read.schema(schema).option("basePath", f"{self.root}/{name}").parquet(*folders.values())
+        return found.select(*schema.names)
+
+    def parts(self, name: str, version: str) -> tuple[T.StructType | None, dict[str, str]]:
+        """Schema and folders by part of a version that was published in parts; (None, {}) for any other."""
+        fs, at = self._files(f"{self.root}/{name}/_parts")
+        if not fs.exists(at):
+            return None, {}
+        found = self.spark.read.schema(_PARTS_SCHEMA).parquet(f"{self.root}/{name}/_parts").where(F.col("version") == version)
+        rows = found.collect()  # one row per part
+        schema = T.StructType.fromJson(json.loads(rows[0]["schema"])) if rows else None
+        return schema, {r["part"]: r["folder"] for r in rows if r["folder"] is not None}
+
+    def log_parts(self, name: str, version: str, schema: T.StructType, folders: dict[str, str]) -> None:
+        """Name the folders that make up ``version``; to be called before ``log_version``."""
+        text = schema.json()
+        rows = [(version, p, f, text) for p, f in folders.items()] or [(version, None, None, text)]
+        parts = self.spark.createDataFrame(rows, _PARTS_SCHEMA)
+        parts.coalesce(1).write.mode("append").parquet(f"{self.root}/{name}/_parts")
+
+    def folders(self, path: str) -> dict[str, str]:
+        """Partition folders (``column=value``) below ``path``: value to path."""
+        fs, at = self._files(path)
+        found = (s.getPath() for s in fs.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName())
+        return {p.getName().split("=", 1)[1]: p.toString() for p in found}
 
     def version_path(self, name: str, version: str) -> str:
         return f"{self.root}/{name}/version={version}"

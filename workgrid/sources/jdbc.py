@@ -115,26 +115,64 @@ def primary_key(spark: SparkSession, url: str, schema: str, table: str, props: M
     return [default_key] if default_key in column_names else []
 
 
+#: Hash of a column's value, and of a row, as a signed integer in the source's SQL.
+VALUE_HASH, ROW_HASH = "CHECKSUM({})", "CHECKSUM(*)"
+
+
+def scan_predicates(column: str | None, parts: int, value_hash: str = VALUE_HASH, row_hash: str = ROW_HASH) -> list[str]:
+    """Conditions that cut a table into ``parts`` disjoint parts and, with a column, one more for its NULLs.
+
+    For keys without a numeric range (text, decimal, date, uuid) by a hash of
+    the column, without any key by a hash of the row. Every row meets exactly
+    one condition, whatever its values.
+    """
+    if column is None:
+        # A widened hash: the smallest integer has no absolute value of its own type.
+        return [f"ABS(CAST({row_hash} AS BIGINT)) % {parts} = {i}" for i in range(parts)]
+    name = identifier(column)
+    hashed = f"ABS(CAST({value_hash.format(name)} AS BIGINT)) % {parts}"
+    return [f"{name} IS NULL", *(f"{name} IS NOT NULL AND {hashed} = {i}" for i in range(parts))]
+
+
+def range_predicates(column: str, low: int, high: int, parts: int) -> list[str]:
+    """Conditions that cut a table by ranges of an integer column; the outer ranges are open, one more part holds the NULLs."""
+    name = identifier(column)
+    step = max(1, -(-(high - low + 1) // parts))
+    cuts = list(range(low + step, high + 1, step))
+    if not cuts:
+        return [f"{name} IS NULL", f"{name} IS NOT NULL"]
+    inner = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{name} IS NULL", f"{name} < {cuts[0]}", *inner, f"{name} >= {cuts[-1]}"]
+
+
+INTEGER_KINDS = ("int", "bigint", "smallint")
+
+
 def read_table(spark: SparkSession, url: str, table: str, props: Mapping[str, str] | None = None,
-               partition_column: str | None = None, num_partitions: int = 64, fetch_size: int = 10_000) -> DataFrame:
-    """Full scan of one table, range-partitioned on ``partition_column`` when given."""
-    props = dict(props or {})
-    r = _reader(spark, url, props).option("dbtable", table).option("fetchsize", str(fetch_size))
-    if partition_column:
-        b = query(spark, url, f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}",
-                  props).first()
+               partition_column: str | None = None, partition_kind: str | None = None, num_partitions: int = 64,
+               fetch_size: int = 10_000) -> DataFrame:
+    """Full scan of one table in ``num_partitions`` parts.
+
+    By ranges of ``partition_column`` where its ``partition_kind`` is an
+    integer, by a hash of it for any other kind, and by a hash of the row
+    without a column; NULL keys are one more part.
+    """
+    props = {**(props or {}), "fetchsize": str(fetch_size)}
+    predicates = scan_predicates(partition_column, num_partitions)
+    if partition_column and partition_kind in INTEGER_KINDS:
+        name = identifier(partition_column)
+        b = query(spark, url, f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {table}", props).first()
         if b is not None and b["lo"] is not None:
-            r = (r.option("partitionColumn", partition_column).option("lowerBound", str(b["lo"]))
-                 .option("upperBound", str(b["hi"])).option("numPartitions", str(num_partitions)))
-    return r.load()
+            predicates = range_predicates(partition_column, int(b["lo"]), int(b["hi"]), num_partitions)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=props)
 
 
 def source_tables(spark: SparkSession, url: str, props: Mapping[str, str] | None = None,
                   schemas: Sequence[str] | None = None, prefix: str = "sync", default_key: str = "id") -> list[SourceTable]:
     """Every base table as an entry of the multi-table sync: typed scan, key from the database's own constraints.
 
-    Only metadata (a row per table and column) reaches the driver. A numeric
-    first key column partitions the scan; other tables are read by one task.
+    Only metadata (a row per table and column) reaches the driver. The first
+    key column partitions the scan, or the whole row where there is no key.
     """
     out = []
     for t in list_tables(spark, url, props, schemas).collect():
@@ -142,11 +180,11 @@ def source_tables(spark: SparkSession, url: str, props: Mapping[str, str] | None
         columns = [r.asDict() for r in table_columns(spark, url, schema, table, props).collect()]
         keys = primary_key(spark, url, schema, table, props, default_key, [c["name"] for c in columns])
         kinds = {c["name"]: spark_type(c["data_type"], c.get("precision"), c.get("scale")) for c in columns}
-        by = keys[0] if keys and kinds.get(keys[0]) in ("int", "bigint", "smallint") else None
+        by = keys[0] if keys else None
 
-        def load(schema=schema, table=table, columns=columns, by=by):
+        def load(schema=schema, table=table, columns=columns, by=by, kind=kinds.get(by)):
             name = f"{identifier(schema)}.{identifier(table)}"
-            return typed_projection(read_table(spark, url, name, props, partition_column=by), columns)
+            return typed_projection(read_table(spark, url, name, props, partition_column=by, partition_kind=kind), columns)
 
         out.append(SourceTable(f"{prefix}_{schema}_{table}".lower(), load, keys or None))
     return out
