@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from workgrid.llm import topk
@@ -44,3 +45,21 @@ def test_oracle(spark, duck):
     df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     got = {tuple(r) for r in topk.top_k(spark, df, F.col("vec_id") % 50 == 0).collect()}
     assert got == set(duck.sql(topk.ORACLE).fetchall())
+
+
+def test_few_candidates_are_resolved():
+    """The uniform threshold names all candidates that reach the bound, and far fewer than all pairs."""
+    rng = np.random.default_rng(6)
+    rows = np.floor(256 * rng.normal(size=(4000, 32)) * rng.uniform(0.05, 1, size=(4000, 1)))
+    queries = rows[:40]
+    score = queries @ rows.T
+    bound = np.sort(score, axis=1)[:, -6].astype(np.int64)
+    counted = [0]
+    q, r, total = topk.Group(np.arange(4000), rows).resolved(queries, 5, bound, counted)
+    assert (total == score[q, r]).all()
+    got = set(zip(q[total >= bound[q]].tolist(), r[total >= bound[q]].tolist()))
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(score >= bound[:, None]))))
+    assert counted[0] < 0.2 * score.size
+    first = [0]
+    topk.Group(np.arange(4000), rows).resolved(queries, 5, None, first)
+    assert first[0] <= 40 * topk.LISTS * 6 * -(-4000 // topk._ROWS)

@@ -2,35 +2,39 @@
 
 Every vector's dimensions are cut into ``LISTS`` lists; a list scores a
 candidate by the inner product of its own dimensions, and the sum over the
-lists is the score. For a block of queries:
-
-1. *gather*: every task finds, per query and list, its candidates with the
-   highest partial scores, and keeps the ``k`` best totals among them. Merged
-   over all tasks, the ``k``-th total is a safe lower bound of the true ``k``-th
-   score;
-2. *threshold*: that bound is broadcast. A candidate that reaches it has a
-   list with at least the bound divided by the number of lists (the uniform
-   threshold), so only entries of such lists are collected;
-3. *resolve*: collected entries get their remaining partial scores, and
-   those whose total reaches the bound compete for the ``k`` best per query.
-
-Lists of one candidate lie in one row, so only short lists leave a task: at
-most ``k`` rows per query and task in each phase. Queries are taken in blocks of
-about ``BLOCK``; a block is all that is broadcast.
+lists is the score. Rows are dealt into groups and queries into blocks; every
+block meets every group once per pass, and a list's rows are taken in the
+order of their length in that list:
+
+1. *gather*: each list of a group names its ``k`` best partial scores per query;
+   only these candidates get their other partial scores. Over all groups, the
+   ``k``-th best total is a safe lower bound of the true ``k``-th score;
+2. *threshold*: that bound travels with the query. A candidate that reaches it
+   has a list with at least the bound divided by the number of lists (the
+   uniform threshold), so each list names only the entries above it. Rows too
+   short in a list to get there are not scored in it at all;
+3. *resolve*: the named candidates get the partial scores of the lists that
+   did not name them, and those whose total reaches the bound compete for the
+   ``k`` best.
+
+A group sends at most ``k`` rows per query and pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from workgrid.llm.common import sorted_groups, stored
+
 LISTS = 4
-BLOCK = 2048
+#: Queries of a block and rows of a group, on average.
+BLOCK = 1024
+GROUP = 8192
 SCALE = 256.0
 _ROWS = 1024
 _EXACT = float(1 << 53)
@@ -74,83 +78,140 @@ def _best(q: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np
     return q[place < k], ids[place < k], score[place < k]
 
 
-def _partials(queries: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """Partial scores by list; plain integers where doubles could round."""
-    if queries.size and rows.size and np.abs(queries).max() * np.abs(rows).max() * max(1, rows.shape[1]) * LISTS >= _EXACT:
-        whole = np.vectorize(int, otypes=[object])
-        queries, rows = whole(queries), whole(rows)
-    cuts = [rows.shape[1] * i // LISTS for i in range(LISTS + 1)]
-    return [queries[:, a:b] @ rows[:, a:b].T for a, b in zip(cuts, cuts[1:])]
-
-
-def _phase(block: dict, k: int):
-    """Local lists of one task. ``block``: query ids and vectors by length, and bounds (None while gathering)."""
-
-    def entries(d: int, ids: np.ndarray, rows: np.ndarray):
-        qids, vectors, bound = block[d]
-        part = _partials(vectors, rows)
-        total = sum(part[1:], part[0])
-        own = qids[:, None] == ids[None, :]
-        if bound is None:
-            take = np.zeros(total.shape, bool)
-            n = min(k + 1, ids.size)  # one may be the query itself
-            for p in part:
-                top = np.argpartition(p, ids.size - n, axis=1)[:, ids.size - n :] if p.dtype != object else np.argsort(p, axis=1)[:, -n:]
-                np.put_along_axis(take, top, True, axis=1)
-        else:
-            low = bound.astype(total.dtype)[:, None]
-            take = np.zeros(total.shape, bool)
-            for p in part:
-                take |= (p * LISTS >= low).astype(bool)
-            take &= (total >= low).astype(bool)
-        q, c = np.nonzero(take & ~own)
-        return qids[q], ids[c], total[q, c]
+def _cuts(dims: int) -> list[slice]:
+    ends = [dims * i // LISTS for i in range(LISTS + 1)]
+    return [slice(a, b) for a, b in zip(ends, ends[1:])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = tuple(np.empty(0, np.int64) for _ in range(3))
-        for whole in batches:
-            for lo in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(lo, _ROWS)
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                for d, (at, rows) in _matrix(batch.column(1)).items():
-                    if d in block:
-                        q, c, s = entries(d, ids[at], rows)
-                        s = np.array([int(x) for x in s], np.int64) if s.dtype == object else s.astype(np.int64)
-                        held = _best(*(np.concatenate(x) for x in zip(held, (q, c, s))), k)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["query_id", "vec_id", "score"])
+
+def _whole(queries: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both sides as plain integers where doubles could round."""
+    if queries.size and rows.size and np.abs(queries).max() * np.abs(rows).max() * max(1, rows.shape[1]) * LISTS >= _EXACT:
+        exact = np.vectorize(int, otypes=[object])
+        return exact(queries), exact(rows)
+    return queries, rows
+
+
+def _length(x: np.ndarray) -> np.ndarray:
+    x = x.astype(float)
+    return np.sqrt(np.einsum("ij,ij->i", x, x))
+
+
+class Group:
+    """Rows of one length, and per list their order by falling length in it."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows
+        self.cuts = _cuts(rows.shape[1])
+        lengths = [_length(rows[:, c]) for c in self.cuts]
+        self.order = [np.argsort(-n, kind="stable") for n in lengths]
+        self.lengths = [n[o] for n, o in zip(lengths, self.order)]
+
+    def named(self, queries: np.ndarray, k: int, bound: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """``(list, query, row, partial)`` of the entries that each list names: its ``k`` + 1 best, or those over the threshold."""
+        for at, (cut, order, lengths) in enumerate(zip(self.cuts, self.order, self.lengths)):
+            q = queries[:, cut]
+            until = len(order)
+            if bound is not None:
+                # No longer row is needed by any query: |q| * |row| bounds a partial score.
+                need = bound / LISTS / np.maximum(_length(q), 1e-300)
+                least = float(need.min(initial=np.inf)) * (1 - 1e-9) if (bound > 0).all() else -np.inf
+                until = int(np.searchsorted(-lengths, -least, "right"))
+            for lo in range(0, until, _ROWS):
+                some = order[lo : min(lo + _ROWS, until)]
+                part = q @ self.rows[some][:, cut].T
+                if bound is None:
+                    n = min(k + 1, some.size)  # one may be the query itself
+                    top = np.argsort(part, axis=1)[:, -n:] if part.dtype == object else np.argpartition(part, some.size - n, axis=1)[:, some.size - n :]
+                    i = np.repeat(np.arange(len(q)), n)
+                    j = top.ravel()
+                else:
+                    i, j = np.nonzero((part * LISTS >= bound.astype(part.dtype)[:, None]).astype(bool))
+                yield at, i, some[j], part[i, j]
+
+    def resolved(self, queries: np.ndarray, k: int, bound: np.ndarray | None, counted: list[int] | None = None):
+        """``(query, row, total)`` of every named candidate, each once: named partial scores and the missing ones."""
+        n = len(self.ids)
+        pairs, lists, parts = [], [], []
+        for at, i, j, p in self.named(queries, k, bound):
+            pairs.append(i.astype(np.int64) * n + j)
+            lists.append(np.full(len(i), at))
+            parts.append(p)
+        if not pairs:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        pair, at, part = np.concatenate(pairs), np.concatenate(lists), np.concatenate(parts)
+        each, place = np.unique(pair, return_inverse=True)
+        total = np.zeros(each.size, part.dtype)
+        np.add.at(total, place, part)
+        have = np.zeros((LISTS, each.size), bool)
+        have[at, place] = True
+        q, r = each // n, each % n
+        if counted is not None:
+            counted[0] += each.size
+        for held, cut in zip(have, self.cuts):
+            missing = np.flatnonzero(~held)
+            for lo in range(0, missing.size, _ROWS * 16):
+                m = missing[lo : lo + _ROWS * 16]
+                total[m] += (queries[q[m]][:, cut] * self.rows[r[m]][:, cut]).sum(axis=1)
+        return q, r, total
+
+
+def _longs(s: np.ndarray) -> np.ndarray:
+    return np.array([int(x) for x in s], np.int64) if s.dtype == object else s.astype(np.int64)
+
+
+def _lists_of(t: pa.Table) -> pa.Array:
+    x = t.column("v").combine_chunks()
+    return x if isinstance(x, pa.Array) else pa.concat_arrays(x.chunks)
+
+
+def _pass(k: int, bounded: bool):
+    """The ``k`` best of every query in one group: phase one, or phases two and three with the queries' bounds."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = tuple(np.empty(0, np.int64) for _ in range(3))
+        if left.num_rows and right.num_rows:
+            qids, ids = (t.column(c).to_numpy() for t, c in ((left, "query_id"), (right, "vec_id")))
+            by_size = _matrix(_lists_of(right))
+            found = []
+            for d, (at, queries) in _matrix(_lists_of(left)).items():
+                if d not in by_size:
+                    continue
+                mine, rows = by_size[d]
+                queries, rows = _whole(queries, rows)
+                bound = left.column("bound").to_numpy()[at] if bounded else None
+                q, r, total = Group(ids[mine], rows).resolved(queries, k, bound)
+                qid, rid = qids[at][q], ids[mine][r]
+                take = qid != rid
+                if bounded:
+                    take &= (total >= bound[q].astype(total.dtype)).astype(bool)
+                found.append(_best(qid[take], rid[take], _longs(total[take]), k))
+            if found:
+                out = tuple(np.concatenate(c) for c in zip(*found))
+        return pa.table(dict(zip(["query_id", "vec_id", "score"], map(pa.array, out))))
 
     return run
 
 
 def _merge(k: int):
-    """Short lists of the same queries merged into the ``k`` best, a batch at a time."""
+    """Short lists of a query, sorted by it, merged into its ``k`` best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = tuple(np.empty(0, np.int64) for _ in range(3))
-        for batch in batches:
-            got = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            held = _best(*(np.concatenate(x) for x in zip(held, got)), k)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["query_id", "vec_id", "score"])
+        for g in sorted_groups(batches, ["query_id"], ["query_id", "vec_id", "score"]):
+            q, ids, score = _best(g["query_id"], g["vec_id"], g["score"], k)
+            cols = [q, np.arange(1, q.size + 1, dtype=np.int32), ids, score]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["query_id", "rank", "vec_id", "score"])
 
     return run
 
 
-_SCHEMA = "query_id long, vec_id long, score long"
-
-
-def _lists(rows: DataFrame, block: dict, k: int, spark: SparkSession) -> DataFrame:
-    at = spark.sparkContext.broadcast(block)  # one block of queries
+_SHORT = "query_id long, vec_id long, score long"
 
-    def run(batches):
-        return _phase(at.value, k)(batches)
 
-    return rows.mapInArrow(run, _SCHEMA).repartition("query_id").mapInArrow(_merge(k), _SCHEMA)
-
-
-def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK) -> DataFrame:
+def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 5, block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` highest inner products of every query with all other rows.
 
-    ``vectors(vec_id, embedding)``; queries are the rows where ``is_query`` holds.
+    ``vectors(vec_id, embedding)``; queries are the rows where ``is_query`` holds. ``block`` and ``group`` are the
+    queries of a block and the rows of a group, on average.
 
     * ties go to the smaller ``vec_id``; fewer than ``k`` candidates give all;
     * vectors that are null or hold null or non-finite components, and rows without ``vec_id``, take no part;
@@ -159,39 +220,24 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 5,
     * scores are exact integers; one that does not fit in a long raises an error;
     * an empty table, or one without queries, gives an empty result; other columns are ignored.
     """
-    rows = integer_vectors(vectors)
-    queries = integer_vectors(vectors.where(is_query)).groupBy("vec_id").agg(F.min("v").alias("v"))
-    blocks = max(1, ceil(queries.count() / block))
-    out = None
-    for b in range(blocks):
-        some = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow()
-        found = _search(spark, rows, some, k)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _search(spark: SparkSession, rows: DataFrame, some: pa.Table, k: int) -> DataFrame:
-    qids = some.column("vec_id").to_numpy()
-    lists = some.column("v").combine_chunks()
-    lists = lists if isinstance(lists, pa.Array) else pa.concat_arrays(lists.chunks)
-    parts = _matrix(lists) if len(lists) else {}
-    block = {d: (qids[at], v, None) for d, (at, v) in parts.items()}
-    gathered = _lists(rows, block, k, spark)
-    cutoff = gathered.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low")).collect()  # one block
-    bound = {r["query_id"]: r["low"] for r in cutoff if r["n"] == k}
-    safe = {
-        d: (ids, v, np.array([bound.get(int(q), _LOW) for q in ids], np.int64))
-        for d, (ids, v, _) in block.items()
-    }
-    found = _lists(rows, safe, k, spark)
-    # Lists of a query are merged already: its rows differ in score or id.
-    better = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score")))
-    return (
-        found.groupBy("query_id")
-        .agg(better.alias("list"))
-        .select("query_id", F.posexplode("list").alias("at", "x"))
-        .select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))
-    )
+    rows = stored(spark, integer_vectors(vectors).distinct(), "topk_rows")
+    queries = stored(spark, integer_vectors(vectors.where(is_query)).groupBy("vec_id").agg(F.min("v").alias("v")).select(
+        F.col("vec_id").alias("query_id"), "v"), "topk_queries")
+    groups, blocks = (max(1, -(-df.count() // size)) for df, size in ((rows, group), (queries, block)))
+    dealt = rows.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", "v"), F.lit(groups)).cast("int").alias("g"),
+                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"))
+
+    def best(some: DataFrame, bounded: bool) -> DataFrame:
+        sent = some.select("*", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"),
+                           F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("b"))
+        short = sent.groupBy("g", "b").cogroup(dealt.groupBy("g", "b")).applyInArrow(_pass(k, bounded), _SHORT)
+        return short.repartition("query_id").sortWithinPartitions("query_id").mapInArrow(
+            _merge(k), "query_id long, rank int, vec_id long, score long")
+
+    seen = best(queries, False).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"))
+    low = F.when(F.col("n") == k, F.col("low")).otherwise(F.lit(_LOW))
+    bounds = stored(spark, seen.select(F.col("query_id").alias("bound_id"), low.alias("bound")), "topk_bounds")
+    return best(queries.join(bounds, F.col("query_id") == F.col("bound_id")).drop("bound_id"), True)
 
 
 ORACLE = """
