@@ -70,3 +70,37 @@ def test_odd_inputs(spark):
     none = Q.quality(spark, docs, labels.limit(0)).collect()
     assert len(none) == len(rows) and all(r.score == pytest.approx(0.5) for r in none)
     assert Q.quality(spark, docs.limit(0), labels).collect() == []
+
+
+def test_site_means_leave_the_document_out(spark):
+    """Means of every document against loops over all other documents of its host and path; hosts of one document too."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.selectExpr("doc_id", "text", "if(doc_id % 9 = 0, concat('alone', doc_id), source) AS source", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    got = Q.quality(spark, docs, labels).collect()
+    known = Q._known(labels).toPandas()["quality"].mean()
+    odds = math.log((known + 1e-6) / (1 - known + 1e-6))
+    p = [1 / (1 + math.exp(-(r.evidence + odds))) for r in got]
+    mean, hs, ps, _ = brute_sites([(r.host, r.path, x) for r, x in zip(got, p)])
+    alone = 0
+    for i, r in enumerate(got):
+        host = [p[j] for j, o in enumerate(got) if j != i and o.host == r.host]
+        path = [p[j] for j, o in enumerate(got) if j != i and (o.host, o.path) == (r.host, r.path)]
+        want = (sum(host) + mean * hs) / (len(host) + hs)
+        assert r.host_mean == pytest.approx(want, abs=1e-9)
+        assert r.path_mean == pytest.approx((sum(path) + want * ps) / (len(path) + ps), abs=1e-9)
+        if not host:
+            alone += 1
+            assert r.path_mean == pytest.approx(mean)
+    assert alone
+
+
+def test_sites_from_addresses(spark):
+    urls = {"https://WWW.Example.com:80/en/1?x#y": ("example.com", "/en"), "http://u:p@m.example.org": ("m.example.org", "/"),
+            "http://a.net?q=/x": ("a.net", "/"), "no address": (None, None), None: (None, None), "ftp://h/": ("h", "/")}
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = {r.url: (r.h, r.s) for r in df.select("url", Q.url_host(df.url).alias("h"), Q.url_section(df.url).alias("s")).collect()}
+    assert got == urls
+    docs = df.selectExpr("monotonically_increasing_id() AS doc_id", "url AS text", "url")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {(r.host, r.path) for r in Q.quality(spark, docs, none).collect()} == set(urls.values())

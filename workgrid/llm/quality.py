@@ -9,8 +9,8 @@
    strengths are estimated from all sites (method of moments on the spread
    of their rates beyond sampling noise), so a site of a few documents stays
    near its prior and a site of many speaks for itself.
-3. A document's score combines its evidence with the prior odds of its path,
-   from which the document's own share is taken out.
+3. A document's score combines its evidence with the prior odds of its path;
+   the document's own share is taken out of the path and out of the host.
 
 Labels are used by the fit alone, on at most ``SAMPLE`` labelled documents
 per class; every document and every site enters the statistics.
@@ -146,7 +146,7 @@ def strength(sites: DataFrame, prior: Column) -> float:
 
 
 def posteriors(spark: SparkSession, scored: DataFrame) -> tuple[Prior, DataFrame]:
-    """The prior, and ``(host, path, path_n, path_good, host_mean)`` per path, of ``scored(host, path, p)``.
+    """The prior, and ``(host, path, path_n, path_good, host_n, host_good, host_mean)`` per path, of ``scored(host, path, p)``.
 
     A hot host is reduced to a row per path and map task before any shuffle;
     three numbers reach the driver.
@@ -166,14 +166,27 @@ def posteriors(spark: SparkSession, scored: DataFrame) -> tuple[Prior, DataFrame
     mean = hosts.agg(F.sum("good") / F.sum("n")).first()[0] or 0.0
     of_hosts = strength(hosts, F.lit(mean))
     shrunk = hosts.select(
-        F.col("host").alias("_host"), ((F.col("good") + mean * of_hosts) / (F.col("n") + of_hosts)).alias("host_mean")
+        F.col("host").alias("_host"), F.col("n").alias("host_n"), F.col("good").alias("host_good"),
+        ((F.col("good") + mean * of_hosts) / (F.col("n") + of_hosts)).alias("host_mean"),
     )
     joined = paths.join(shrunk, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
     of_paths = joined.select(
         F.col("path_n").alias("n"), F.col("path_good").alias("good"), (F.col("path_noise") / F.col("path_n")).alias("noise"), "host_mean"
     )
     prior = Prior(mean, of_hosts, strength(of_paths, F.col("host_mean")))
-    return prior, joined.select("host", "path", "path_n", "path_good", "host_mean")
+    return prior, joined.select("host", "path", "path_n", "path_good", "host_n", "host_good", "host_mean")
+
+
+def url_host(url: Column) -> Column:
+    """Host of an address in lower case, without user, port and a leading ``www.``; null without one."""
+    found = F.regexp_extract(F.lower(url.cast("string")), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?([^/?#:]+)", 1)
+    return F.nullif(found, F.lit(""))
+
+
+def url_section(url: Column) -> Column:
+    """First section of an address's path, ``/`` where it has none; null without a host."""
+    found = F.regexp_extract(url.cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]*)", 1)
+    return F.when(url_host(url).isNotNull(), F.concat(F.lit("/"), found))
 
 
 def _logit(p: Column) -> Column:
@@ -186,14 +199,21 @@ def quality(
 ) -> DataFrame:
     """``(doc_id, held_out, score, predicted, host, path, evidence, host_mean, path_mean)`` for every row of ``docs``.
 
-    ``host`` and ``path`` are expressions over ``docs`` (default: ``source``, and ``lang`` within it).
+    ``host`` and ``path`` are expressions over ``docs`` (default: host and first path section of ``url`` where there is
+    such a column, else ``source``, and ``lang`` within it). ``host_mean`` and ``path_mean`` are the means of the other
+    documents of the site, shrunk towards the level above.
 
     * ``score`` is the posterior probability of quality 1, ``predicted`` is 1 from 0.5 on;
     * null and empty texts have zero features; null hosts and paths are sites like others;
     * without labels of both classes the evidence is 0 and the means are one half;
     * rows are scored one by one, equal rows equally; an empty table gives an empty result.
     """
-    site = [(F.col("source") if host is None else host).cast("string"), (F.col("lang") if path is None else path).cast("string")]
+    by_url = "url" in docs.columns
+    if host is None:
+        host = url_host(F.col("url")) if by_url else F.col("source")
+    if path is None:
+        path = url_section(F.col("url")) if by_url else F.col("lang")
+    site = [host.cast("string"), path.cast("string")]
     model = fit(spark, docs, labels)
     evidence = F.lit(0.0) if model is None else model.evidence(_text())
     base = docs.select("doc_id", site[0].alias("host"), site[1].alias("path"), evidence.cast("double").alias("evidence"))
@@ -203,12 +223,16 @@ def quality(
     prior, sites = posteriors(spark, scored)
     names = {"host": "_host", "path": "_path"}
     same = F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))
-    # The document's own probability is taken out of its path.
-    rest_n, rest_good = F.col("path_n") - 1, F.greatest(F.col("path_good") - F.col("p"), F.lit(0.0))
-    path_mean = (rest_good + F.col("host_mean") * prior.path_strength) / (rest_n + prior.path_strength)
+    # The document's own probability is taken out of its host and of its path.
+    rest = lambda site: (F.col(f"{site}_n") - 1, F.greatest(F.col(f"{site}_good") - F.col("p"), F.lit(0.0)))
+    host_n, host_good = rest("host")
+    path_n, path_good = rest("path")
+    host_mean = (host_good + prior.mean * prior.host_strength) / (host_n + prior.host_strength)
+    path_mean = (path_good + F.col("host_mean") * prior.path_strength) / (path_n + prior.path_strength)
     score = 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("path_mean")))))
     return (
         scored.join(sites.withColumnsRenamed(names), same)
+        .withColumn("host_mean", host_mean)
         .withColumn("path_mean", path_mean)
         .withColumn("score", score)
         .select(
