@@ -76,7 +76,7 @@ class Bpe:
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[str, Part] = {}
-        self.seen: dict[str, list[int]] = {}
+        self.seen: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the joined bytes of the two tokens gives exactly the two tokens."""
@@ -113,54 +113,75 @@ class Bpe:
             longest[end - size + 1] = rank  # later ends are longer
         out: list[int] = []
         open_ = bytearray(b"\x01") * (len(piece) + 1)
-        at, candidate = 0, longest[0] if piece else None
-        size, compatible, shorter = self.size, self.compatible, self.shorter
+        at, candidate, before = 0, longest[0] if piece else None, None
+        size, fits, shorter = self.size, self.fits, self.shorter
         while at < len(piece):
-            before = out[-1] if out else None
             while candidate is not None:
                 end = at + size[candidate]
-                if open_[end] and (before is None or compatible(before, candidate)):
-                    break
+                if open_[end]:
+                    if before is None:
+                        break
+                    fit = fits.get((before, candidate))
+                    if self.compatible(before, candidate) if fit is None else fit:
+                        break
                 candidate = shorter[candidate]
             if candidate is None:  # nothing fits here: this position is closed, the last token was too long
                 open_[at] = 0
                 candidate = out.pop()
+                before = out[-1] if out else None
                 at -= size[candidate]
                 continue
             out.append(candidate)
-            at = end
+            at, before = end, candidate
             candidate = longest[at] if at < len(piece) else None
         return out
 
-    def _ids(self, part: str) -> tuple[int, ...]:
-        """Ids of a stretch of text that starts and ends at borders of pieces."""
-        out: list[int] = []
-        seen = self.seen
-        for piece in self.pieces(part):
-            ids = seen.get(piece)
-            if ids is None:
-                if len(seen) >= _PIECES:
-                    seen.clear()
-                ids = self.encode_piece(piece.encode("utf-8", "surrogatepass"))
-                if len(piece) <= _LONG_PIECE:
-                    seen[piece] = ids
-            out += ids
-        return tuple(out)
+    def _ids(self, piece: str) -> tuple[int, ...]:
+        ids = self.seen.get(piece)
+        if ids is None:
+            ids = tuple(self.encode_piece(piece.encode("utf-8", "surrogatepass")))
+            if len(piece) <= _LONG_PIECE:
+                if len(self.seen) >= _PIECES:
+                    self.seen.clear()
+                self.seen[piece] = ids
+        return ids
+
+    def _part(self, ids: tuple[int, ...]) -> Part:
+        return Part(ids, ",".join(map(self.text.__getitem__, ids)), self.decode(ids))
 
     def _entry(self, part: str) -> Part:
-        ids = self._ids(part)
-        return Part(ids, ",".join(map(self.text.__getitem__, ids)), self.decode(ids))
+        """A stretch of text that starts and ends at borders of pieces."""
+        return self._part(tuple(chain.from_iterable(map(self._ids, self.pieces(part)))))
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember stretches without a space that each follow one: cut all at once, a piece with the space starts the next."""
+        known, seen, at, ids = self.known, self.seen, -1, ()
+        for piece in self.pieces(" " + " ".join(new)):
+            own = seen.get(piece)
+            if own is None:
+                own = self._ids(piece)
+            if piece[0] == " ":
+                if at >= 0:
+                    known[new[at]] = self._part(ids)
+                at, ids = at + 1, own
+            else:
+                ids += own
+        known[new[at]] = self._part(ids)
 
     def parts(self, text: str) -> list[Part]:
         """The stretches of a text in order, each as its ids, their decimal text and the bytes decoded from them."""
-        first, *rest = text.split(" ") if not _LOOSE.search(text) else _PART.split(text)
+        loose = _LOOSE.search(text)
+        first, *rest = _PART.split(text) if loose else text.split(" ")
         known = self.known
         if new := {p for p in rest if p not in known}:
             if len(known) + len(new) > _PIECES:
                 known.clear()
                 new = set(rest)
-            for p in new:
-                known[p] = self._entry(" " + p)
+            if loose:
+                for p in new:
+                    known[p] = self._entry(" " + p)
+            else:
+                self._learn(list(new))
         out = [self._entry(first)] if first else []
         out.extend(map(known.__getitem__, rest))
         if len(known) > _PIECES:
