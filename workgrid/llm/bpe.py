@@ -9,7 +9,7 @@ walks over the piece with the longest token that is compatible with the one
 before it, falls back to shorter tokens, and steps back where none fits; a
 byte position that led nowhere is never tried again, so the work is linear
 in the piece. Pair compatibility is memoised, and so are the ids of recent
-pieces and of recent stretches of text, with their decimal text and the bytes they decode to.
+pieces.
 """
 
 from __future__ import annotations
@@ -17,9 +17,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate, chain
-from typing import NamedTuple
 
 import ahocorasick
 import pyarrow as pa
@@ -29,8 +28,6 @@ from pyspark.sql import functions as F
 
 _PAIRS = 1 << 19
 _PIECES = 400_000
-#: Longer pieces are not remembered.
-_LONG_PIECE = 64
 
 # A space before a visible character always starts a new piece of the pattern.
 _PART = re.compile(r" (?=\S)")
@@ -42,14 +39,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-class Part(NamedTuple):
-    """A stretch of text between borders of pieces."""
-
-    ids: tuple[int, ...]
-    text: str
-    bytes: bytes
-
-
 class Bpe:
     """Encoder and decoder of one rank file; ``pattern`` cuts a text into pieces."""
 
@@ -75,8 +64,7 @@ class Bpe:
             self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
         self.automaton.make_automaton()
         self.fits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, Part] = {}
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the joined bytes of the two tokens gives exactly the two tokens."""
@@ -136,62 +124,31 @@ class Bpe:
             candidate = longest[at] if at < len(piece) else None
         return out
 
-    def _ids(self, piece: str) -> tuple[int, ...]:
-        ids = self.seen.get(piece)
-        if ids is None:
-            ids = tuple(self.encode_piece(piece.encode("utf-8", "surrogatepass")))
-            if len(piece) <= _LONG_PIECE:
-                if len(self.seen) >= _PIECES:
-                    self.seen.clear()
-                self.seen[piece] = ids
-        return ids
-
-    def _part(self, ids: tuple[int, ...]) -> Part:
-        return Part(ids, ",".join(map(self.text.__getitem__, ids)), self.decode(ids))
-
-    def _entry(self, part: str) -> Part:
-        """A stretch of text that starts and ends at borders of pieces."""
-        return self._part(tuple(chain.from_iterable(map(self._ids, self.pieces(part)))))
-
-    def _learn(self, new: list[str]) -> None:
-        """Remember stretches without a space that each follow one: cut all at once, a piece with the space starts the next."""
-        known, seen, at, ids = self.known, self.seen, -1, ()
-        for piece in self.pieces(" " + " ".join(new)):
-            own = seen.get(piece)
-            if own is None:
-                own = self._ids(piece)
-            if piece[0] == " ":
-                if at >= 0:
-                    known[new[at]] = self._part(ids)
-                at, ids = at + 1, own
-            else:
-                ids += own
-        known[new[at]] = self._part(ids)
+    def _ids(self, part: str) -> tuple[int, ...]:
+        """Ids of a stretch of text that starts and ends at borders of pieces."""
+        out: list[int] = []
+        for piece in self.pieces(part):
+            out += self.encode_piece(piece.encode("utf-8", "surrogatepass"))
+        return tuple(out)
 
-    def parts(self, text: str) -> list[Part]:
-        """The stretches of a text in order, each as its ids, their decimal text and the bytes decoded from them."""
-        loose = _LOOSE.search(text)
-        first, *rest = _PART.split(text) if loose else text.split(" ")
+    def encode(self, text: str) -> list[int]:
+        if not text:
+            return []
+        first, *rest = text.split(" ") if not _LOOSE.search(text) else _PART.split(text)
         known = self.known
         if new := {p for p in rest if p not in known}:
             if len(known) + len(new) > _PIECES:
                 known.clear()
                 new = set(rest)
-            if loose:
-                for p in new:
-                    known[p] = self._entry(" " + p)
-            else:
-                self._learn(list(new))
-        out = [self._entry(first)] if first else []
-        out.extend(map(known.__getitem__, rest))
+            for p in new:
+                known[p] = self._ids(" " + p)
+        ids = list(self._ids(first))
+        ids.extend(chain.from_iterable(map(known.__getitem__, rest)))
         if len(known) > _PIECES:
             known.clear()
-        return out
-
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable([p.ids for p in self.parts(text)]))
+        return ids
 
-    def decode(self, ids: Iterable[int]) -> bytes:
+    def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
@@ -260,12 +217,12 @@ def encoding_digests(docs: DataFrame, path: str, pattern: str, keep_ids: bool =
             for batch in (whole.slice(lo, 500) for lo in range(0, whole.num_rows, 500)):
                 n, of_ids, of_bytes, kept = [], [], [], []
                 for text in batch.column(1).to_pylist():
-                    ids, texts, raw = zip(*parts) if (parts := bpe.parts(text or "")) else ((), (), ())
-                    n.append(sum(map(len, ids)))
-                    of_ids.append(hashlib.sha256(",".join(texts).encode()).hexdigest())
-                    of_bytes.append(hashlib.sha256(b"".join(raw)).hexdigest())
+                    ids = bpe.encode(text or "")
+                    n.append(len(ids))
+                    of_ids.append(hashlib.sha256(",".join(map(bpe.text.__getitem__, ids)).encode()).hexdigest())
+                    of_bytes.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
                     if keep_ids:
-                        kept.append(pa.array(chain.from_iterable(ids), pa.int32(), size=n[-1]))
+                        kept.append(pa.array(ids, pa.int32()))
                 columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
