@@ -39,9 +39,26 @@ def test_pieces_equal_plain_merging(ours):
 def test_caches_stay_bounded_and_right(ours, theirs, monkeypatch):
     monkeypatch.setattr(B, "_PIECES", 20)
     monkeypatch.setattr(B, "_PAIRS", 20)
-    text = " ".join(f"word{i % 57} x{i}" for i in range(400))
+    monkeypatch.setattr(B, "_MARKS", 2)
+    text = " ".join(f"word{i % 57} x{i}{'!' * (i % 5)}" for i in range(400))
     assert ours.encode(text) == theirs.encode_ordinary(text)
-    assert len(ours.fits) <= 21
+    assert len(ours.fits) <= 21 and len(ours.marks) <= 3
+
+
+def test_pieces_longer_than_a_window(ours, theirs):
+    rng = random.Random(2)
+    for alphabet in ("aeinrst", "abcdefghijklmnopqrstuvwxyz", "éèàüabc", "日本語中文"):
+        for n in (ours.window - 1, ours.window, ours.window + 1, 5000):
+            s = "".join(rng.choice(alphabet) for _ in range(n))
+            assert ours.encode(s) == theirs.encode_ordinary(s)
+    for run in ("a", "=", " ", "th", "=-"):
+        assert ours.encode(run * 3000 + "x") == theirs.encode_ordinary(run * 3000 + "x")
+
+
+def test_pieces_of_known_stretches(ours, theirs):
+    for s in ("erat erat*** erat, erat*** erat", "a a!! !! a!!a !!a", "x  x\n x\n\n  x x"):
+        ours.known.clear(), ours.marks.clear()
+        assert ours.encode(s) == ours.encode(s) == theirs.encode_ordinary(s)
 
 
 def test_long_piece_is_linear(ours):

@@ -9,7 +9,8 @@ walks over the piece with the longest token that is compatible with the one
 before it, falls back to shorter tokens, and steps back where none fits; a
 byte position that led nowhere is never tried again, so the work is linear
 in the piece. Pair compatibility is memoised, and so are the ids of recent
-pieces.
+pieces. The longest tokens are taken one after another by the automaton as
+long as they fit; only where one does not, shorter ones are tried.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 _PAIRS = 1 << 19
 _PIECES = 400_000
+_MARKS = 50_000
 
 # A space before a visible character always starts a new piece of the pattern.
 _PART = re.compile(r" (?=\S)")
@@ -61,10 +63,13 @@ class Bpe:
         }
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_STRING)
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
+            self.automaton.add_word(token.decode("latin-1"), rank)
         self.automaton.make_automaton()
+        self.widest = max(map(len, ranks))
+        self.window = max(256, 4 * self.widest)
         self.fits: dict[tuple[int, int], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.marks: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the joined bytes of the two tokens gives exactly the two tokens."""
@@ -96,39 +101,70 @@ class Bpe:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Token ids of one piece."""
-        longest: list[int] = [-1] * len(piece)
-        for end, (size, rank) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - size + 1] = rank  # later ends are longer
+        text = piece.decode("latin-1")
+        fits, size, shorter = self.fits, self.size, self.shorter
         out: list[int] = []
-        open_ = bytearray(b"\x01") * (len(piece) + 1)
-        at, candidate, before = 0, longest[0] if piece else None, None
-        size, fits, shorter = self.size, self.fits, self.shorter
-        while at < len(piece):
-            while candidate is not None:
-                end = at + size[candidate]
-                if open_[end]:
-                    if before is None:
+        closed: set[int] = set()
+        at, before = 0, None
+        while at < len(text):
+            # The longest token at each place reached, as long as it fits the one before it. A window keeps the
+            # cost of a restart bounded; its matches are the longest as long as a whole token fits into it.
+            window = text[at : at + self.window]
+            safe = len(text) if at + len(window) == len(text) else at + len(window) - self.widest
+            start = at
+            candidate: int | None = None
+            for last, rank in self.automaton.iter_long(window):
+                last += start
+                if at > safe:
+                    break
+                if before is not None:
+                    fit = fits.get((before, rank))
+                    if not (self.compatible(before, rank) if fit is None else fit):
+                        candidate = shorter[rank]
                         break
-                    fit = fits.get((before, candidate))
-                    if self.compatible(before, candidate) if fit is None else fit:
+                if closed and last + 1 in closed:
+                    candidate = shorter[rank]
+                    break
+                out.append(rank)
+                at, before = last + 1, rank
+            else:
+                continue
+            if at > safe:
+                continue
+            # A shorter token, or a step back where none fits: that place is closed, the token before it was too long.
+            while True:
+                while candidate is not None:
+                    end = at + size[candidate]
+                    if end not in closed and (before is None or self.compatible(before, candidate)):
                         break
-                candidate = shorter[candidate]
-            if candidate is None:  # nothing fits here: this position is closed, the last token was too long
-                open_[at] = 0
+                    candidate = shorter[candidate]
+                if candidate is not None:
+                    break
+                closed.add(at)
                 candidate = out.pop()
-                before = out[-1] if out else None
                 at -= size[candidate]
-                continue
+                before = out[-1] if out else None
+                candidate = shorter[candidate]
             out.append(candidate)
             at, before = end, candidate
-            candidate = longest[at] if at < len(piece) else None
         return out
 
     def _ids(self, part: str) -> tuple[int, ...]:
         """Ids of a stretch of text that starts and ends at borders of pieces."""
+        pieces = self.pieces(part)
+        if len(pieces) == 1:
+            return tuple(self.encode_piece(part.encode("utf-8", "surrogatepass")))
         out: list[int] = []
-        for piece in self.pieces(part):
-            out += self.encode_piece(piece.encode("utf-8", "surrogatepass"))
+        for piece in pieces:
+            # A piece after a space may be known as a stretch of its own; the others are mostly marks.
+            ids = self.known.get(piece[1:]) if piece[0] == " " else self.marks.get(piece)
+            if ids is None:
+                ids = tuple(self.encode_piece(piece.encode("utf-8", "surrogatepass")))
+                if piece[0] != " ":
+                    if len(self.marks) >= _MARKS:
+                        self.marks.clear()
+                    self.marks[piece] = ids
+            out += ids
         return tuple(out)
 
     def encode(self, text: str) -> list[int]:
