@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from workgrid.llm import decontaminate as D
 
 
@@ -22,7 +25,11 @@ def brute(docs, items):
     return out
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("bits", [None, 6])  # 6: one word, in which every bit is set
+def test_against_brute_force(spark, monkeypatch, bits):
+    if bits:
+        monkeypatch.setattr(D, "MIN_BITS", bits)
+        monkeypatch.setattr(D, "MAX_BITS", bits)
     rng = random.Random(2)
     vocab = ["w%d" % i for i in range(60)]
     say = lambda n: [rng.choice(vocab) for _ in range(n)]
@@ -48,6 +55,17 @@ def test_against_brute_force(spark):
     assert D.drop_contaminated(spark, df, bench.limit(0)).count() == len(docs)
 
 
+def test_tables_are_sized_by_their_hashes(spark):
+    assert [D.table_bits(n) for n in (0, 1, 2**17, 2**17 + 1, 2**20, 10**9)] == [23, 23, 23, 24, 26, 27]
+    hashes = np.random.default_rng(0).integers(0, 2**64, 3000, np.uint64)
+    frame = spark.createDataFrame([(int(h),) for h in hashes.view(np.int64)], "h long")
+    other = np.random.default_rng(1).integers(0, 2**64, 20_000, np.uint64)
+    for bits in (6, 12, 18, 24):
+        table = D._table(frame, bits)
+        assert table.size * 64 == 2**bits and D._in_table(table, hashes).all()
+        assert D._in_table(table, other).mean() <= 3000 / 2**bits * 1.3 + 1e-3
+
+
 def test_sketch_exceeds_what_an_item_may_miss(spark):
     rows = spark.range(1, 3000).select("id", D.sketch_size(__import__("pyspark").sql.functions.col("id"), 0.8).alias("m")).collect()
     for r in rows:

@@ -46,10 +46,22 @@ def test_letters_and_symbols_of_other_scripts():
     assert model.margins(["\x02дурак"])[0] > 0 > model.margins(["\x02весна", "\x02город"]).max()
 
 
-def test_collapsed_decision_equals_kernel_expansion():
+def test_collapsed_decision_equals_kernel_expansion(monkeypatch):
     rng = np.random.default_rng(0)
     words = ["\x02" + "".join(rng.choice(list("abcdeorst"), 6)) for _ in range(300)]
-    model = T._fit_svm([("\x02moron", 3.0), ("\x02clown", 2.0)], words)
+    positive = [("\x02moron", 3.0), ("\x02clown", 2.0)]
+    solved, svm = {}, T._svm
+
+    def kept(x, y, weight):
+        solved["x"], solved["w"] = x, svm(x, y, weight)
+        return solved["w"]
+
+    monkeypatch.setattr(T, "_svm", kept)
+    model = T._fit_svm(positive, words)
+    units = [*(u for u, _ in positive), *(s for u, _ in positive for s in T._spellings(u)), *words]
+    w, bias = solved["w"]
+    # The decision from the Nyström features of every training unit, and from the table over its triples.
+    assert model.margins(units) == pytest.approx(solved["x"] @ w + bias, abs=1e-9)
     assert model.margins(["\x02moron", "\x02m-o-r-o-n", "\x02clxown"]).min() > model.margins(words).max()
 
 

@@ -12,9 +12,12 @@ fewer than ``m``, so it holds at least one sketch shingle: the candidate
 search loses nothing. Candidates are then checked by exact shingle
 containment.
 
-Documents are scanned once. Two bit tables of fixed size (one of sketch
-hashes, one of all item hashes) are broadcast; a document without a sketch
-bit gives no row. Surviving shingles join the items by hash, salted by
+Documents are scanned once. Two bit tables (one of sketch hashes, one of all
+item hashes) are broadcast, sized by the counted hashes between ``MIN_BITS``
+and ``MAX_BITS``, so that few other shingles hit a bit; a document without a
+sketch bit gives no row. The tables only save rows: whatever passes them meets
+the items by hash, so a benchmark that fills the largest table costs more
+shuffle and loses nothing. Surviving shingles join the items salted by
 document, so a passage that a third of all documents share is spread.
 """
 
@@ -34,7 +37,8 @@ from workgrid.llm.common import stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TABLE_BITS = 23
+#: Sizes of a bit table as powers of two: 1 MiB to 16 MiB; between them ``SPARSE`` bits or more for each hash.
+MIN_BITS, MAX_BITS, SPARSE = 23, 27, 64
 SALTS = 8
 
 _PUNCT = bytes(c for c in range(128) if not chr(c).isalnum())
@@ -71,19 +75,23 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _table(hashes: DataFrame, spark: SparkSession) -> np.ndarray:
-    """Bit table of the hashes' leading bits; at most ``2**TABLE_BITS / 64`` rows reach the driver."""
-    index = F.shiftrightunsigned("h", 64 - TABLE_BITS)
-    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - TABLE_BITS}) & 63 AS INT))")
-    parts = hashes.groupBy(F.shiftrightunsigned(index, 6).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).collect()
-    table = np.zeros(1 << (TABLE_BITS - 6), np.uint64)
-    for r in parts:
-        table[r["at"]] = np.int64(r["bits"]).view(np.uint64)
+def table_bits(n: int) -> int:
+    """Size of the bit table for ``n`` hashes, as a power of two."""
+    return min(MAX_BITS, max(MIN_BITS, (SPARSE * n - 1).bit_length()))
+
+
+def _table(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bit table of the hashes' leading bits; at most ``2**bits / 64`` rows reach the driver, as Arrow columns."""
+    index = F.shiftrightunsigned("h", 64 - bits)
+    bit = F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h, {64 - bits}) & 63 AS INT))")
+    parts = hashes.groupBy(F.shiftrightunsigned(index, 6).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.uint64)
+    table[parts["at"].to_numpy()] = parts["bits"].to_numpy().view(np.uint64)
     return table
 
 
 def _in_table(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    index = h >> np.uint64(64 - TABLE_BITS)
+    index = h >> np.uint64(64 - (table.size * 64 - 1).bit_length())
     return (table[index >> np.uint64(6)] >> (index & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -117,8 +125,9 @@ def contained_items(
         spark, sized.withColumn("sketch", rank <= sketch_size(F.col("n"), threshold)), "items"
     )
     widths = sorted(r["width"] for r in shingled.select("width").distinct().collect())  # 1 to 5
-    tables = spark.sparkContext.broadcast(
-        (_table(shingled.where("sketch"), spark), _table(shingled, spark))  # fixed size
+    n = shingled.agg(F.count_if("sketch").alias("sketch"), F.count(F.lit(1)).alias("every")).first()
+    tables = spark.sparkContext.broadcast(  # at most 2**MAX_BITS bits each
+        (_table(shingled.where("sketch"), table_bits(n["sketch"])), _table(shingled, table_bits(n["every"])))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
