@@ -2,6 +2,7 @@ import hashlib
 import re
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from workgrid.llm import pii
@@ -160,6 +161,14 @@ def test_numbers_beside_others(spark):
     assert {texts[r.doc_id]: r.text for r in pii.pseudonymise(docs, KEY).collect()} == cases
 
 
+def test_a_walk_that_does_not_end_is_an_error(spark, monkeypatch):
+    texts = spark.createDataFrame([(i, f"no {100 + i}-{10 + i % 80}-{1000 + i}") for i in range(200)], "doc_id long, text string")
+    assert all(r.text is not None for r in pii.pseudonymise(texts, "k").collect())
+    monkeypatch.setattr(pii, "WALK", 1)  # a ninth of all numbers needs a second step
+    with pytest.raises(Exception, match="no valid pseudonym within 1 steps"):
+        pii.pseudonymise(texts, "k").collect()
+
+
 def test_native_plan(spark):
     plan = pii.pseudonymise(spark.createDataFrame([(1, "x")], "doc_id long, text string"), KEY)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)

@@ -136,7 +136,7 @@ def _walk(value: Column, step: Callable[[Column], Column], valid: Callable[[Colu
     """Apply a permutation until its value is valid again: a permutation of the valid values.
 
     The chance of a longer way than ``WALK`` steps is below 1e-12 for the
-    formats here; such a value would become its last step.
+    formats here; such a value raises an error, as its last step may be invalid.
     """
 
     def turn(s: Column, _: Column) -> Column:
@@ -144,7 +144,9 @@ def _walk(value: Column, step: Callable[[Column], Column], valid: Callable[[Colu
         return _let(moved, lambda v: F.struct(v.alias("v"), (s["done"] | valid(v)).alias("done")))
 
     start = F.struct(value.alias("v"), F.lit(False).alias("done"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, turn)["v"]
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), start, turn)
+    error = F.raise_error(F.lit(f"no valid pseudonym within {WALK} steps; use another key"))
+    return _let(last, lambda s: F.when(s["done"], s["v"]).otherwise(error))
 
 
 def _digits(text: Column) -> Column:
