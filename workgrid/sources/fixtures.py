@@ -34,6 +34,14 @@ def _days(d: Column, n: Column) -> Column:
     return F.date_add(d, n.cast("int"))
 
 
+def _task_id() -> Column:
+    return F.concat(F.lit("t"), _s("l_orderkey"), F.lit("-"), _s("l_linenumber"))
+
+
+def _leave_part(partkey: Column) -> Column:
+    return partkey % 40 < 3
+
+
 class FixtureTables:
     """Lazy accessors for every derived table; each is built once per instance."""
 
@@ -171,9 +179,14 @@ class FixtureTables:
             .distinct()
         )
 
-    def _line_keys(self) -> DataFrame:
-        return self.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-            F.min("l_partkey").alias("partkey"), F.sum("l_quantity").cast("int").alias("qty")
+    def _lines(self, *columns: str) -> DataFrame:
+        """Lines of an order, dealt by the order once: grouping them and meeting their order need no further shuffle."""
+        return self.raw("lineitem").where(F.col("l_orderkey").isNotNull()).select("l_orderkey", *columns).repartition("l_orderkey")
+
+    def _line_keys(self, *more: Column) -> DataFrame:
+        lines = self._lines("l_linenumber", "l_partkey", "l_quantity", *(["l_suppkey"] if more else []))
+        return lines.groupBy("l_orderkey", "l_linenumber").agg(
+            F.min("l_partkey").alias("partkey"), F.sum("l_quantity").cast("int").alias("qty"), *more
         )
 
     def _task_base(self) -> DataFrame:
@@ -188,8 +201,8 @@ class FixtureTables:
                 .select(
                     "l_orderkey", "l_linenumber", "partkey", "qty",
                     F.col("o_orderdate").cast("date").alias("od"),
-                    (pk % 40 < 3).alias("leave_flag"),
-                    F.concat(F.lit("t"), _s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("task_id"),
+                    _leave_part(pk).alias("leave_flag"),
+                    _task_id().alias("task_id"),
                     F.when(pk % 40 == 0, "Annual Holiday")
                     .when(pk % 40 == 1, "Sick leave")
                     .when(pk % 40 == 2, "Other leave")
@@ -223,30 +236,33 @@ class FixtureTables:
         )
 
     def _build_jobtaskassignee(self) -> DataFrame:
-        li = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-        b = self._task_base().select(
-            F.col("l_orderkey").alias("b_orderkey"), F.col("l_linenumber").alias("b_linenumber"), "task_id", "leave_flag", "qty"
-        )
-        sup = self.raw("supplier").select("s_suppkey", "s_name")
-        k = F.col("l_suppkey")
+        # The distinct suppliers of a line come from the aggregate that gives its part and quantity; with
+        # every lookup reduced to distinct rows first, the result is distinct and needs no shuffle for it.
+        lines = self._line_keys(F.collect_set("l_suppkey").alias("suppkeys")).where(F.col("l_linenumber").isNotNull())
+        k = F.col("s_suppkey")
+        sup = self.raw("supplier").select(
+            k, F.when(k % 50 == 13, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("name")).distinct()
         sid = F.concat(F.lit("s"), _s(k))
         return (
-            li.join(b, (li.l_orderkey == b.b_orderkey) & (li.l_linenumber == b.b_linenumber))
-            .join(sup, sup.s_suppkey == li.l_suppkey)
+            lines.join(self.raw("orders").select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+            .join(self.raw("part").select("p_partkey"), F.col("p_partkey") == F.col("partkey"), "left_semi")
+            .withColumn("suppkey", F.explode("suppkeys"))
+            .join(sup, F.col("s_suppkey") == F.col("suppkey"))
             .select(
-                F.col("task_id").alias("job_task_id"),
+                _task_id().alias("job_task_id"),
                 sid.alias("uuid"),
                 sid.alias("staff_id"),
-                F.when(k % 50 == 13, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("name"),
-                F.when(F.col("leave_flag"), F.when(k % 2 == 0, F.lit(480)).otherwise(F.lit(240)))
+                "name",
+                F.when(_leave_part(F.col("partkey")), F.when(k % 2 == 0, F.lit(480)).otherwise(F.lit(240)))
                 .otherwise(F.col("qty") * 60)
                 .alias("allocated_minutes"),
             )
-            .distinct()
         )
 
     def _build_time_entries(self) -> DataFrame:
-        tb = self.raw("lineitem").groupBy(
+        lines = self._lines(
+            "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "l_linestatus", "l_returnflag", "l_quantity")
+        tb = lines.groupBy(
             "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_shipdate").cast("date").alias("sd")
         ).agg(
             F.min("l_linestatus").alias("ls"),
