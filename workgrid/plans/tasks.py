@@ -39,10 +39,11 @@ def task_base(jobtask: DataFrame, jobtaskassignee: DataFrame, jobdetails: DataFr
     )
     cd = clientdetails.select(F.col("uuid").alias("_cd_uuid"), F.col("name").alias("client_name"))
     tn = task_names.select(F.col("task_name").alias("_tn_name"), "task_type")
+    # A job meets its client before the task rows meet the job: the client's name costs no shuffle of the tasks.
+    jobs = left_join_sparse(jd, cd, "_jd_client", "_cd_uuid", "_jd_id")
     return (
-        left_join_sparse(
-            jt.join(jta, F.col("_jta_task") == F.col("_jt_rid")).join(jd, F.col("_jd_id") == F.col("job_id"), "left"),
-            cd, "_jd_client", "_cd_uuid", "task_uuid")
+        jt.join(jta, F.col("_jta_task") == F.col("_jt_rid"))
+        .join(jobs, F.col("_jd_id") == F.col("job_id"), "left")
         .join(tn, F.col("_tn_name") == F.col("task_name"), "left")
         .select(
             composite_id("job_id", "task_uuid", "staff_uuid").alias("job_task_staff_id"),
@@ -133,7 +134,11 @@ def job_task_details(base: DataFrame, person_days: DataFrame, minutes: DataFrame
     their three key columns, so the task rows are shuffled once for it and
     once, on the person, for the day counts.
     """
-    df = with_calendar_counts(_with_minutes(base, minutes), person_days, params)
+    # What other columns of the row give is put in after the last shuffle.
+    narrow = base.drop("job_task_staff_id", "is_task_a_leave")
+    df = with_calendar_counts(_with_minutes(narrow, minutes), person_days, params).select(
+        composite_id("job_id", "task_uuid", "staff_uuid").alias("job_task_staff_id"), "*",
+        is_leave_name("task_name").alias("is_task_a_leave"))
     c = F.col
     L = c("is_task_a_leave")
     A = is_admin(c("task_name"), c("client_name"), params)
