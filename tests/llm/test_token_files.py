@@ -42,6 +42,30 @@ def test_parts_give_the_ids_of_whole_texts(whole):
     assert [x.tolist() for x in T.Encoder(PATH).ids(ODD)] == [whole(t) for t in ODD]
 
 
+def test_parts_of_random_texts(whole):
+    rng = np.random.default_rng(1)
+    signs = [*"aZ '.,%\n\t1", "\r\n", "'s", " '", "  ", "\n\n", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u205f", "\u3000", "\u3001", "é", "\u00bf", "\u201c", "日", "😀", "word", "<|endoftext|>"]
+    texts = ["".join(rng.choice(signs, rng.integers(0, 25))) for _ in range(20_000)]
+    assert [x.tolist() for x in T.Encoder(PATH).ids(texts)] == [whole(t) for t in texts]
+
+
+def test_words_are_tokenized_once_whatever_mark_follows(whole):
+    encoder = T.Encoder(PATH)
+    words, marks = [f"thing{a}{b}" for a in "abcdefgh" for b in "abcdefgh"], [".", ",", "!!", ".\n", ").\n"]
+    texts = ["".join(f" {w}{m}" for w in words) for m in marks]
+    assert [x.tolist() for x in encoder.ids(texts)] == [whole(t) for t in texts]
+    assert len(encoder.known) < len(words) + 20
+
+
+def test_joined_crcs_of_many_texts():
+    rng = np.random.default_rng(2)
+    parts = [[rng.bytes(int(n)) for n in rng.integers(1, 70_000, k)] for k in (1, 3, 1, 6, 2)]
+    flat = [p for text in parts for p in text]
+    first = np.cumsum([0, *map(len, parts)])[:-1]
+    got = T.joined_crcs(first, np.array([*map(len, flat)]), np.array([*map(zlib.crc32, flat)]))
+    assert got.tolist() == [zlib.crc32(b"".join(text)) for text in parts]
+
+
 def test_joined_crc():
     data = bytes(range(256)) * 9
     for cuts in ([0, 100, 101, 2000, len(data)], [0, len(data)]):

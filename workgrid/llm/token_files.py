@@ -17,30 +17,85 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from workgrid.llm import range_coder
-from workgrid.llm.bpe import _LOOSE, _PART
 
 BLOCK = 4096
 END = 0
 _KNOWN = 400_000
+_RUN = 64
+_TEXT = 1 << 23  # bytes of the texts that are tokenized together
+# White space as Python has it: code points, single bytes, and the first bytes of the longer ones.
+_BLANKS = np.array([c for c in range(1 << 16) if chr(c).isspace()])
+_BLANK = np.isin(np.arange(256), _BLANKS[_BLANKS < 128])
+_BLANK_LEAD = np.isin(np.arange(256), [chr(c).encode()[0] for c in _BLANKS[_BLANKS >= 128]])
+
+# ASCII letters and ASCII marks; the apostrophe is neither, as it may begin a contraction.
+_LETTER = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
+_MARK = np.array([33 <= c < 127 and not chr(c).isalnum() and c != 39 for c in range(256)])
 
 _PIECE = "struct<doc:long,doc_id:{kind},piece:long,start:long,n:long>"
 
 
+def _visible(body: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a character other than white space begins at each of the places ``at`` of UTF-8 bytes."""
+    lead = body[at]
+    out = ~_BLANK[lead]
+    wide = np.flatnonzero(_BLANK_LEAD[lead])
+    if wide.size:
+        place, first = at[wide], lead[wide].astype(np.int64)
+        second = body[place + 1] & 63
+        third = body[np.minimum(place + 2, body.size - 1)] & 63
+        point = np.where(first == 0xC2, 0x80 | second, (first & 15) << 12 | second.astype(np.int64) << 6 | third)
+        out[wide] = ~np.isin(point, _BLANKS)
+    return out
+
+
+def _parts(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The texts cut where the tokenizer's pattern surely starts a piece, and the number of the first part of each text.
+
+    That is before a space that a visible character follows, between an
+    ASCII letter and an ASCII mark, before a line feed after one of these,
+    and after such a line feed before an ASCII letter. Fewer cuts would give
+    the same ids. The parts lie in the bytes of the texts; nothing is copied.
+    """
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    body = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
+    starts, ends = at[:-1] - at[0], at[1:] - at[0]
+    space = np.flatnonzero(body == 32)
+    last = np.zeros(body.size + 1, bool)
+    last[ends] = True
+    space = space[~last[space + 1]]
+    cut = np.zeros(body.size, bool)
+    cut[space[_visible(body, space + 1)]] = True
+    letter, mark = _LETTER[body], _MARK[body]
+    line = body[1:] == 10
+    line &= letter[:-1] | mark[:-1]
+    cut[1:] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:]) | line
+    cut[2:] |= line[:-1] & letter[2:]
+    cuts = np.flatnonzero(cut)
+    before = np.searchsorted(cuts, starts)
+    bounds = np.append(np.insert(cuts, before, starts), body.size).astype(np.int64)
+    parts = pa.Array.from_buffers(pa.large_string(), bounds.size - 1, [None, pa.py_buffer(bounds), pa.py_buffer(body)])
+    return parts, before + np.arange(starts.size)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library; parts between spaces are remembered.
 
     The tokenizer's pattern starts a new piece at every space before a
-    visible character, so the ids of a text are those of its parts.
+    visible character, so the ids of a text are those of its parts. Equal
+    parts of a batch of texts are looked up once.
     """
 
     def __init__(self, path: str):
@@ -49,29 +104,54 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.begins = np.zeros(1 << 16, bool)  # tokens that begin with a space, as byte-level vocabularies write it
+        self.begins[[i for t, i in self.tokenizer.get_vocab().items() if t[:1] == "\u0120" and i < 1 << 16]] = True
         self.known: dict[str, bytes] = {}
 
     def _new(self, parts: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        if any(e.ids and max(e.ids) > range_coder.MAX_ID for e in found):
-            raise ValueError("ids above 65535 do not fit the file format")
-        self.known.update(zip(parts, (np.array(e.ids, "<u2").tobytes() for e in found)))
-
-    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        # Parts that begin with their only space are encoded many at once: a token that begins with a space begins a part.
+        spaced = [p for p in parts if p[:1] == " " and p.count(" ") == 1 and len(p) > 1]
+        runs = [spaced[lo : lo + _RUN] for lo in range(0, len(spaced), _RUN)]
+        for run, ids in zip(runs, self._encoded(["".join(run) for run in runs])):
+            starts = np.flatnonzero(self.begins[ids])
+            if starts.size != len(run):
+                raise ValueError("the tokens of a run of parts do not begin with the parts")
+            data, ends = ids.tobytes(), [*(2 * starts[1:]).tolist(), 2 * ids.size]
+            self.known.update(zip(run, (data[lo:hi] for lo, hi in zip([0, *ends], ends))))
+        others = [p for p in parts if p not in self.known]
+        self.known.update(zip(others, (ids.tobytes() for ids in self._encoded(others))))
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        try:
+            return [np.frombuffer(array("H", e.ids), np.uint16) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        except OverflowError:
+            raise ValueError("ids above 65535 do not fit the file format") from None
+
+    def ids(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Ids of every text with the end id, as unsigned 16-bit integers."""
-        split = []
-        for text in texts:
-            first, *rest = (text or "").split(" ") if not _LOOSE.search(text or "") else _PART.split(text or "")
-            split.append([first, *(" " + p for p in rest)])
-        new = set(chain.from_iterable(split)).difference(self.known)
+        whole = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(whole):
+            return []
+        parts, first = _parts(whole.fill_null(""))
+        coded = parts.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > _KNOWN:
             self.known.clear()
-            new = set(chain.from_iterable(split))
+            new = words
         if new:
-            self._new(list(new))
-        known = self.known.__getitem__
-        end = np.array([END], "<u2").tobytes()
-        return [np.frombuffer(b"".join([*map(known, parts), end]), "<u2") for parts in split]
+            self._new(new)
+        known = [*map(self.known.__getitem__, words), array("H", [END]).tobytes()]
+        flat = np.frombuffer(b"".join(known), np.uint16)
+        size = np.fromiter(map(len, known), np.int64, len(known)) >> 1
+        begin = np.cumsum(size) - size
+        # The end id is a part of its own after the parts of each text.
+        after = np.append(first[1:], len(parts))
+        code = np.insert(coded.indices.to_numpy(), after, len(words))
+        sizes = size[code]
+        ends = np.cumsum(sizes)
+        ids = flat[np.repeat(begin[code] - ends + sizes, sizes) + np.arange(ends[-1])]
+        return np.split(ids, ends[after[:-1] + np.arange(first.size - 1)])
 
 
 _LOADED: dict[str, Encoder] = {}
@@ -84,6 +164,16 @@ def _encoder(path: str) -> Encoder:
     return _LOADED[path]
 
 
+def _by_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``_TEXT`` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _TEXT)), lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def _write(path: str, kind: pa.DataType):
     piece = pa.struct([("doc", pa.int64()), ("doc_id", kind), ("piece", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("pieces", pa.list_(piece)), ("payload", pa.binary())])
@@ -119,8 +209,8 @@ def _write(path: str, kind: pa.DataType):
             return out
 
         for whole in batches:
-            for batch in (whole.slice(lo, 200) for lo in range(0, whole.num_rows, 200)):
-                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1).to_pylist())):
+            for batch in _by_size(whole):
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.ids(batch.column(1))):
                     at = part = 0
                     while at < ids.size:
                         n = min(BLOCK - filled, ids.size - at)
@@ -178,39 +268,54 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, kind)], names=[*names, "doc_id"])
 
 
-def _times_x8(crc: int, n: int) -> int:
-    """crc of a text followed by ``n`` zero bytes, without the final inversion: a product of polynomials modulo the crc's."""
+def _times_x8(crc: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """crc of texts followed by ``n`` zero bytes, without the final inversion: products of polynomials modulo the crc's."""
+    out, n = crc.astype(np.int64), n.astype(np.int64)
+    power = np.array([0x00800000])  # x**8, highest term in the lowest bit
 
-    def product(a: int, b: int) -> int:
-        out = 0
-        for _ in range(32):
-            if a & 0x80000000:
-                out ^= b
-            a = (a << 1) & 0xFFFFFFFF
+    def product(a: np.ndarray, b: int) -> np.ndarray:
+        found = np.zeros_like(a)
+        for k in range(31, -1, -1):
+            found ^= (a >> k & 1) * b
             b = (b >> 1) ^ (0xEDB88320 if b & 1 else 0)
-        return out
+        return found
 
-    power, base = 0x80000000, 0x00800000  # 1 and x**8, highest term in the lowest bit
-    while n:
-        if n & 1:
-            power = product(power, base)
-        base = product(base, base)
+    while n.any():
+        at = np.flatnonzero(n & 1)
+        if at.size:
+            out[at] = product(out[at], int(power[0]))
+        power = product(power, int(power[0]))
         n >>= 1
-    return product(power, crc)
+    return out
+
+
+def joined_crcs(first: np.ndarray, n: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    """crc32 of texts from the bytes and crc32 of their consecutive parts; ``first`` has the place of each text's first part."""
+    ends = np.cumsum(n)
+    count = np.diff(np.append(first, n.size))
+    whole = np.repeat(ends[first + count - 1], count)
+    return np.bitwise_xor.reduceat(_times_x8(crc, whole - ends), first)
 
 
 def joined_crc(parts: list[tuple[int, int]]) -> int:
     """crc32 of a text from ``(bytes, crc32)`` of its consecutive parts."""
-    out = 0
-    for n, crc in parts:
-        out = _times_x8(out, n) ^ crc
-    return out
+    n, crc = np.array(parts, np.int64).T
+    return int(joined_crcs(np.array([0]), n, crc)[0])
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = batch.schema.get_field_index("parts")
-        crcs = [joined_crc([(4 * p["n"], p["crc"]) for p in parts]) for parts in batch.column(at).to_pylist()]
+        parts = batch.column(at)
+        if batch.num_rows:
+            # Every document has a part: its end id is one of its ids.
+            first = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+            first = np.append(0, first[:-1])
+            flat = parts.flatten()
+            n, crc = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("n", "crc"))
+            crcs = joined_crcs(first, 4 * n, crc)
+        else:
+            crcs = np.empty(0, np.int64)
         yield batch.set_column(at, "ids_crc32", pa.array(crcs, pa.int64()))
 
 
