@@ -55,16 +55,16 @@ class _Model:
     def __init__(self, lanes: int):
         self.lanes = lanes
         lane = np.arange(lanes, dtype=np.int64)
-        self.base2, self.base1, self.base0 = lane << _SLOT2, lane << _SLOT1, lane << _SLOT0
+        # Rows of two: order 2 and order 1, side by side so that a step handles both at once.
+        self.base = np.stack([lane << _SLOT2, (lanes << _SLOT2) + (lane << _SLOT1)])
+        self.base0 = lane << _SLOT0
         self.base_cum = lane * (_SLOTS + 2)
         # Predicted id in the low 16 bits, confidence 0 to 3 above; confidence 0 without a prediction.
-        self.next2 = np.zeros(lanes << _SLOT2, np.int32)
-        self.next1 = np.zeros(lanes << _SLOT1, np.int32)
-        # Probabilities of the first two outcomes, by confidence and agreement.
-        self.prob2 = np.full((2, lanes * 8), _ONE // 4, np.int32)
-        self.prob1 = np.full((2, lanes * 8), _ONE // 4, np.int32)
-        self.base_p = lane * 8
-        self.weight = np.full(lanes, 1 << (_W - 1), np.int32)
+        self.next = np.zeros((lanes << _SLOT2) + (lanes << _SLOT1), np.int32)
+        # Probabilities of the first two outcomes (two 32-bit halves of a cell), by confidence and agreement.
+        self.prob = np.full((2 * lanes * 8, 2), _ONE // 4, np.int32).view(np.int64).reshape(-1)
+        self.base_p = np.stack([lane * 8, (lanes + lane) * 8])
+        self.weight = np.full((lanes, 1), 1 << (_W - 1), np.int32)
         self.owner = np.full(lanes << _SLOT0, -1, np.int32)
         self.count = np.zeros((lanes, _SLOTS + 1), np.int32)
         self.count[:, _ESCAPE] = _GAIN
@@ -74,7 +74,7 @@ class _Model:
         self.last2 = np.zeros(lanes, np.int64)
 
     def rebuild(self) -> None:
-        np.cumsum(self.count, axis=1, out=self.cum[:, 1:])
+        np.cumsum(self.count, axis=1, dtype=np.int32, out=self.cum[:, 1:])
         full = self.cum[:, -1] > _CEILING
         if full.any():
             self.count[full] = (self.count[full] + 1) >> 1
@@ -84,40 +84,41 @@ class _Model:
     def predict(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For the first ``n`` lanes: predicted ids of order 2 and 1, frequencies of the first two outcomes."""
         a, b = self.last1[:n], self.last2[:n]
-        self.at2 = self.base2[:n] + (((a * 40503 + b * 30011) >> 3) & ((1 << _SLOT2) - 1))
-        self.at1 = self.base1[:n] + ((a * 40503 >> 4) & ((1 << _SLOT1) - 1))
-        v2, v1 = self.next2.take(self.at2), self.next1.take(self.at1)
-        self.v2, self.v1 = v2, v1
-        c2, c1 = v2 & MAX_ID, v1 & MAX_ID
-        agree = (c2 == c1).astype(np.int32) << 2
-        self.p2 = self.base_p[:n] + (v2 >> 16) + agree
-        self.p1 = self.base_p[:n] + (v1 >> 16) + agree
-        w = self.weight[:n]
-        self.f2 = (self.prob2[0].take(self.p2), self.prob2[1].take(self.p2))
-        self.f1 = (self.prob1[0].take(self.p1), self.prob1[1].take(self.p1))
-        first = self.f1[0] + ((self.f2[0] - self.f1[0]) * w >> _W)
-        second = self.f1[1] + ((self.f2[1] - self.f1[1]) * w >> _W)
-        return c2, c1, first.astype(np.int64), second.astype(np.int64)
+        a = a * 40503
+        self.at = np.empty((2, n), np.int64)
+        np.add(self.base[0, :n], (a + b * 30011 >> 3) & ((1 << _SLOT2) - 1), out=self.at[0])
+        np.add(self.base[1, :n], (a >> 4) & ((1 << _SLOT1) - 1), out=self.at[1])
+        v = self.v = self.next.take(self.at)
+        c = self.c = v & MAX_ID
+        self.sure = v >> 16
+        agree = (c[0] == c[1]).view(np.int8) << 2
+        self.p = self.base_p[:, :n] + (self.sure + agree)
+        f = self.f = self.prob.take(self.p).view(np.int32).reshape(2, n, 2)
+        self.lead = f[0] - f[1]
+        mixed = f[1] + (self.lead * self.weight[:n] >> _W)
+        return c[0], c[1], mixed[:, 0].astype(np.int64), mixed[:, 1].astype(np.int64)
 
     def update(self, n: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        a, b = hit2.astype(np.int32), hit1.astype(np.int32)
         # The weight moves to the order that gave the outcome the higher probability.
-        lead0, lead1 = self.f2[0] - self.f1[0], self.f2[1] - self.f1[1]
+        lead0, lead1 = self.lead[:, 0], self.lead[:, 1]
         lead = np.where(hit2, lead0, np.where(hit1, lead1, -(lead0 + lead1)))
-        w = self.weight[:n]
-        w += (np.sign(lead) << 1).astype(np.int32)
-        np.clip(w, 8, (1 << _W) - 8, out=w)
+        w = self.weight[:n, 0]
+        w += np.sign(lead) << 1
+        np.minimum(np.maximum(w, 8, out=w), (1 << _W) - 8, out=w)
         room = _ONE - 64  # both stay above 16 and leave 16 for "neither"
-        for prob, at, f in ((self.prob2, self.p2, self.f2), (self.prob1, self.p1, self.f1)):
-            prob[0][at] = np.maximum(f[0] + ((a * room - f[0]) >> _RATE), 16)
-            prob[1][at] = np.maximum(f[1] + ((b * room - f[1]) >> _RATE), 16)
+        goal = np.empty((n, 2), np.int32)
+        np.multiply(hit2, room, out=goal[:, 0], casting="unsafe")
+        np.multiply(hit1, room, out=goal[:, 1], casting="unsafe")
+        f = goal - self.f
+        f >>= _RATE
+        f += self.f
+        np.maximum(f, 16, out=f)
+        self.prob[self.p] = f.view(np.int64).reshape(2, n)
         new = ids.astype(np.int32)
-        for table, at, v in ((self.next2, self.at2, self.v2), (self.next1, self.at1, self.v1)):
-            right = ((v & MAX_ID) == new) & (v > MAX_ID)
-            sure = np.minimum((v >> 16) + 1, 3)
-            # A wrong prediction loses confidence before it is replaced.
-            weak = v >> 16 <= 1
-            table[at] = np.where(right, new | (sure << 16), np.where(weak, new | (1 << 16), v - (1 << 16)))
+        right = (self.c == new) & (self.sure > 0)
+        # A wrong prediction loses confidence before it is replaced.
+        weak = self.sure <= 1
+        self.next[self.at] = np.where(right, new | (np.minimum(self.sure + 1, 3) << 16), np.where(weak, new | (1 << 16), self.v - (1 << 16)))
         self.last2[:n] = self.last1[:n]
         self.last1[:n] = ids
 
@@ -248,10 +249,9 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
     cum = model.cum.reshape(-1)
     ids = np.zeros((steps, lanes), np.int64)
 
-    def take(at, start, size, unit) -> None:
-        """Leave the part ``start .. start + size``."""
-        value = code[at] - unit * start
-        left = unit * size
+    def take(at, start, left) -> None:
+        """Leave the part of width ``left`` from ``start``."""
+        value = code[at] - start
         short = np.flatnonzero(left < _BOTTOM)
         if short.size:
             who = short if isinstance(at, slice) else at[short]
@@ -266,12 +266,13 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
         n = int(active[t])
         c2, c1, first, second = model.predict(n)
         unit = span[:n] >> _P
-        target = code[:n] // unit
-        both = first + second
-        hit2 = target < first
-        miss = target >= both
+        some, all_ = unit * first, unit * (first + second)
+        value = code[:n]
+        hit2 = value < some
+        miss = value >= all_
         hit1 = ~(hit2 | miss)
-        take(slice(0, n), np.where(hit2, 0, np.where(hit1, first, both)), np.where(hit2, first, np.where(hit1, second, _ONE - both)), unit)
+        begin = np.where(hit2, 0, np.where(hit1, some, all_))
+        take(slice(0, n), begin, np.where(hit2, some, np.where(hit1, all_, unit << _P)) - begin)
         now = np.where(hit2, c2, c1).astype(np.int64)
         left = np.flatnonzero(miss)
         if left.size:
@@ -279,15 +280,16 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
             unit = span[left] // cum.take(base + _SLOTS + 1)
             target = code[left] // unit
             # Largest symbol whose cumulative frequency is not above the target.
-            symbol = np.zeros(left.size, np.int64)
-            step = _SLOTS
+            at, escape = base, base + _ESCAPE
+            step = _SLOTS >> 1
             while step:
-                up = symbol + step
-                ok = (up <= _ESCAPE) & (cum.take(base + np.minimum(up, _ESCAPE)) <= target)
-                symbol[ok] = up[ok]
+                up = at + step
+                at = np.where(cum.take(up) <= target, up, at)
                 step >>= 1
-            begin = cum.take(base + symbol)
-            take(left, begin, cum.take(base + symbol + 1) - begin, unit)
+            at = np.where(cum.take(escape) <= target, escape, at)
+            begin = cum.take(at)
+            symbol = at - base
+            take(left, unit * begin, unit * (cum.take(at + 1) - begin))
             known = symbol != _ESCAPE
             some = model.owner.take(model.base0[left] + np.minimum(symbol, _SLOTS - 1)).astype(np.int64)
             new = np.flatnonzero(~known)
@@ -295,7 +297,7 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
                 far = left[new]
                 unit = span[far] >> 16
                 some[new] = np.minimum(code[far] // unit, MAX_ID)
-                take(far, some[new], 1, unit)
+                take(far, unit * some[new], unit)
             now[left] = some
             hits = (hit2, hit1)
             model.update(n, now, *hits)
