@@ -278,7 +278,7 @@ def decode(coded: list[bytes]) -> list[np.ndarray]:
         if left.size:
             base = model.base_cum[left]
             unit = span[left] // cum.take(base + _SLOTS + 1)
-            target = code[left] // unit
+            target = (code[left] // unit).astype(np.int32)
             # Largest symbol whose cumulative frequency is not above the target.
             at, escape = base, base + _ESCAPE
             step = _SLOTS >> 1

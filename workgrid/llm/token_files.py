@@ -137,8 +137,8 @@ class Encoder:
         words = coded.dictionary.to_pylist()
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > _KNOWN:
-            self.known.clear()
-            new = words
+            # Too many: those of these texts stay.
+            self.known = {w: self.known[w] for w in words if w in self.known}
         if new:
             self._new(new)
         known = [*map(self.known.__getitem__, words), array("H", [END]).tobytes()]
