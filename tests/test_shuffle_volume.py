@@ -84,3 +84,62 @@ def test_timesheet_names_do_not_travel(spark, params, no_broadcast):
     m.cut_lineage = False
     shuffled = _shuffles(m.timesheet())
     assert "job_task_staff_id" in shuffled[0]
+
+
+def _query_model(spark, params, tables=None):
+    import __spark_entry__ as entry
+
+    return GoldModel(spark, tables or FixtureTables(spark, SF0001, params), params, cut_lineage=True, unwritten=entry.UNWRITTEN)
+
+
+@pytest.mark.parametrize("name", ["keys_time", "recorded_task_hours", "timesheet_hours_agg", "job_task_staff", "timesheet"])
+def test_readers_of_few_columns_write_no_wide_stage(spark, params, name):
+    """The rows are those of the chain in which every stage is written; names and day counts that nobody reads are not."""
+    m = _query_model(spark, params)
+    whole = GoldModel(spark, m.t, params, cut_lineage=True)
+    assert getattr(m, name)().exceptAll(getattr(whole, name)()).isEmpty()
+    assert getattr(m, name)().count() == getattr(whole, name)().count() > 0
+    assert not {"job_task_details", "timesheet", "job_task_staff", "person_days", "leave_status"} & set(m.written)
+    assert {"job_task_details", "person_days"} <= set(whole.written)
+
+
+def test_keys_and_hours_leave_out_the_lookups_of_names(spark, params, no_broadcast):
+    m = _query_model(spark, params)
+    for df in (m.keys_time(), m.recorded_task_hours()):
+        shuffled = _shuffles(df)
+        assert any("invoice_task_id" in s for s in shuffled)  # an invoice task that repeats repeats the row
+        assert not any("concat" in s or s.startswith(("job_id", "timesheet_uuid")) for s in shuffled)
+
+
+@pytest.mark.parametrize("name", ["keys_time", "timesheet", "job_task_staff", "is_billable", "staff_performance"])
+def test_repeated_task_ids_are_refused_as_before(spark, params, name):
+    from workgrid.sinks.store import DuplicateKeyError
+    from workgrid.sources.fixtures import FIXTURE_TABLES
+
+    fx = FixtureTables(spark, SF0001, params)
+    tables = {n: fx[n] for n in FIXTURE_TABLES}
+    tables["jobtask"] = fx["jobtask"].unionByName(fx["jobtask"].limit(40))
+    with pytest.raises(DuplicateKeyError):
+        getattr(_query_model(spark, params, tables), name)()
+
+
+def test_only_leave_tasks_are_exploded_for_the_performance(spark, params):
+    """The filter on leave tasks stands below the explode of the day rows, in the task rows."""
+    plan = _query_model(spark, params).allocation_hours_nonnull()._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Generate explode(CASE WHEN"):].split("\n")
+    assert any("Filter" in line and "holiday" in line.lower() for line in below)
+
+
+def test_lookups_on_one_key_share_its_shuffle(spark, params, no_broadcast):
+    """Keys meet their job, with its names and its state, dealt by it once (the other shuffle is the job lookup's own)."""
+    shuffled = _shuffles(_query_model(spark, params).allocation_by_day())
+    assert sum(s.startswith("job_id") for s in shuffled) == 2 and not any("_j6_id" in s for s in shuffled)
+
+
+def test_a_written_stage_leaves_no_shuffle_files(spark, params):
+    from workgrid.session import SHUFFLE_CLEANUP, dropped_shuffles
+
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    with dropped_shuffles(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
