@@ -97,3 +97,35 @@ def test_a_refreshed_chain_writes_touched_months_only(spark, params):
     full = refresh_chain(spark, tables, params, TableStore(spark, scratch_path(spark, "t_diff_chain")), names)
     key = lambda df: [(r.table_name, r.row_count, r.content_hash) for r in df.orderBy("step").collect()]
     assert key(done) == key(full)
+
+
+def test_a_first_publish_holds_nothing_and_writes_few_files(spark):
+    """No row is cached, a part is few files whatever the number of tasks, and a repeated key leaves no version."""
+    store = TableStore(spark, scratch_path(spark, "t_diff"))
+    rows = [(f"k{i}", m, i, i / 3) for i, m in enumerate([*months(12), None] * 40)]
+    df = spark.createDataFrame(rows, KIND).repartition(16)
+    held = len(spark._jsc.getPersistentRDDs())
+    assert difference.refresh(store, "t", df, ["k"], "start_of_month") == (520, 0, 0, 0, 13)
+    assert contents(difference.read(store, "t")) == sorted(rows, key=str)
+    assert len(store.read("t").inputFiles()) < 2 * 13
+    assert difference.refresh(store, "b", df, ["k"]).parts_written == len(store.read("b").inputFiles()) == difference.BUCKETS
+    assert spark.conf.get(difference.OPEN_FILES) == "0" and len(spark._jsc.getPersistentRDDs()) == held
+    with pytest.raises(DuplicateKeyError, match="k7"):
+        difference.refresh(store, "d", df.unionByName(df.where("k = 'k7'")), ["k"], "start_of_month")
+    assert not store.exists("d")
+
+
+def test_allocation_rows_dealt_by_month_are_the_same_rows(spark, params):
+    """Dealing task rows by the start of their window changes no day row; no day row is shuffled for it."""
+    from tests.conftest import SF0001
+    from workgrid.plans.model import GoldModel
+    from workgrid.sources.fixtures import FixtureTables
+
+    m = GoldModel(spark, FixtureTables(spark, SF0001, params), params, cut_lineage=True, unwritten=("allocation_by_day",))
+    plain = m.allocation_by_day()
+    m._memo.pop("allocation_by_day")
+    m.by_month = True
+    dealt = m.allocation_by_day()
+    assert dealt.count() == plain.count() > 0 and dealt.exceptAll(plain).isEmpty()
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(_days") < plan.index("RebalancePartitions")
